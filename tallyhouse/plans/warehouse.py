@@ -31,6 +31,17 @@ class Warehouse:
             self._staged[name] = stage(self.raw[name], name)
         return self._staged[name]
 
+    def __getitem__(self, name: str) -> DataFrame:
+        """A table by layer and name: raw.orders, staging.stg_orders, marts.fact_orders."""
+        layer, _, table = name.partition(".")
+        if layer == "raw":
+            return self.raw[table]
+        if layer == "staging":
+            return self.staged(table.removeprefix("stg_"))
+        if layer == "marts":
+            return getattr(self, table)
+        raise KeyError(name)
+
     # Keys are looked up in the raw rows: that reads one column and needs no
     # deduplication, and the joins treat the answer as a hint only.
     @cached_property
