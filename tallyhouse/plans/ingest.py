@@ -21,7 +21,7 @@ from ..operators.ledger import FILE_EVENTS, RUN_EVENTS, batch_rollup, not_yet_lo
 from ..sources.lake import COMMITS, OUTCOMES, Lake
 from ..sources.manifest import dated, fingerprint, recognise, validated
 from ..sources.readers import SPLIT_BYTES, read_csv_files, read_parquet_files, with_line_breaks
-from ..specs import LINEAGE, SOURCES
+from ..specs import LINEAGE, SOURCES, lookup
 
 FILES_PER_READ = 5_000
 
@@ -81,12 +81,8 @@ def _register(
     found = spark.read.parquet(f"{work}/manifest")
     new = validated(not_yet_loaded(found, lake.source_files()))
 
-    extra = F.lit(None).cast("array<string>")
-    order = F.lit(len(SOURCES))
-    for position, spec in enumerate(SOURCES.values()):
-        is_source = F.col("source_name") == spec.name
-        extra = F.when(is_source, F.array_except("file_columns", F.array(*map(F.lit, spec.columns)))).otherwise(extra)
-        order = F.when(is_source, F.lit(position)).otherwise(order)
+    order = {name: position for position, name in enumerate(SOURCES)}
+    extra = F.array_except("file_columns", lookup(F.col("source_name"), lambda s: s.columns))
     surplus = F.when(F.col("is_valid") & (F.size(extra) > 0),
                      F.concat(F.lit("unexpected columns: "), F.array_join(extra, ", ")))
 
@@ -94,7 +90,7 @@ def _register(
     by_name = Window.partitionBy("source_name").orderBy("file_name", "file_path")
     new = new.withColumns({
         "load_error": surplus if on_extra == "fail" else F.lit(None).cast("string"),
-        "_source_order": order,
+        "_source_order": lookup(F.col("source_name"), lambda s: order[s.name]),
         "_position": F.row_number().over(by_name),
     })
     counts = new.groupBy("_source_order").agg(F.count("*").alias("n"))

@@ -155,3 +155,7 @@ class RawTables(Mapping):
 
     def __len__(self):
         return len(SOURCES)
+
+
+def raw_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    return RawTables(spark, sf_dir)[entity]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import file_date, file_extension
-from ..specs import SOURCES, SUPPORTED_EXTENSIONS
+from ..specs import SUPPORTED_EXTENSIONS, lookup
 
 # Larger files are hashed as a stream instead of as one value.
 WHOLE_FILE_BYTES = 512 << 20
@@ -52,12 +52,10 @@ def recognise(files: DataFrame, root: str) -> DataFrame:
     pattern = rf"\Q{base}\E/([^/]+)/([^/]+)$"
     source = F.regexp_extract("load_path", pattern, 1)
     name = F.regexp_extract("load_path", pattern, 2)
-    known = F.lit(False)
-    for spec in SOURCES.values():
-        known = known | ((source == spec.name) & name.endswith(spec.extension))
     return (
         files.withColumns({"source_name": source, "file_name": name})
-        .filter(known & ~F.col("file_name").startswith("."))
+        .filter(F.col("file_name").endswith(lookup(F.col("source_name"), lambda s: s.extension)))
+        .filter(~F.col("file_name").startswith("."))
     )
 
 
@@ -195,27 +193,22 @@ def validated(files: DataFrame) -> DataFrame:
 
     Order: extension, source, size, readability, columns. Extra columns pass.
     """
-    extension = file_extension(F.col("file_name"))
-    required = F.lit(None).cast("array<string>")
-    for spec in SOURCES.values():
-        required = F.when(F.col("source_name") == spec.name, F.array(*map(F.lit, spec.required))).otherwise(required)
-    checkable = (
-        extension.isin(*SUPPORTED_EXTENSIONS) & F.coalesce(F.col("source_name").isin(*SOURCES), F.lit(False))
-        & (F.col("file_size_bytes") > 0) & F.col("file_columns").isNotNull()
-    )
-    missing = F.when(checkable, F.filter(required, lambda c: ~F.array_contains("file_columns", c))) \
-        .otherwise(F.array().cast("array<string>"))
-    error = (
+    extension, size = file_extension(F.col("file_name")), F.col("file_size_bytes")
+    required = lookup(F.col("source_name"), lambda s: s.required)  # NULL for an unknown source
+    first_look = (
         F.when(~extension.isin(*SUPPORTED_EXTENSIONS), F.concat(F.lit("Unsupported file type '"), extension, F.lit("'")))
-        .when(~checkable & ~F.coalesce(F.col("source_name").isin(*SOURCES), F.lit(False)),
-              F.concat(F.lit("Unknown source name '"), F.coalesce("source_name", F.lit("")), F.lit("'")))
-        .when(F.col("file_size_bytes") == 0, F.concat(F.lit("File is empty: "), F.col("file_name")))
+        .when(required.isNull(), F.concat(F.lit("Unknown source name '"), F.coalesce("source_name", F.lit("")), F.lit("'")))
+        .when(size == 0, F.concat(F.lit("File is empty: "), F.col("file_name")))
         .when(F.col("file_columns").isNull(), F.concat(F.lit("Could not read file columns: "), F.col("file_name")))
-        .when(F.size("missing_columns") > 0,
-              F.concat(F.lit("Missing required columns: "), F.array_join("missing_columns", ", ")))
     )
+    missing = F.when(F.col("validation_error").isNull(), F.array_except(required, F.col("file_columns"))) \
+        .otherwise(F.array().cast("array<string>"))
+    error = F.coalesce("validation_error", F.when(
+        F.size("missing_columns") > 0,
+        F.concat(F.lit("Missing required columns: "), F.array_join("missing_columns", ", "))))
     return (
-        files.withColumn("missing_columns", missing)
+        files.withColumn("validation_error", first_look)
+        .withColumn("missing_columns", missing)
         .withColumn("validation_error", error)
         .withColumn("is_valid", F.col("validation_error").isNull())
     )

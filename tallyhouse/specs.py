@@ -5,8 +5,11 @@ Ingest, header validation, staging, quality rules and the tests all read it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -150,6 +153,12 @@ def raw_schema(name: str) -> T.StructType:
     return T.StructType(fields + LINEAGE.fields)
 
 
+def lookup(column: Column, per_source: Callable[[Source], object]) -> Column:
+    """A property of the source a column names; NULL for an unknown one."""
+    pairs = [F.lit(v) for s in _SOURCES for v in (s.name, per_source(s))]
+    return F.try_element_at(F.create_map(*pairs), column)
+
+
 def source(name: str) -> Source:
     if name not in SOURCES:
         raise ValueError(f"Unknown source name '{name}'. Known: {list(SOURCES)}")

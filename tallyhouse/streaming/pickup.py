@@ -39,6 +39,7 @@ def pick_up_available(
 
     (
         lake.spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(landing)
