@@ -55,6 +55,7 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
             F.count("*").alias("rows"),
             F.count_if(F.col("k").isNull()).alias("nulls"),
         )
+        .groupBy(F.lit("all"))  # no row for no input; merging nothing is an error
         .agg(
             F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED}), {int(1 / share)})").alias("top"),
             F.sum("rows").alias("rows"),
@@ -62,9 +63,11 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
         )
         .first()
     )
-    limit = max(min_rows, share * (found.rows or 0))
-    keys = sorted(t["item"] for t in found.top or () if t["item"] is not None and t["count"] >= limit)
-    return HotKeys(tuple(keys), (found.nulls or 0) >= limit)
+    if found is None:
+        return COLD
+    limit = max(min_rows, share * found.rows)
+    keys = sorted(t["item"] for t in found.top if t["item"] is not None and t["count"] >= limit)
+    return HotKeys(tuple(keys), found.nulls >= limit)
 
 
 def spread_join(

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from itertools import islice
 
 from pyspark.errors import PySparkException
@@ -165,17 +166,9 @@ def _outcomes(
     spark: SparkSession, lake: Lake, files: DataFrame, errors: list[tuple[int, str]], folder: str, out: str
 ) -> DataFrame:
     """Outcome per file, from the rows just written."""
-    counts = None
-    for name in SOURCES:
-        try:
-            written = spark.read.parquet(lake.path("raw", name, folder))
-        except PySparkException:
-            continue  # no file of this source in the batch
-        part = written.groupBy(F.col("_ingestion_run_id").alias("ingestion_run_id")).agg(
-            F.count("*").alias("rows_written"), F.min("_fault").alias("fault"))
-        counts = part if counts is None else counts.unionByName(part)
-    if counts is None:
-        counts = spark.createDataFrame([], "ingestion_run_id bigint, rows_written bigint, fault string")
+    written = reduce(DataFrame.unionByName, [lake.written(name, folder) for name in SOURCES])
+    counts = written.groupBy(F.col("_ingestion_run_id").alias("ingestion_run_id")).agg(
+        F.count("*").alias("rows_written"), F.min("_fault").alias("fault"))
     unreadable = spark.createDataFrame(errors, "ingestion_run_id bigint, read_error string")
     joined = (
         files.join(counts, "ingestion_run_id", "left").join(unreadable, "ingestion_run_id", "left")

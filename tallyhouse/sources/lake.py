@@ -88,6 +88,11 @@ class Lake:
             F.col("ingestion_run_id").alias("_ingestion_run_id"))
         return rows.join(failed, "_ingestion_run_id", "left_anti").select(*raw_schema(name).names)
 
+    def written(self, name: str, folder: str) -> DataFrame:
+        """Run ids and faults of the rows a batch wrote, committed or not."""
+        schema = T.StructType([T.StructField("_ingestion_run_id", T.LongType()), T.StructField("_fault", T.StringType())])
+        return self._read(self.path("raw", name, folder), schema)
+
     def raw_tables(self) -> dict[str, DataFrame]:
         return {name: self.raw(name) for name in SOURCES}
 

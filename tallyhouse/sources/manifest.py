@@ -155,7 +155,7 @@ def fingerprint(
 ) -> DataFrame:
     """Every CSV and Parquet file with its checksum and its column names.
 
-    Empty files have no checksum; unreadable ones have no columns. Each file is
+    Empty files are not listed; unreadable ones have no columns. Each file is
     read once. The length filters reach the reader, which then skips contents.
     """
     content, size = F.col("content"), F.col("file_size_bytes")
@@ -172,11 +172,15 @@ def fingerprint(
             whole = whole.select(*facts, checksum(content).alias("checksum"), _parquet_tail(content, size).alias("tail"))
             whole = whole.withColumn("_schema", _footer_reader()("tail")).withColumns(
                 {"file_columns": F.col("_schema.names"), "layout": F.col("_schema.layout")})
-        large = files.filter(size > whole_file_bytes).select(*facts).mapInPandas(
+        parts.append(whole.select(*MANIFEST.names))
+        large = files.filter(size > whole_file_bytes).select(*facts)
+        if large.isEmpty():
+            continue
+        streamed = large.mapInPandas(
             _stream_reader(), "file_path string, load_path string, file_size_bytes long, checksum string, head binary,"
                               " names array<string>, layout string")
         names = csv_header(_first_line(F.col("head"))) if is_csv else F.col("names")
-        parts += [whole.select(*MANIFEST.names), large.withColumn("file_columns", names).select(*MANIFEST.names)]
+        parts.append(streamed.withColumn("file_columns", names).select(*MANIFEST.names))
     return reduce(DataFrame.unionByName, parts)
 
 
