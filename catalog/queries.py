@@ -131,7 +131,7 @@ def _(w: Warehouse) -> DataFrame:
 def _(w: Warehouse) -> DataFrame:
     customers = w.dim_customers.select("customer_id", "customer_segment", "country")
     rows = spread_join(w.fact_orders.select("order_id", "customer_id"), customers, "customer_id",
-                       left_hot=hot_keys(w.raw["orders"], "customer_id"))
+                       left_hot=hot_keys(w.raw.as_read("orders"), "customer_id"))
     return rows.select("order_id", "customer_segment", "country")
 
 
@@ -148,7 +148,7 @@ def _(w: Warehouse) -> DataFrame:
     """One order, many lines: the fan-out case."""
     items = w.staged("order_items").select("order_id", "order_item_id", "line_total")
     rows = spread_join(w.staged("orders").select("order_id", "order_status"), items, "order_id",
-                       right_hot=HotKeys(hot_keys(w.raw["order_items"], "order_id").keys))
+                       right_hot=HotKeys(hot_keys(w.raw.as_read("order_items"), "order_id").keys))
     return rows.select("order_id", "order_status", "order_item_id", "line_total")
 
 

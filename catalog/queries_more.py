@@ -142,9 +142,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @folder_query("i14_published_mart")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "mart")
-    publish_table(Warehouse.from_tables(spark, sf_dir).fact_daily_sales, path, sort_by="order_date")
-    return spark.read.parquet(path).drop("total_items_sold")
+    """Staging and the mart written as tables, the mart in ranges of its date."""
+    store = scratch_path(spark, "warehouse")
+    daily = Warehouse.from_tables(spark, sf_dir, store).fact_daily_sales
+    publish_table(daily, f"{store}/published", sort_by="order_date")
+    return spark.read.parquet(f"{store}/published")
 
 
 @table_query("j8_loaded_checksum_lookup")

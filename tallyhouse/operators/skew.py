@@ -8,8 +8,9 @@ per slice. Rows of all other keys take the ordinary join.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,34 +41,46 @@ COLD = HotKeys()
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> HotKeys:
-    """Keys that hold at least ``share`` of the rows, and NULL if it does.
+    """Keys that hold at least ``share`` of the rows, and NULL if it does."""
+    return hot_keys_each({key: (df, key)}, share, min_rows)[key]
 
-    One scan of the key column without shuffling it: every task fills a
+
+def hot_keys_each(
+    columns: Mapping[str, tuple[DataFrame, str]], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+) -> dict[str, HotKeys]:
+    """The hot keys of several (table, key column) pairs, found in one job.
+
+    One scan of each key column without shuffling it: every task fills a
     fixed-size frequency sketch, and the sketches are merged in two steps. At
-    most ``1 / share`` keys reach the driver.
+    most ``1 / share`` keys per pair reach the driver.
     """
-    group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS))
+    parts = [
+        df.select(F.lit(label).alias("label"), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("part"),
+                  F.col(key).cast("string").alias("k"))
+        for label, (df, key) in columns.items()
+    ]
     found = (
-        df.select(group.alias("g"), F.col(key).alias("k"))
-        .groupBy("g")
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("label", "part")
         .agg(
             F.expr(f"approx_top_k_accumulate(k, {_TRACKED})").alias("sketch"),
             F.count("*").alias("rows"),
             F.count_if(F.col("k").isNull()).alias("nulls"),
         )
-        .groupBy(F.lit("all"))  # no row for no input; merging nothing is an error
+        .groupBy("label")
         .agg(
             F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED}), {int(1 / share)})").alias("top"),
             F.sum("rows").alias("rows"),
             F.sum("nulls").alias("nulls"),
         )
-        .first()
+        .collect()  # one row per pair
     )
-    if found is None:
-        return COLD
-    limit = max(min_rows, share * found.rows)
-    keys = sorted(t["item"] for t in found.top if t["item"] is not None and t["count"] >= limit)
-    return HotKeys(tuple(keys), found.nulls >= limit)
+    result = dict.fromkeys(columns, COLD)
+    for row in found:
+        limit = max(min_rows, share * row.rows)
+        keys = sorted(t["item"] for t in row.top if t["item"] is not None and t["count"] >= limit)
+        result[row.label] = HotKeys(tuple(keys), row.nulls >= limit)
+    return result
 
 
 def spread_join(

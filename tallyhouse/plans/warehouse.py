@@ -6,30 +6,46 @@ tables and the hot-key sets it needs, and nothing else.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.skew import HotKeys, hot_keys
+from ..operators.skew import HotKeys, hot_keys_each
 from ..sources.feed import RawTables
 from . import marts
 from .staging import stage
 
 
 class Warehouse:
-    def __init__(self, raw: Mapping[str, DataFrame], staged: dict[str, DataFrame] | None = None):
+    """With a ``store`` folder, tables are written there once and read back.
+
+    That is the way to build all marts: staging feeds several of them, and each
+    mart several reports and rules. Without a store, everything stays a lazy
+    view, and a single result computes only the columns and joins it needs.
+    """
+
+    def __init__(self, raw: Mapping[str, DataFrame], store: str | None = None):
         self.raw = raw
-        self._staged = dict(staged or {})
+        self.store = store
+        self._tables: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
-        return cls(RawTables(spark, sf_dir))
+    def from_tables(cls, spark: SparkSession, sf_dir: str, store: str | None = None) -> Warehouse:
+        return cls(RawTables(spark, sf_dir), store)
+
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._tables:
+            table = build()
+            if self.store:
+                path = f"{self.store}/{name}"
+                table.write.mode("overwrite").parquet(path)
+                table = table.sparkSession.read.parquet(path)
+            self._tables[name] = table
+        return self._tables[name]
 
     def staged(self, name: str) -> DataFrame:
-        if name not in self._staged:
-            self._staged[name] = stage(self.raw[name], name)
-        return self._staged[name]
+        return self._once(f"stg_{name}", lambda: stage(self.raw[name], name))
 
     def __getitem__(self, name: str) -> DataFrame:
         """A table by layer and name: raw.orders, staging.stg_orders, marts.fact_orders."""
@@ -42,43 +58,50 @@ class Warehouse:
             return getattr(self, table)
         raise KeyError(name)
 
-    # Keys are looked up in the raw rows: that reads one column and needs no
-    # deduplication, and the joins treat the answer as a hint only.
     @cached_property
+    def _hot(self) -> dict[str, HotKeys]:
+        # Looked up in the raw rows: that reads one column and needs no
+        # deduplication, and the joins treat the answer as a hint only.
+        rows = getattr(self.raw, "as_read", self.raw.__getitem__)
+        return hot_keys_each({name: (rows(name), "order_id") for name in ("payments", "shipments")})
+
+    @property
     def hot_payments(self) -> HotKeys:
-        return hot_keys(self.raw["payments"], "order_id")
+        return self._hot["payments"]
 
-    @cached_property
+    @property
     def hot_shipments(self) -> HotKeys:
-        return hot_keys(self.raw["shipments"], "order_id")
+        return self._hot["shipments"]
 
-    @cached_property
+    @property
     def fact_orders(self) -> DataFrame:
-        return marts.fact_orders(
+        return self._once("fact_orders", lambda: marts.fact_orders(
             self.staged("orders"), self.staged("payments"), self.staged("shipments"), self.staged("order_items"),
-            self.hot_payments, self.hot_shipments,
-        )
+            self.hot_payments, self.hot_shipments))
 
-    @cached_property
+    @property
     def fact_order_items(self) -> DataFrame:
-        return marts.fact_order_items(self.staged("order_items"), self.staged("products"))
+        return self._once("fact_order_items", lambda: marts.fact_order_items(
+            self.staged("order_items"), self.staged("products")))
 
-    @cached_property
+    @property
     def fact_daily_sales(self) -> DataFrame:
-        return marts.fact_daily_sales(self.fact_orders)
+        return self._once("fact_daily_sales", lambda: marts.fact_daily_sales(self.fact_orders))
 
-    @cached_property
+    @property
     def fact_customer_revenue(self) -> DataFrame:
-        return marts.fact_customer_revenue(self.fact_orders, self.dim_customers)
+        return self._once("fact_customer_revenue", lambda: marts.fact_customer_revenue(
+            self.fact_orders, self.dim_customers))
 
-    @cached_property
+    @property
     def fact_shipping_performance(self) -> DataFrame:
-        return marts.fact_shipping_performance(self.staged("shipments"), self.staged("orders"), self.hot_shipments)
+        return self._once("fact_shipping_performance", lambda: marts.fact_shipping_performance(
+            self.staged("shipments"), self.staged("orders"), self.hot_shipments))
 
-    @cached_property
+    @property
     def dim_customers(self) -> DataFrame:
-        return marts.dim_customers(self.staged("customers"), self.staged("orders"))
+        return self._once("dim_customers", lambda: marts.dim_customers(self.staged("customers"), self.staged("orders")))
 
-    @cached_property
+    @property
     def dim_products(self) -> DataFrame:
-        return marts.dim_products(self.staged("products"))
+        return self._once("dim_products", lambda: marts.dim_products(self.staged("products")))
