@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions import exact_average
 from tallyhouse.operators.latest import latest_by_key
-from tallyhouse.operators.skew import HotKeys, bounded_broadcast, hot_keys, spread_join
+from tallyhouse.operators.skew import HotKeys, hot_keys, join_dimension, spread_join
 from tallyhouse.plans import marts
 from tallyhouse.plans.staging import with_key
 from tallyhouse.plans.warehouse import Warehouse
@@ -105,11 +105,8 @@ def _(w: Warehouse) -> DataFrame:
 def _(w: Warehouse) -> DataFrame:
     items = w.staged("order_items").select("order_item_id", "product_id")
     products = w.staged("products").select("product_id", "product_name", "category", "cost_price")
-    small = bounded_broadcast(products, row_bytes=4 * (20 + 255 + 100) + 64)
-    if small is not None:
-        rows = items.join(small, "product_id", "left")
-    else:
-        rows = spread_join(items, products, "product_id", left_hot=hot_keys(items, "product_id"))
+    rows = join_dimension(items, products, "product_id", 4 * (20 + 255 + 100) + 64,
+                          w.as_read("order_items"), w.as_read("products"))
     return rows.select("order_item_id", "product_name", "category", "cost_price")
 
 
@@ -131,7 +128,7 @@ def _(w: Warehouse) -> DataFrame:
 def _(w: Warehouse) -> DataFrame:
     customers = w.dim_customers.select("customer_id", "customer_segment", "country")
     rows = spread_join(w.fact_orders.select("order_id", "customer_id"), customers, "customer_id",
-                       left_hot=hot_keys(w.raw.as_read("orders"), "customer_id"))
+                       left_hot=hot_keys(w.as_read("orders"), "customer_id"))
     return rows.select("order_id", "customer_segment", "country")
 
 
@@ -148,7 +145,7 @@ def _(w: Warehouse) -> DataFrame:
     """One order, many lines: the fan-out case."""
     items = w.staged("order_items").select("order_id", "order_item_id", "line_total")
     rows = spread_join(w.staged("orders").select("order_id", "order_status"), items, "order_id",
-                       right_hot=HotKeys(hot_keys(w.raw.as_read("order_items"), "order_id").keys))
+                       right_hot=HotKeys(hot_keys(w.as_read("order_items"), "order_id").keys))
     return rows.select("order_id", "order_status", "order_item_id", "line_total")
 
 

@@ -126,16 +126,39 @@ def spread_join(
     return cold.unionByName(joined.drop("_l", "_r"))
 
 
-def bounded_broadcast(df: DataFrame, row_bytes: int, limit_bytes: int = 64 << 20) -> DataFrame | None:
+def bounded_broadcast(
+    df: DataFrame, row_bytes: int, limit_bytes: int = 64 << 20, superset: DataFrame | None = None
+) -> DataFrame | None:
     """``df`` marked for broadcast if it provably fits, else None.
 
     ``row_bytes`` is the most one row can take; counting stops one row past
-    what the limit allows.
+    what the limit allows. A ``superset`` that is cheaper to count, such as the
+    stored rows ``df`` is computed from, is tried first.
     """
     allowed = max(1, limit_bytes // row_bytes)
-    if df.limit(allowed + 1).count() > allowed:
-        return None
-    return F.broadcast(df)
+    for rows in (superset, df):
+        if rows is not None and rows.limit(allowed + 1).count() <= allowed:
+            return F.broadcast(df)
+    return None
+
+
+def join_dimension(
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    row_bytes: int,
+    raw_facts: DataFrame | None = None,
+    raw_dimension: DataFrame | None = None,
+) -> DataFrame:
+    """Left join to a dimension that is unique by key, broadcast if it fits, else sliced by hot keys.
+
+    The raw tables, if given, answer the questions about size and hot keys
+    without computing the tables made from them.
+    """
+    small = bounded_broadcast(dimension, row_bytes, superset=raw_dimension)
+    if small is not None:
+        return facts.join(small, key, "left")
+    return spread_join(facts, dimension, key, left_hot=hot_keys(raw_facts if raw_facts is not None else facts, key))
 
 
 def _among(column: Column, hot: HotKeys) -> Column:

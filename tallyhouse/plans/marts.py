@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact_average
-from ..operators.skew import COLD, HotKeys, bounded_broadcast, hot_keys, spread_join
+from ..operators.skew import COLD, HotKeys, join_dimension, spread_join
 from ..specs import HIGH_VALUE_REVENUE, LATE_AFTER_DAYS, source
 
 
@@ -57,15 +57,13 @@ def fact_orders(
     )
 
 
-def fact_order_items(items: DataFrame, products: DataFrame) -> DataFrame:
+def fact_order_items(
+    items: DataFrame, products: DataFrame, raw_items: DataFrame | None = None, raw_products: DataFrame | None = None
+) -> DataFrame:
     """Item lines with cost and profit estimated from the product's cost price."""
     prices = products.select("product_id", "cost_price")
     # A product id of at most 20 characters and a decimal.
-    small = bounded_broadcast(prices, row_bytes=4 * 20 + 64)
-    if small is not None:
-        rows = items.join(small, "product_id", "left")
-    else:
-        rows = spread_join(items, prices, "product_id", left_hot=hot_keys(items, "product_id"))
+    rows = join_dimension(items, prices, "product_id", 4 * 20 + 64, raw_items, raw_products)
     cost = F.col("cost_price") * F.col("quantity")
     return rows.select(
         "order_item_id", "order_id", "product_id", "quantity",

@@ -58,12 +58,15 @@ class Warehouse:
             return getattr(self, table)
         raise KeyError(name)
 
+    def as_read(self, name: str) -> DataFrame:
+        """Raw rows in the partitions they are stored in, to count or look up keys."""
+        return getattr(self.raw, "as_read", self.raw.__getitem__)(name)
+
     @cached_property
     def _hot(self) -> dict[str, HotKeys]:
         # Looked up in the raw rows: that reads one column and needs no
         # deduplication, and the joins treat the answer as a hint only.
-        rows = getattr(self.raw, "as_read", self.raw.__getitem__)
-        return hot_keys_each({name: (rows(name), "order_id") for name in ("payments", "shipments")})
+        return hot_keys_each({name: (self.as_read(name), "order_id") for name in ("payments", "shipments")})
 
     @property
     def hot_payments(self) -> HotKeys:
@@ -82,7 +85,7 @@ class Warehouse:
     @property
     def fact_order_items(self) -> DataFrame:
         return self._once("fact_order_items", lambda: marts.fact_order_items(
-            self.staged("order_items"), self.staged("products")))
+            self.staged("order_items"), self.staged("products"), self.as_read("order_items"), self.as_read("products")))
 
     @property
     def fact_daily_sales(self) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ledger import FILE_EVENTS, RUN_EVENTS, file_states, run_states
+from ..operators.skew import bounded_broadcast
 from ..specs import SOURCES, raw_schema
 
 COMMITS = T.StructType([
@@ -84,9 +85,10 @@ class Lake:
         """Raw rows of all successfully loaded files."""
         stored = with_field(raw_schema(name), "_fault", T.StringType())
         rows = self._of_commits(self.path("raw", name), stored)
-        failed = self.ingestion_runs().filter(F.col("status") == "failed").select(
+        failed = self.run_events().filter(F.col("status") == "failed").select(
             F.col("ingestion_run_id").alias("_ingestion_run_id"))
-        return rows.join(failed, "_ingestion_run_id", "left_anti").select(*raw_schema(name).names)
+        few = bounded_broadcast(failed, row_bytes=16)
+        return rows.join(failed if few is None else few, "_ingestion_run_id", "left_anti").select(*raw_schema(name).names)
 
     def written(self, name: str, folder: str) -> DataFrame:
         """Run ids and faults of the rows a batch wrote, committed or not."""

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.latest import latest_by_key
-from tallyhouse.operators.skew import COLD, HotKeys, bounded_broadcast, hot_keys, spread_join
+from tallyhouse.operators.skew import COLD, HotKeys, bounded_broadcast, hot_keys, join_dimension, spread_join
 
 
 @pytest.fixture(scope="module")
@@ -63,6 +63,17 @@ def test_bounded_broadcast(spark):
     df = spark.range(100)
     assert bounded_broadcast(df, row_bytes=8, limit_bytes=8 * 99) is None
     assert bounded_broadcast(df, row_bytes=8, limit_bytes=8 * 100).count() == 100
+    assert bounded_broadcast(df.limit(0), 8, 80, superset=df).count() == 0
+
+
+def test_dimension_beyond_the_bound_takes_the_sliced_join(sides, monkeypatch):
+    left, _ = sides
+    dimension = left.sparkSession.createDataFrame([("a", 1), ("c", 2), ("z", 3)], "k string, y int")
+    monkeypatch.setattr("tallyhouse.operators.skew.hot_keys", lambda df, key: HotKeys(("a",), null=True))
+    expected = rows(left.join(dimension, "k", "left"))
+    assert rows(join_dimension(left, dimension, "k", row_bytes=100)) == expected
+    assert rows(join_dimension(left, dimension, "k", row_bytes=1 << 25)) == expected
+    assert rows(join_dimension(left, dimension, "k", row_bytes=1 << 25, raw_facts=left, raw_dimension=dimension)) == expected
 
 
 def test_latest_forwards_one_row_per_key_and_task(spark, capsys):
