@@ -34,7 +34,7 @@ class Rule:
     other: str | None = None
 
 
-# kind -> (check type shown in results, text before the count in the details)
+# Kind -> (check type shown in results, text before the count in the details)
 _KINDS = {
     "has_rows": ("row_count", "Row count: "),
     "not_null": ("not_null", "Null count: "),

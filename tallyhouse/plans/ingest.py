@@ -127,17 +127,19 @@ def _load_groups(lake: Lake, files: DataFrame, batch_ts: datetime, folder: str)
             members = members.filter(F.col(column).eqNullSafe(F.lit(key[column])))
         names = members.select("file_path", "load_path", "ingestion_run_id", "file_name", "loaded_at")
         for chunk in _chunks(names.toLocalIterator(), FILES_PER_READ):
-            parts = [(chunk, False)]
+            parts = {"whole": chunk}
             if key["_large"]:
                 broken = with_line_breaks(lake.spark, [c.load_path for c in chunk])
-                parts = [([c for c in chunk if c.file_path not in broken], True),
-                         ([c for c in chunk if c.file_path in broken], False)]
-            for part, splittable in parts:
-                errors += _load(lake, key, part, splittable, folder)
+                parts = {"lines": [c for c in chunk if c.file_path not in broken],
+                         "records": [c for c in chunk if broken.get(c.file_path)]}
+                errors += [(c.ingestion_run_id, "a quoted cell is never closed")
+                           for c in chunk if broken.get(c.file_path) is False]
+            for layout, part in parts.items():
+                errors += _load(lake, key, part, layout, folder)
     return errors
 
 
-def _load(lake: Lake, key, chunk: list, splittable: bool, folder: str) -> list[tuple[int, str]]:
+def _load(lake: Lake, key, chunk: list, layout: str, folder: str) -> list[tuple[int, str]]:
     """Append the rows of the files; on a read error, halve to find the files at fault."""
     if not chunk:
         return []
@@ -145,7 +147,7 @@ def _load(lake: Lake, key, chunk: list, splittable: bool, folder: str) -> list[t
     try:
         paths = [c.load_path for c in chunk]
         if key["file_type"] == "csv":
-            rows = read_csv_files(spark, paths, name, key["file_columns"], splittable)
+            rows = read_csv_files(spark, paths, name, key["file_columns"], layout)
         else:
             rows = read_parquet_files(spark, paths, name)
         about = spark.createDataFrame(
@@ -159,7 +161,7 @@ def _load(lake: Lake, key, chunk: list, splittable: bool, folder: str) -> list[t
         if len(chunk) == 1:
             return [(chunk[0].ingestion_run_id, str(e).splitlines()[0][:500])]
         half = len(chunk) // 2
-        return _load(lake, key, chunk[:half], splittable, folder) + _load(lake, key, chunk[half:], splittable, folder)
+        return _load(lake, key, chunk[:half], layout, folder) + _load(lake, key, chunk[half:], layout, folder)
 
 
 def _outcomes(

@@ -207,12 +207,34 @@ def test_large_files_are_split_unless_cells_span_lines(place, monkeypatch):
     put(landing, "orders/a.csv", orders_csv(50))
     put(landing, "orders/b.csv", orders_csv(2, first=60).replace("CUST1", '"CU\nST"'))
     broken = readers.with_line_breaks(lake.spark, [str(landing / "orders" / n) for n in ("a.csv", "b.csv")])
-    assert [b.rsplit("/", 1)[1] for b in broken] == ["b.csv"]
-    assert run_batch(lake, str(landing), T1).loaded == 2
+    assert {b.rsplit("/", 1)[1]: closed for b, closed in broken.items()} == {"b.csv": True}
+    put(landing, "orders/c.csv", orders_csv(2, first=70).replace("CUST1", '"CUST1', 1))
+    assert (run := run_batch(lake, str(landing), T1)).loaded == 2 and run.failed == 1
+    assert lake.source_files().filter("status = 'failed'").first().error_message == "a quoted cell is never closed"
     assert lake.raw("orders").count() == 52
     assert lake.raw("orders").filter("customer_id = 'CU\\nST'").count() == 2
 
 
+def test_records_across_blocks(place, tmp_path):
+    """Cells that span lines and blocks: the split reader gives what the whole-file reader gives."""
+    spark, columns = place[0].spark, SOURCES["payments"].columns
+    cells = ["plain", '"a, b"', '"two\nlines"', '"say ""hi""\n\n\nand ""bye"""', '"' + "long\n" * 600 + '"', "", '"x""y"']
+    body = "".join(f"P{i},O{i},{cells[i % 7]},{cells[i % 5]},{i},2026-05-01\n" + ("\n" if i % 11 == 0 else "") for i in range(400))
+    body += "P400,O400\nP401,O401,a,b,c,d,e\n"
+    paths = [str(put(tmp_path, f"csv/{n}.csv", ",".join(columns) + "\n" + body)) for n in "ab"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(paths).select("_metadata.file_block_start").distinct().count() > 50
+        split = readers.read_csv_files(spark, paths, "payments", columns, "records")
+        got = sorted(map(str, split.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = readers.read_csv_files(spark, paths, "payments", columns, "whole")
+    assert len(got) == 804 and got == sorted(map(str, whole.collect()))
+
+
 def test_empty_folder(place):
     lake, landing = place
     assert run_batch(lake, str(landing), T1).discovered == 0
