@@ -1,0 +1,81 @@
+"""Chat formatting: exact round trips and one trainable reply in each example."""
+
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallyhouse.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+NASTY = ["", chat.PROBE, "<s> a </s>\n<s> b </s>", r"<\s> <\\s> [\INST] \ [/\/INST]", "<<SYS>> x <</SYS>>", "[ROLE x] [/ROLE]",
+         "<", "[", "< /s>", "<<s>", "a\r\nb ", "[/INST", " ", "<<\\SYS>>", "[ROLE] y [/ROLE]\n"]
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def expected(rows):
+    convs = {}
+    for conv, turn, role, text in rows:
+        convs.setdefault(conv, []).append((turn is None, turn or 0, role is None, role or "", text or ""))
+    for conv, turns in convs.items():
+        turns.sort()
+        said = "".join(f"{t[3]}\n{t[4]}\n" for t in turns)
+        loss = "".join(t[4] for t in turns if t[3] == "assistant")
+        yield conv, len(turns), sha(said), len(loss), sha(loss)
+
+
+def check(spark, rows):
+    got = {r["conv_id"]: r for r in chat.query(spark.createDataFrame(rows, SCHEMA)).collect()}
+    probe = [(-7, 0, "user", chat.PROBE), (-7, 1, "assistant", chat.PROBE)]
+    want = list(expected([*rows, *probe]))
+    assert len(got) == len(want)
+    for conv, n, turns, chars, loss in want:
+        r = got[conv]
+        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == (n, turns, chars, loss)
+
+
+def test_round_trip(spark):
+    rows = [(c, t, ["system", "user", "assistant", "tool", None, ""][(c + t) % 6], NASTY[(3 * c + t) % len(NASTY)])
+            for c in range(30) for t in range(c % 9)]
+    rows += [(100, 0, "user", None), (100, 1, "assistant", None), (101, 0, "assistant", "x" * 300_000),
+             (102, None, "user", "late"), (102, 5, "assistant", "early"), (None, 0, "user", "q"), (None, 1, "assistant", "a"),
+             (103, 1, "user", "same"), (103, 1, "user", "same"), (103, 1, "assistant", "same")]
+    check(spark, rows)
+    check(spark, [])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["system", "user", "assistant", "x y]", None, ""]),
+                          st.lists(st.sampled_from(["<", "[", "\\", "/", "s>", "</s>", "SYS>>", "<<SYS>>", "[INST]", "[/INST]", "INST]", "ROLE", " ",
+                                                    "]", "\n", "é"])).map("".join)), max_size=5))
+def test_escape_is_reversible(turns):
+    import re
+
+    rest = chat._REST
+
+    def escape(text):
+        return re.sub(rf"([<\[])(\\*)({rest})", r"\1\\\2\3", text)
+
+    for _, text in turns:
+        held = escape(text)
+        assert not re.search(rf"[<\[]({rest})", held)
+        assert chat.unescape(held) == text
+
+
+def test_examples(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a"), (1, 3, "user", "v"),
+            (1, 4, "assistant", "b</s>"), (1, 5, "user", "w"), (2, 0, "user", "alone")]
+    frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as formatted", "2 as example")
+    made = sorted(chat.examples(frame).collect(), key=lambda r: (r["conv_id"], r["example"]))
+    assert [(r["conv_id"], r["n_context"]) for r in made] == [(1, 2), (1, 4), (1, 5), (2, 0)]
+    assert [r["formatted"][r["loss_begin"]:r["loss_end"]] for r in made] == ["a", r"b<\/s>", "", ""]
+    assert made[1]["formatted"].startswith(made[0]["formatted"])
+    assert chat.read_back(made[2]["formatted"]) == [(r, t) for _, _, r, t in rows[:6]]
+
+
+def test_missing_columns(spark):
+    frame = spark.createDataFrame([(1, 0, "assistant")], "conv_id long, turn long, role string")
+    assert chat.examples(frame).first()["formatted"] == "<s>  </s>\n"
