@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, mixing, pieces
+from tallyhouse.llm import chat, language, mixing, pieces, toxicity
 from tallyhouse.llm.tables import table
 from tallyhouse.session import prepare
 
@@ -17,6 +17,10 @@ def _piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(prepare(spark), sf_dir)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.query(table(prepare(spark), sf_dir, "documents"), _piece_model())
 
@@ -29,8 +33,12 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.query(table(prepare(spark), sf_dir, "conversations"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.query(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_sentencepiece, op4_mixing, op7_chat_formatting)
+    f.__name__: f for f in (op1_toxicity, op3_sentencepiece, op4_mixing, op7_chat_formatting, op10_language_id)
 }
 
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}

@@ -34,3 +34,9 @@ def column_or(df: DataFrame, name: str, kind: str) -> Column:
 def text_of(df: DataFrame, name: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(column_or(df, name, "string"), F.lit(""))
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> SparkSession:
+    """Let Python tasks see few rows at a time, since texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark
