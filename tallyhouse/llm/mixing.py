@@ -6,10 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from tallyhouse.llm.tables import WORD, column_or, text_of, written
+from tallyhouse.llm.tables import WORD, column_or, ranked, text_of, written
 
 #: Sources up to this many are sent to every task; more are joined by shuffle, hot sources split by AQE.
 BROADCAST_SOURCES = 10_000
@@ -26,26 +24,6 @@ def uniform_draw(key: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(label), 1, 13), 16, 10).cast("long") / F.lit(2.0**52)
 
 
-def ranked(values: DataFrame, name: str) -> DataFrame:
-    """``values`` with ``rank`` from 0 in code-point order of ``name``, null last; no task sees all rows.
-
-    Ranges of the sorted column are ranked alone, then shifted by the number of rows in the ranges before.
-    """
-    order = F.col(name).asc_nulls_last()
-    spread = written(
-        values.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges")
-    before, start = {}, 0
-    # One row for each partition, whatever the number of values.
-    for row in spread.groupBy("_range").count().orderBy("_range").collect():
-        before[row["_range"]], start = start, start + row["count"]
-    shifts = spread.sparkSession.createDataFrame(
-        list(before.items()), T.StructType([T.StructField("_range", T.IntegerType()),
-                                            T.StructField("_before", T.LongType())]))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
-    return (spread.withColumn("_inside", inside).join(F.broadcast(shifts), "_range")
-            .withColumn("rank", F.col("_before") + F.col("_inside")).drop("_range", "_before", "_inside"))
-
-
 def source_targets(sizes: DataFrame, weights: Sequence[int], max_rate: int) -> DataFrame:
     """``source, source_size, target`` from rows ``source, size``.
 

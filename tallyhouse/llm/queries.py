@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, language, mixing, pieces, toxicity
+from tallyhouse.llm import chat, language, mixing, pieces, topk, toxicity
 from tallyhouse.llm.tables import table
 from tallyhouse.session import prepare
 
@@ -21,6 +22,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(prepare(spark), sf_dir)
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(prepare(spark), sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.query(table(prepare(spark), sf_dir, "documents"), _piece_model())
 
@@ -38,7 +43,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op3_sentencepiece, op4_mixing, op7_chat_formatting, op10_language_id)
+    f.__name__: f for f in (op1_toxicity, op2_topk_search, op3_sentencepiece, op4_mixing, op7_chat_formatting, op10_language_id)
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_topk_search": topk.ORACLE, "op4_mixing": mixing.ORACLE}
