@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyhouse.llm.tables import column_or, text_of
+from tallyhouse.llm.tables import column_or, small_batches, text_of
 
 # The marks of the template. A role without marks of its own is named in its mark.
 MARKS = {"system": ("<<SYS>> ", " <</SYS>>"), "user": ("[INST] ", " [/INST]"), "assistant": ("<s> ", " </s>")}
@@ -110,6 +110,7 @@ def summaries(made: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["conv_id", "example", "n_turns", "turns_sha256", "loss_text", "chars"]
                                ).astype({"conv_id": "Int64"})
 
+    small_batches(made.sparkSession)
     return made.mapInPandas(
         run, "conv_id long, example long, n_turns long, turns_sha256 string, loss_text string, chars long")
 

@@ -36,6 +36,8 @@ SCRIPTS = {
 }
 OTHER = len(SCRIPTS) + 1
 GROUP_CHARS = 1_000_000
+#: An odd number with evenly spread bits, for polynomial hashes.
+BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(1)
@@ -92,6 +94,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def powers(n: int) -> np.ndarray:
+    """The powers of ``BASE`` from 0 to n, modulo 2**64."""
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, BASE, np.uint64)]))
+
+
 def groups(texts: list[str], chars: int = GROUP_CHARS) -> Iterator[tuple[int, list[str]]]:
     """The texts in runs of about ``chars`` characters, each with the number of its first."""
     first, size = 0, 0

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from tallyhouse.llm.tables import text_of
+from tallyhouse.llm.tables import small_batches, text_of
 
 SPACE = "▁".encode()
 #: Texts are cut into groups of about this many characters for one call of the library.
@@ -190,7 +190,7 @@ def loaded(model: bytes) -> Pieces:
 def _shipped(docs: DataFrame, model_path: str):
     """The model file's bytes for every task; a file of fixed size, read where the job is started."""
     with open(model_path, "rb") as f:
-        return docs.sparkSession.sparkContext.broadcast(f.read())
+        return small_batches(docs.sparkSession).sparkContext.broadcast(f.read())
 
 
 def _with_results(docs: DataFrame, names: list[str]) -> list[str]:

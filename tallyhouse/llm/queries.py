@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, language, mixing, pieces, topk, toxicity
+from tallyhouse.llm import chat, language, mixing, ngram_join, pieces, topk, toxicity
 from tallyhouse.llm.tables import table
 from tallyhouse.session import prepare
 
@@ -38,12 +38,16 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.query(table(prepare(spark), sf_dir, "conversations"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.query(table(prepare(spark), sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.query(table(prepare(spark), sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_topk_search, op3_sentencepiece, op4_mixing, op7_chat_formatting, op10_language_id)
+    f.__name__: f for f in (op1_toxicity, op2_topk_search, op3_sentencepiece, op4_mixing, op7_chat_formatting, op9_ngram_join, op10_language_id)
 }
 
 ORACLES: dict[str, str] = {"op2_topk_search": topk.ORACLE, "op4_mixing": mixing.ORACLE}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,11 @@ def text_of(df: DataFrame, name: str = "text") -> Column:
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> SparkSession:
-    """Let Python tasks see few rows at a time, since texts can be long."""
+    """Let Python tasks see few rows at a time, since texts can be long, and find this package where it lies."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return spark
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.letters import Words, groups, lowered, mixed, words_of
+from tallyhouse.llm.letters import Words, groups, lowered, mixed, powers, words_of
 from tallyhouse.llm.tables import column_or, small_batches, table, text_of
 
 # Sets of terms that name groups of people, exchangeable within a set.
@@ -39,11 +39,6 @@ CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 #: Lengths of the word beginnings that are features, besides the whole word.
 PREFIXES = (4, 5, 6)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[1], np.full(n, _BASE, np.uint64)]).astype(np.uint64))
 
 
 def _cell(h: np.ndarray, length: int) -> np.ndarray:
@@ -57,7 +52,7 @@ def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     p = w.points.astype(np.uint64)
     lengths = w.ends - w.starts
-    power = _powers(max(int(lengths.max()), max(PREFIXES)))
+    power = powers(max(int(lengths.max()), max(PREFIXES)))
     value = p[w.letter] * power[np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)]
     begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     docs, cells = [w.doc], [_cell(np.add.reduceat(value, begin), 0)]
