@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, language, merkle, mixing, ngram_join, pieces, topk, toxicity
+from tallyhouse.llm import chat, language, merkle, mixing, ngram_join, pieces, pii, topk, toxicity
 from tallyhouse.llm.tables import table
 from tallyhouse.session import prepare
 
@@ -42,6 +42,10 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.query(table(prepare(spark), sf_dir, "conversations"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.query(table(prepare(spark), sf_dir, "documents"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.query(table(prepare(spark), sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_topk_search, op3_sentencepiece, op4_mixing, op6_fingerprints, op7_chat_formatting, op9_ngram_join, op10_language_id)
+    f.__name__: f for f in (op1_toxicity, op2_topk_search, op3_sentencepiece, op4_mixing, op6_fingerprints, op7_chat_formatting, op8_pii, op9_ngram_join, op10_language_id)
 }
 
 ORACLES: dict[str, str] = {"op2_topk_search": topk.ORACLE, "op4_mixing": mixing.ORACLE,
