@@ -80,8 +80,10 @@ def prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> D
     return made.withColumn("row", F.monotonically_increasing_id())
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, every: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose whole sets are similar enough."""
+    rows = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row"))).distinct()
+    sets = _whole_sets(texts, every, rows, width)
     a = sets.select(F.col("row").alias("u"), F.col("tokens").alias("a"))
     b = sets.select(F.col("row").alias("v"), F.col("tokens").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
@@ -89,14 +91,18 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(100 * F.col("_both") >= percent * (F.size("a") + F.size("b") - F.col("_both"))).select("u", "v"))
 
 
-def _may_start(percent: int, n: Column, at: Column, other_n: Column, other_at: Column) -> Column:
-    """Whether a token at these places (from 0) can be the first of enough shared ones.
+def _may_link(percent: int, a: str, b: str) -> Column:
+    """Whether two entries (prefix of the columns n, at, met) can be of similar sets, their token the first shared one.
 
     Sets of n and m tokens need a share of percent / (100 + percent) of n + m in common, all of them
-    from this token on.
+    from the first on. Of these, all that fit before percent of the larger set are in both
+    prefixes, so each row must have met as many of its prefix.
     """
-    left = F.least(n - at, other_n - other_at)
-    return (100 + percent) * left >= percent * (n + other_n)
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    need = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
+    both = need - F.ceil(F.lit(percent) * F.greatest(n, m) / F.lit(100)) + 1
+    left = F.least(n - F.col(f"{a}at"), m - F.col(f"{b}at"))
+    return (left >= need) & (F.least(F.col(f"{a}met"), F.col(f"{b}met")) >= both)
 
 
 def _met(entries: DataFrame, roots: DataFrame, turn: int, most: int, percent: int) -> DataFrame:
@@ -110,28 +116,25 @@ def _met(entries: DataFrame, roots: DataFrame, turn: int, most: int, percent: in
     held = held.join(mixed, "key")
     lot = F.xxhash64("row", "key", F.lit(turn))
     lead = (held.groupBy("key", F.pmod(lot, F.lit(most)).alias("_lot"))
-            .agg(F.min(F.struct(lot, "row", "n", "at", "root")).alias("l")).select("key", "l"))
-    met = (held.join(lead, "key")
-           .filter((F.col("root") != F.col("l.root"))
-                   & _may_start(percent, F.col("n"), F.col("at"), F.col("l.n"), F.col("l.at")))
+            .agg(F.min(F.struct(lot, "row", "n", "at", "met", "root")).alias("l")).select("key", "l"))
+    met = (held.join(lead, "key").filter((F.col("root") != F.col("l.root")) & _may_link(percent, "", "l."))
            .groupBy("row", F.col("l.row").alias("leader")).count())
     # A row has at most so many leaders for each token of its prefix.
     order = Window.partitionBy("row").orderBy(F.col("count").desc(), F.xxhash64("leader", "row"))
     return (met.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= most)
-            .select(F.col("row").alias("u"), F.col("leader").alias("v")))
+            .select(F.least("row", "leader").alias("u"), F.greatest("row", "leader").alias("v")).distinct())
 
 
 def _crossing(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) that meet under a key (key, row, n, at, root) and have different roots."""
+    """Pairs (u, v) that meet under a key (key, row, n, at, met, root) and have different roots."""
     least = entries.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
     held = entries.join(least.select("key", "least"), "key")
-    x = held.filter("root <> least").select("key", F.col("row").alias("u"), F.col("n").alias("un"), F.col("at").alias("ua"),
-                                               F.col("root").alias("ur"))
-    y = held.select("key", F.col("row").alias("v"), F.col("n").alias("vn"), F.col("at").alias("va"), F.col("root").alias("vr"),
-                    "least")
-    return (x.join(y, "key").filter((F.col("ur") != F.col("vr")) & ((F.col("vr") == F.col("least")) | (F.col("u") < F.col("v")))
-                                    & _may_start(percent, F.col("un"), F.col("ua"), F.col("vn"), F.col("va")))
-            .select("u", "v").distinct())
+    kept = ["row", "n", "at", "met", "root"]
+    x = held.filter("root <> least").select("key", *[F.col(c).alias(f"u{c}") for c in kept])
+    y = held.select("key", "least", *[F.col(c).alias(f"v{c}") for c in kept])
+    return (x.join(y, "key").filter((F.col("uroot") != F.col("vroot")) & _may_link(percent, "u", "v")
+                                    & ((F.col("vroot") == F.col("least")) | (F.col("urow") < F.col("vrow"))))
+            .select(F.least("urow", "vrow").alias("u"), F.greatest("urow", "vrow").alias("v")).distinct())
 
 
 def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
@@ -161,34 +164,38 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     # One exchange: the window holds rows of one rare key at a time. By size, a row of no comparable
     # neighbour has no comparable row at all.
     under = Window.partitionBy("key").orderBy("n", "row")
-    rare_met = written(
-        rare.withColumn("_a", F.lag("n").over(under)).withColumn("_b", F.lead("n").over(under))
-        .filter(f"100 * _a >= {percent} * n or 100 * n >= {percent} * _b").select("key", "row", "n", "at"), "rare")
-    often = written(placed.filter(F.col("at") >= F.col("n_rare")).select("key", "row", "n", "at", "n_first"), "frequent")
-    entries = rare_met.unionByName(often.filter("at < n_first").select("key", "row", "n", "at"))
-    sets = _whole_sets(texts, every, rare_met.select("row").unionByName(often.select("row")).distinct(), width)
+    near = (rare.withColumn("_a", F.lag("n").over(under)).withColumn("_b", F.lead("n").over(under))
+            .filter(f"100 * _a >= {percent} * n or 100 * n >= {percent} * _b"))
+    rare_met = written(near.select("key", "row", "n", "at"), "rare")
+    often = placed.filter(F.col("at") >= F.col("n_rare")).select("key", "row", "n", "at", (F.col("at") < F.col("n_first")).alias("first"))
+    counted = rare_met.withColumn("first", F.lit(True)).withColumn("often", F.lit(False)).unionByName(
+        often.withColumn("often", F.lit(True)))
+    met = counted.filter("first").groupBy("row").agg(F.count("*").alias("met"))
+    entries = written(counted.join(met, "row", "left").withColumn("met", F.coalesce("met", F.lit(0))), "entries")
 
     # First rounds: every row and a few leaders.
     links = docs.sparkSession.createDataFrame([], "u long, v long")
     roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    tried = links
     for turn, most in enumerate(LEADERS):
-        pairs = written(_met(entries, roots, turn, most, percent), "leaders")
+        pairs = written(_met(entries.filter("first"), roots, turn, most, percent).join(tried, ["u", "v"], "left_anti"), "leaders")
         if pairs.isEmpty():
             break
-        links = written(links.unionByName(_links(pairs, sets, percent)), "links")
+        tried = tried.unionByName(pairs)
+        links = written(links.unionByName(_links(pairs, texts, every, width, percent)), "links")
         roots = written(components(links), "roots")
 
     # Last round: what still lies apart.
-    apart = _crossing(_rooted(rare_met, roots), percent)
-    kept = _rooted(often, roots)
+    apart = _crossing(_rooted(entries.filter("not often"), roots), percent)
+    kept = _rooted(entries.filter("often"), roots)
     mixed = kept.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
-    listed = (kept.join(mixed, "key").groupBy("row", "n", "root")
-              .agg(F.array_sort(F.collect_list(F.struct("at", "key", (F.col("at") < F.col("n_first")).alias("first")))).alias("t")))
-    couples = listed.select("row", "n", "root", "t", F.explode(F.filter("t", lambda x: x["first"])).alias("x")).select(
-        "row", "n", "root", "x", F.explode(F.filter("t", lambda y: y["at"] > F.col("x.at"))).alias("y")).select(
-        F.xxhash64("x.key", "y.key").alias("key"), "row", "n", F.col("x.at").alias("at"), "root")
-    pairs = written(apart.unionByName(_crossing(couples, percent)).distinct(), "pairs")
-    more = written(_links(pairs, sets, percent), "links")
+    own = ["row", "n", "met", "root"]
+    listed = kept.join(mixed, "key").groupBy(*own).agg(F.array_sort(F.collect_list(F.struct("at", "key", "first"))).alias("t"))
+    couples = listed.select(*own, "t", F.explode(F.filter("t", lambda x: x["first"])).alias("x")).select(
+        *own, "x", F.explode(F.filter("t", lambda y: y["at"] > F.col("x.at"))).alias("y")).select(
+        F.xxhash64("x.key", "y.key").alias("key"), *own, F.col("x.at").alias("at"))
+    pairs = written(apart.unionByName(_crossing(couples, percent)).distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
+    more = written(_links(pairs, texts, every, width, percent), "links")
     final = components(links.unionByName(more))
 
     named = (every.join(same.withColumnRenamed("node", "_set"), "digest", "left")
