@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import chat, language, merkle, mixing, ngram_join, pieces, pii, topk, toxicity
+from tallyhouse.llm import chat, language, lines, merkle, mixing, ngram_join, pieces, pii, topk, toxicity
 from tallyhouse.llm.tables import table
 from tallyhouse.session import prepare
 
@@ -34,6 +34,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(table(prepare(spark), sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.query(table(prepare(spark), sf_dir, "documents"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.query(table(prepare(spark), sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_topk_search, op3_sentencepiece, op4_mixing, op6_fingerprints, op7_chat_formatting, op8_pii, op9_ngram_join, op10_language_id)
+    f.__name__: f for f in (op1_toxicity, op2_topk_search, op3_sentencepiece, op4_mixing, op5_line_dedup, op6_fingerprints, op7_chat_formatting, op8_pii, op9_ngram_join, op10_language_id)
 }
 
 ORACLES: dict[str, str] = {"op2_topk_search": topk.ORACLE, "op4_mixing": mixing.ORACLE,
