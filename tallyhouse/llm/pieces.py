@@ -193,28 +193,40 @@ def _shipped(docs: DataFrame, model_path: str):
         return small_batches(docs.sparkSession).sparkContext.broadcast(f.read())
 
 
-def _with_results(docs: DataFrame, names: list[str]) -> list[str]:
-    return [c for c in docs.columns if c not in names]
+def _source(docs: DataFrame, names: list[str], text: str) -> tuple[DataFrame, str]:
+    """The rows with their texts as ``_text``, and the schema of the other columns but those named as results."""
+    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], text_of(docs, text).alias("_text"))
+    return source, "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema if f.name != "_text")
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """Every row of ``docs`` with ``ids``, ``begins`` and ``ends``: its pieces and their original byte spans.
+def encode(docs: DataFrame, model_path: str, text: str = "text", spans: bool = True) -> DataFrame:
+    """Every row of ``docs`` with ``ids`` and, unless switched off, ``begins`` and ``ends``: the pieces' original byte spans.
 
     Null texts count as empty and have no pieces. A piece of the added prefix spans no byte. Rows stay
     as they are, repeated ones too; input columns named as a result are replaced.
     """
     model = _shipped(docs, model_path)
-    kept = _with_results(docs, ["ids", "begins", "ends"])
+    names = ["ids", "begins", "ends"][:3 if spans else 1]
+    source, schema = _source(docs, names, text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, begins, ends = zip(*loaded(model.value).encode(pdf.pop("_text").tolist()), strict=True) \
-                if len(pdf) else ((), (), ())
-            yield pdf.assign(ids=list(ids), begins=list(begins), ends=list(ends))
+            found = list(loaded(model.value).encode(pdf.pop("_text").tolist()))
+            yield pdf.assign(**{name: [f[k] for f in found] for k, name in enumerate(names)})
 
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], text_of(docs, text).alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text"]
-    return source.mapInPandas(run, ", ".join([*fields, "ids array<int>", "begins array<int>", "ends array<int>"]))
+    return source.mapInPandas(run, schema + ", ".join(f"{n} array<int>" for n in names))
+
+
+def decode(rows: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
+    """Every row with ``decoded``, the text of its ids; no ids, or null, are the empty text."""
+    model = _shipped(rows, model_path)
+    source = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "decoded"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(decoded=[loaded(model.value).decode(np.asarray([] if x is None else x, np.int32)) for x in pdf[ids]])
+
+    return source.mapInPandas(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema], "decoded string"]))
 
 
 def digest(pieces: Pieces, texts: list[str]) -> Iterator[tuple[int, str, str]]:
@@ -232,17 +244,14 @@ def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFram
     """Every row of ``docs`` with ``n_tokens``, ``ids_sha256``, ``decoded_sha256``: encoded, decoded, digested in one pass."""
     model = _shipped(docs, model_path)
     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    kept = _with_results(docs, names)
+    source, schema = _source(docs, names, text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = list(digest(loaded(model.value), pdf.pop("_text").tolist()))
-            found = pd.DataFrame(rows, columns=names, index=pdf.index)
-            yield pd.concat([pdf, found], axis=1)
+            yield pd.concat([pdf, pd.DataFrame(rows, columns=names, index=pdf.index)], axis=1)
 
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], text_of(docs, text).alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text"]
-    return source.mapInPandas(run, ", ".join([*fields, "n_tokens long, ids_sha256 string, decoded_sha256 string"]))
+    return source.mapInPandas(run, schema + "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(docs: DataFrame, model_path: str) -> DataFrame:

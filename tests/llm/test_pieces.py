@@ -85,5 +85,7 @@ def test_query(spark, whole):
     full = pieces.encode(docs, MODEL)
     assert full.columns == ["doc_id", "text", "lang", "n_chars", "ids", "begins", "ends"]
     assert {r["doc_id"]: list(r["ids"]) for r in full.collect()} == {i: whole.encode(t or "") for i, t, *_ in rows}
+    back = pieces.decode(pieces.encode(docs, MODEL, spans=False).selectExpr("doc_id", "ids"), MODEL)
+    assert {r["doc_id"]: r["decoded"] for r in back.collect()} == {i: whole.decode(whole.encode(t or "")) for i, t, *_ in rows}
     assert pieces.encode(docs.limit(0), MODEL).count() == 0
     assert pieces.query(docs.limit(0), MODEL).count() == 0
