@@ -13,7 +13,7 @@ entries, and the last round compares all pairs in the index that these left in d
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,9 @@ FREQUENT = 64
 #: Ids sent to every task to pick the documents to verify; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 #: Leaders of a document in each round before the last. They only save work: the last round is whole anyway.
-LEADERS = (4, 16, 64, 128)
+LEADERS = (8, 64, 128)
+#: Under a key of at most so many rows all pairs are looked at directly.
+FEW = 16
 
 
 def cell_counts(docs: DataFrame, width: int) -> np.ndarray:
@@ -91,18 +93,30 @@ def _links(pairs: DataFrame, texts: DataFrame, every: DataFrame, width: int, per
             .filter(100 * F.col("_both") >= percent * (F.size("a") + F.size("b") - F.col("_both"))).select("u", "v"))
 
 
-def _may_link(percent: int, a: str, b: str) -> Column:
-    """Whether two entries (prefix of the columns n, at, met) can be of similar sets, their token the first shared one.
+def _may_link(percent: int, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+    """Whether two entries (n, at, met) can be of similar sets, their token the first shared one.
 
     Sets of n and m tokens need a share of percent / (100 + percent) of n + m in common, all of them
     from the first on. Of these, all that fit before percent of the larger set are in both
     prefixes, so each row must have met as many of its prefix.
     """
-    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    n, m = x("n"), y("n")
     need = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
     both = need - F.ceil(F.lit(percent) * F.greatest(n, m) / F.lit(100)) + 1
-    left = F.least(n - F.col(f"{a}at"), m - F.col(f"{b}at"))
-    return (left >= need) & (F.least(F.col(f"{a}met"), F.col(f"{b}met")) >= both)
+    return (F.least(n - x("at"), m - y("at")) >= need) & (F.least(x("met"), y("met")) >= both)
+
+
+def _with(prefix: str) -> Callable[[str], Column]:
+    return lambda name: F.col(f"{prefix}{name}")
+
+
+def _among_few(entries: DataFrame, percent: int) -> DataFrame:
+    """All pairs (u, v) under keys of at most ``FEW`` rows."""
+    held = entries.groupBy("key").agg(F.collect_list(F.struct("row", "n", "at", "met")).alias("l"))
+    every = F.flatten(F.transform("l", lambda x: F.transform(
+        F.filter("l", lambda y: (y["row"] > x["row"]) & _may_link(percent, lambda c: x[c], lambda c: y[c])),
+        lambda y: F.struct(x["row"].alias("u"), y["row"].alias("v")))))
+    return held.select(F.explode(every).alias("p")).select("p.u", "p.v").distinct()
 
 
 def _met(entries: DataFrame, roots: DataFrame, turn: int, most: int, percent: int) -> DataFrame:
@@ -117,7 +131,7 @@ def _met(entries: DataFrame, roots: DataFrame, turn: int, most: int, percent: in
     lot = F.xxhash64("row", "key", F.lit(turn))
     lead = (held.groupBy("key", F.pmod(lot, F.lit(most)).alias("_lot"))
             .agg(F.min(F.struct(lot, "row", "n", "at", "met", "root")).alias("l")).select("key", "l"))
-    met = (held.join(lead, "key").filter((F.col("root") != F.col("l.root")) & _may_link(percent, "", "l."))
+    met = (held.join(lead, "key").filter((F.col("root") != F.col("l.root")) & _may_link(percent, _with(""), _with("l.")))
            .groupBy("row", F.col("l.row").alias("leader")).count())
     # A row has at most so many leaders for each token of its prefix.
     order = Window.partitionBy("row").orderBy(F.col("count").desc(), F.xxhash64("leader", "row"))
@@ -132,7 +146,7 @@ def _crossing(entries: DataFrame, percent: int) -> DataFrame:
     kept = ["row", "n", "at", "met", "root"]
     x = held.filter("root <> least").select("key", *[F.col(c).alias(f"u{c}") for c in kept])
     y = held.select("key", "least", *[F.col(c).alias(f"v{c}") for c in kept])
-    return (x.join(y, "key").filter((F.col("uroot") != F.col("vroot")) & _may_link(percent, "u", "v")
+    return (x.join(y, "key").filter((F.col("uroot") != F.col("vroot")) & _may_link(percent, _with("u"), _with("v"))
                                     & ((F.col("vroot") == F.col("least")) | (F.col("urow") < F.col("vrow"))))
             .select(F.least("urow", "vrow").alias("u"), F.greatest("urow", "vrow").alias("v")).distinct())
 
@@ -163,22 +177,28 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rare = placed.filter((F.col("at") < F.col("n_rare")) & (F.col("at") < F.col("n_first"))).select("key", "row", "n", "at")
     # One exchange: the window holds rows of one rare key at a time. By size, a row of no comparable
     # neighbour has no comparable row at all.
-    under = Window.partitionBy("key").orderBy("n", "row")
-    near = (rare.withColumn("_a", F.lag("n").over(under)).withColumn("_b", F.lead("n").over(under))
+    under = Window.partitionBy("key")
+    by_size = under.orderBy("n", "row")
+    near = (rare.withColumn("_a", F.lag("n").over(by_size)).withColumn("_b", F.lead("n").over(by_size))
+            .withColumn("many", F.count("*").over(under) > FEW)
             .filter(f"100 * _a >= {percent} * n or 100 * n >= {percent} * _b"))
-    rare_met = written(near.select("key", "row", "n", "at"), "rare")
-    often = placed.filter(F.col("at") >= F.col("n_rare")).select("key", "row", "n", "at", (F.col("at") < F.col("n_first")).alias("first"))
-    counted = rare_met.withColumn("first", F.lit(True)).withColumn("often", F.lit(False)).unionByName(
-        often.withColumn("often", F.lit(True)))
+    rare_met = written(near.select("key", "row", "n", "at", F.lit(True).alias("first"), F.lit(False).alias("often"), "many"), "rare")
+    counted = rare_met.unionByName(placed.filter(F.col("at") >= F.col("n_rare")).select(
+        "key", "row", "n", "at", (F.col("at") < F.col("n_first")).alias("first"), F.lit(True).alias("often"),
+        F.lit(True).alias("many")))
     met = counted.filter("first").groupBy("row").agg(F.count("*").alias("met"))
     entries = written(counted.join(met, "row", "left").withColumn("met", F.coalesce("met", F.lit(0))), "entries")
 
-    # First rounds: every row and a few leaders.
-    links = docs.sparkSession.createDataFrame([], "u long, v long")
-    roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    tried = links
+    # First rounds: all pairs under keys of few rows; under the others every row and a few leaders.
+    many = entries.filter("many")
+    none = docs.sparkSession.createDataFrame([], "u long, v long")
+    links = tried = none
+    roots = none.select(F.col("u").alias("node"), F.col("v").alias("root"))
     for turn, most in enumerate(LEADERS):
-        pairs = written(_met(entries.filter("first"), roots, turn, most, percent).join(tried, ["u", "v"], "left_anti"), "leaders")
+        pairs = _met(many.filter("first"), roots, turn, most, percent)
+        pairs = pairs.unionByName(_among_few(entries.filter("not many"), percent)).distinct() if turn == 0 else (
+            pairs.join(tried, ["u", "v"], "left_anti"))
+        pairs = written(pairs, "leaders")
         if pairs.isEmpty():
             break
         tried = tried.unionByName(pairs)
@@ -186,8 +206,8 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         roots = written(components(links), "roots")
 
     # Last round: what still lies apart.
-    apart = _crossing(_rooted(entries.filter("not often"), roots), percent)
-    kept = _rooted(entries.filter("often"), roots)
+    apart = _crossing(_rooted(many.filter("not often"), roots), percent)
+    kept = _rooted(many.filter("often"), roots)
     mixed = kept.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
     own = ["row", "n", "met", "root"]
     listed = kept.join(mixed, "key").groupBy(*own).agg(F.array_sort(F.collect_list(F.struct("at", "key", "first"))).alias("t"))
@@ -195,11 +215,13 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         *own, "x", F.explode(F.filter("t", lambda y: y["at"] > F.col("x.at"))).alias("y")).select(
         F.xxhash64("x.key", "y.key").alias("key"), *own, F.col("x.at").alias("at"))
     pairs = written(apart.unionByName(_crossing(couples, percent)).distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
-    more = written(_links(pairs, texts, every, width, percent), "links")
-    final = components(links.unionByName(more))
+    if not pairs.isEmpty():
+        links = written(links.unionByName(_links(pairs, texts, every, width, percent)), "links")
+        roots = written(components(links), "roots")
+
 
     named = (every.join(same.withColumnRenamed("node", "_set"), "digest", "left")
-             .join(final.select(F.col("node").alias("_set"), "root"), "_set", "left"))
+             .join(roots.select(F.col("node").alias("_set"), "root"), "_set", "left"))
     named = named.select("row", "doc_id", "mark", "n", F.coalesce("root", "_set", "row").alias("root"))
     least = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least"))
     return named.join(least, "root").select(

@@ -74,13 +74,14 @@ def near_copies(rng):
     return rows
 
 
-@pytest.mark.parametrize("leaders", [(4, 16, 64, 128), ()])
+@pytest.mark.parametrize("few,leaders", [(16, (8, 64, 128)), (2, (1, 2)), (0, (1,))])
 @pytest.mark.parametrize("frequent", [64, -10**9])
-def test_brute_force(spark, monkeypatch, leaders, frequent):
-    # Without rounds every pair goes through the last one; with no rare class through pairs of tokens.
+def test_brute_force(spark, monkeypatch, few, leaders, frequent):
+    # With few leaders most pairs go through the last round; with no rare class through pairs of tokens.
+    monkeypatch.setattr(ngram_join, "FEW", few)
     monkeypatch.setattr(ngram_join, "LEADERS", leaders)
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
-    rows = near_copies(np.random.default_rng(len(leaders) + (frequent > 0)))
+    rows = near_copies(np.random.default_rng(few + (frequent > 0)))
     frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
     assert got(frame) == brute(rows)
 
