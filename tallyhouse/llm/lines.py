@@ -2,14 +2,17 @@
 
 A line is the set of its words. With the words in order of rarity, two sets can only be similar enough
 if a word is shared early in both (prefix filter), at places that leave enough words behind (positional
-filter), and if their sizes are close (length filter). A signature of 64 bits rules out most others.
+filter), and if their sizes are close (length filter). Signatures of 64 bits rule out most others.
 What is left is verified word by word. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyhouse.llm.tables import column_or, text_of, written
 
@@ -18,7 +21,7 @@ _GAP = r"[\x20\x09-\x0D]+"
 #: Words are counted in so many cells to order them.
 CELL_BITS = 16
 #: Lines sent to every task to be verified; more are joined by shuffle.
-BROADCAST_LINES = 200_000
+BROADCAST_LINES = 1_000_000
 
 
 def _words(text: Column) -> Column:
@@ -30,20 +33,22 @@ def _cell(word: Column) -> Column:
     return F.shiftrightunsigned(word, 64 - CELL_BITS).cast("int")
 
 
-def rarity_classes(docs: DataFrame) -> Column:
-    """An array with the class of every cell of words: four times the logarithm of its count, over all texts.
+def rarity_classes(docs: DataFrame) -> tuple[Column, int]:
+    """An array with the class of every cell of words, and the class from which words are common.
 
-    ``2**CELL_BITS`` numbers, whatever the input.
+    The class is four times the logarithm of the count over all texts; a common cell has a thousandth of all
+    words. ``2**CELL_BITS`` numbers, whatever the input.
     """
     cells = docs.select(F.explode(F.split(F.lower("text"), _GAP, -1)).alias("w")).select(_cell(F.xxhash64("w")).alias("cell"))
     counts = {r["cell"]: r["count"] for r in cells.groupBy("cell").count().collect()}
     classes = [min(126, 4 * counts.get(c, 0).bit_length()) for c in range(1 << CELL_BITS)]
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
+    common = 4 * max(2, (sum(counts.values()) // 1000).bit_length())
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>"), common
 
 
 def _ordered(words: Column, classes: Column) -> Column:
     """The distinct words as numbers in order of rarity: the class in the upper bits, 56 bits of the word below."""
-    return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.shiftleft(
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.shiftleft(
         F.get(classes, _cell(w)).cast("long"), 56).bitwiseOR(w.bitwiseAND((1 << 56) - 1)))))
 
 
@@ -52,72 +57,136 @@ def _need(percent: int, n: Column, m: Column) -> Column:
     return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
 
 
+def _prefix(percent: int, n: Column) -> Column:
+    """Words of a set among which any similar set shares one."""
+    return n - F.ceil(F.lit(percent) * n / F.lit(100)) + 1
+
+
+def _signature(words: str, half: int) -> Column:
+    """A bit for each word, of 64; words with bit 6 as in ``half`` only."""
+    own = f"filter({words}, x -> x & 64 = {64 * half})"
+    return F.expr(f"aggregate({own}, 0L, (s, x) -> s | shiftleft(1L, cast(x & 63 as int)))")
+
+
 def _exploded(docs: DataFrame) -> DataFrame:
-    """``pos`` (id null, id, mark, line) and ``line_text`` of every line."""
-    lines = docs.select("doc_id", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line", "line_text"))
-    return lines.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark", "line").alias("pos"), "line_text")
+    """``doc_id, mark, line, line_text`` of every line."""
+    return docs.select("doc_id", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line", "line_text"))
 
 
-def distinct_lines(docs: DataFrame, classes: Column, percent: int, least_words: int) -> DataFrame:
-    """One row for each set of words: ``first`` (its first line), ``n``, ``prefix`` and ``signature``.
+def distinct_lines(docs: DataFrame, classes: Column, common: int, percent: int, least_words: int) -> DataFrame:
+    """One row for each set of words: ``first`` (its first line), ``n``, ``prefix``, and ``s0`` and ``s1``, the signature
+    of all words that are not common.
 
     Copies meet in the tasks before they are shuffled, so a line that fills a third of a table is one row per task.
     """
-    words = _exploded(docs).select("pos", _ordered(_words(F.col("line_text")), classes).alias("w")).filter(F.size("w") >= least_words)
-    n = F.size("w")
-    keep = n - F.ceil(F.lit(percent) * n / F.lit(100)).cast("int") + 1
-    signature = F.expr("aggregate(w, 0L, (s, x) -> s | shiftleft(1L, cast(shiftrightunsigned(x, 8) & 63 as int)))")
+    words = _exploded(docs).withColumn("w", _ordered(_words(F.col("line_text")), classes)).filter(F.size("w") >= least_words)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "mark")
+    words = words.withColumn("p", F.slice("w", F.lit(1), _prefix(percent, F.size("w")).cast("int")))
+    words = words.withColumn("r", F.filter("w", lambda x: x < (common << 56)))
     # Two seeds, 128 bits: equal sets, and only those, have equal digests.
-    rows = words.select("pos", F.struct(F.xxhash64("w"), F.xxhash64(F.lit(1), "w")).alias("digest"), n.alias("n"), signature.alias("signature"),
-                        F.transform(F.slice("w", F.lit(1), keep), lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias("prefix"))
-    return rows.groupBy("digest").agg(F.min("pos").alias("first"), F.first("n").alias("n"), F.first("signature").alias("signature"),
-                                      F.first("prefix").alias("prefix")).drop("digest")
-
-
-def _candidates(lines: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of rows that pass all filters; u is not larger than v."""
-    entries = lines.select("row", "n", "signature", F.posexplode("prefix").alias("at", "key")).repartition("key")
-    cols = ["row", "n", "signature", "at"]
-    x = entries.select("key", *[F.col(c).alias(f"u{c}") for c in cols])
-    y = entries.select("key", *[F.col(c).alias(f"v{c}") for c in cols])
-    need = _need(percent, F.col("un"), F.col("vn"))
-    lack_u, lack_v = F.col("un") - need, F.col("vn") - need
-    apart = F.bit_count(F.col("usignature").bitwiseAND(F.bitwise_not("vsignature")))
-    back = F.bit_count(F.col("vsignature").bitwiseAND(F.bitwise_not("usignature")))
-    met = x.join(y, "key").filter(
-        ((F.col("un") < F.col("vn")) | ((F.col("un") == F.col("vn")) & (F.col("urow") < F.col("vrow"))))
-        & (100 * F.col("un") >= percent * F.col("vn"))
-        & (F.col("uat") <= lack_u) & (F.col("vat") <= lack_v) & (apart <= lack_u) & (back <= lack_v))
-    return met.select(F.col("urow").alias("u"), F.col("vrow").alias("v")).distinct()
-
-
-def links(docs: DataFrame, percent: int, least_words: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct lines (row, first, ...) and the pairs (u, v) of rows that are similar enough."""
-    lines = written(distinct_lines(docs, rarity_classes(docs), percent, least_words)
-                    .withColumn("row", F.monotonically_increasing_id()), "lines")
-    pairs = written(_candidates(lines, percent), "pairs")
-    rows = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row"))).distinct()
-    wanted = written(lines.join(rows, "row", "left_semi").select("row", "first"), "wanted")
-    at = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
+    rows = words.select(F.struct(F.xxhash64("w"), F.xxhash64(F.lit(1), "w")).alias("digest"), place.alias("first"), F.struct(
+        F.size("w").alias("n"), _signature("r", 0).alias("s0"), _signature("r", 1).alias("s1"),
+        F.transform("p", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias("prefix")).alias("set"))
+    return rows.groupBy("digest").agg(F.min("first").alias("first"), F.first("set").alias("set")).select("first", "set.*")
+
+
+def _entries(lines: DataFrame) -> DataFrame:
+    """The index: one row for each word of a line's prefix, with what the filters need. ``doc`` and ``line`` order lines."""
+    return lines.select(F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("doc"), "first.line", "row", "n", "s0", "s1",
+                        F.posexplode("prefix").alias("at", "key"))
+
+
+def _passes(percent: int, u: Callable[[str], Column], v: Callable[[str], Column]) -> Column:
+    """Length, positional and signature filters for two entries (n, at, s0, s1)."""
+    n, m = u("n"), v("n")
+    need = _need(percent, n, m)
+
+    def missing(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+        """Words of a that b can't have, at least."""
+        return F.bit_count(a("s0").bitwiseAND(F.bitwise_not(b("s0")))) + F.bit_count(a("s1").bitwiseAND(F.bitwise_not(b("s1"))))
+
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (u("at") <= n - need) & (v("at") <= m - need)
+            & (missing(u, v) <= n - need) & (missing(v, u) <= m - need))
+
+
+def _before(u: Callable[[str], Column], v: Callable[[str], Column]) -> Column:
+    return (u("doc") < v("doc")) | ((u("doc") == v("doc")) & (u("line") < v("line")))
+
+
+def _with(prefix: str) -> Callable[[str], Column]:
+    return lambda name: F.col(f"{prefix}{name}")
+
+
+_HELD = ("doc", "line", "row", "n", "at", "s0", "s1")
+
+
+def _pairs(entries: DataFrame, percent: int, led: bool) -> DataFrame:
+    """Pairs (u, v) of rows that pass the filters, u the earlier line.
+
+    With ``led`` a line that passes them with the earliest of its key is only paired with that one there
+    (``by_leader``), not with every copy between.
+    """
+    u, v = _with("u_"), _with("v_")
+    x = entries.select("key", *[F.col(c).alias(f"u_{c}") for c in _HELD])
+    if led:
+        # The window holds the rows of one key at a time; both sides read the same exchange.
+        first = F.min(F.struct(*_HELD)).over(Window.partitionBy("key"))
+        held = entries.repartition("key").withColumn("l", first)
+        held = held.withColumn("by_leader", _before(_with("l."), _with("")) & _passes(percent, _with("l."), _with("")))
+        x = held.select("key", *[F.col(c).alias(f"u_{c}") for c in _HELD])
+        y = held.select("key", *[F.col(c).alias(f"v_{c}") for c in _HELD], "by_leader", F.col("l.row").alias("leader"))
+    else:
+        y = entries.filter("asked").select("key", *[F.col(c).alias(f"v_{c}") for c in _HELD], F.lit(False).alias("by_leader"),
+                                           F.lit(None).cast("long").alias("leader"))
+    met = x.join(y, "key").filter(_before(u, v) & (~F.col("by_leader") | (u("row") == F.col("leader"))) & _passes(percent, u, v))
+    return met.groupBy(u("row").alias("u"), v("row").alias("v")).agg(F.max("by_leader").alias("by_leader"))
+
+
+def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The later rows of the pairs (u, v) that are similar enough: ``row``."""
+    sides = written(pairs.select(F.explode(F.array(F.struct("u", "v", F.lit(True).alias("left"), F.col("u").alias("row")),
+                                                   F.struct("u", "v", F.lit(False).alias("left"), F.col("v").alias("row")))).alias("s"))
+                    .select("s.*").join(lines.select("row", "first"), "row")
+                    .select("u", "v", "left", *[F.col(f"first.{c}").alias(f"_{c}") for c in ("doc_id", "mark", "line")]), "sides")
+    at = F.broadcast(sides) if sides.count() <= BROADCAST_LINES else sides
     said = _exploded(docs)
-    at = at.select("row", *[F.col(f"first.{c}").alias(f"_{c}") for c in ("doc_id", "mark", "line")])
-    found = said.join(at, (F.col("pos.mark") == F.col("_mark")) & (F.col("pos.line") == F.col("_line"))
-                      & F.col("pos.doc_id").eqNullSafe(F.col("_doc_id")))
-    sets = written(found.select("row", F.array_distinct(_words(F.col("line_text"))).alias("w")).dropDuplicates(["row"]), "sets")
-    a, b = sets.select(F.col("row").alias("u"), F.col("w").alias("a")), sets.select(F.col("row").alias("v"), F.col("w").alias("b"))
+    found = said.join(at, (F.col("mark") == F.col("_mark")) & (F.col("line") == F.col("_line")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+    words = F.array_distinct(_words(F.col("line_text")))
+    sets = found.select("u", "v", "left", words.alias("w")).groupBy("u", "v").agg(
+        F.first(F.when(F.col("left"), F.col("w")), ignorenulls=True).alias("a"),
+        F.first(F.when(~F.col("left"), F.col("w")), ignorenulls=True).alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    true = (pairs.join(a, "u").join(b, "v").withColumn("_both", both)
-            .filter(100 * F.col("_both") >= percent * (F.size("a") + F.size("b") - F.col("_both"))).select("u", "v"))
-    return lines, written(true, "links")
+    return (sets.withColumn("_both", both).filter(100 * F.col("_both") >= percent * (F.size("a") + F.size("b") - F.col("_both")))
+            .select(F.col("v").alias("row")).distinct())
 
 
-def kept_lines(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, percent: int, least_words: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct lines (row, first, ...) and those of them (row) that match an earlier line."""
+    lines = written(distinct_lines(docs, *rarity_classes(docs), percent, least_words)
+                    .withColumn("row", F.monotonically_increasing_id()), "lines")
+    entries = _entries(lines)
+    pairs = written(_pairs(entries, percent, led=True), "pairs")
+    gone = written(_verified(docs, lines, pairs, percent), "gone")
+    # A line that no earlier one has beaten, though it passed the filters with a leader, meets the others, too.
+    open_rows = written(pairs.filter("by_leader").select(F.col("v").alias("row")).distinct().join(gone, "row", "left_anti"), "open")
+    n = open_rows.count()
+    if n:
+        asked = entries.join(_small(open_rows.withColumn("asked", F.lit(True)), n), "row", "left").withColumn(
+            "asked", F.coalesce("asked", F.lit(False)))
+        keys = written(asked.filter("asked").select("key").distinct(), "keys")
+        more = _pairs(asked.join(_small(keys, keys.count()), "key"), percent, led=False)
+        more = written(more.join(pairs.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
+        gone = written(gone.unionByName(_verified(docs, lines, more, percent)).distinct(), "gone")
+    return lines, gone
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_LINES else df
+
+
+def kept_lines(lines: DataFrame, gone: DataFrame) -> DataFrame:
     """``doc_id, mark, kept``: per document the lines that match no earlier line."""
-    first = lines.select("row", "first")
-    ends = (pairs.join(first.select(F.col("row").alias("u"), F.col("first").alias("uf")), "u")
-            .join(first.select(F.col("row").alias("v"), F.col("first").alias("vf")), "v"))
-    beaten = ends.select(F.when(F.col("uf") < F.col("vf"), F.col("v")).otherwise(F.col("u")).alias("row")).distinct()
-    stay = first.join(beaten, "row", "left_anti")
+    stay = lines.select("row", "first").join(gone, "row", "left_anti")
     return stay.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")).agg(
         F.collect_list("first.line").alias("kept"))
 
@@ -126,14 +195,14 @@ def deduplicate(docs: DataFrame, percent: int = 80, least_words: int = 5, text:
     """Every row of ``docs`` with its text less the lines that match an earlier line, ``n_lines`` and ``n_removed``.
 
     Lines are parted by line feeds. Two match if their sets of words (in lower case) have a Jaccard similarity of
-    ``percent`` or more. The earlier is that of the smaller doc_id (null last), then the earlier in its text;
+    ``percent`` or more. The earlier is that of the smaller doc_id (null last), then of the smaller line number;
     a line leaves if it matches any earlier line, whether that one stays or not. Lines of fewer than
     ``least_words`` different words say too little to be copies; they stay and match nothing. Null texts
     stay null. Rows of equal id and text are treated alike. Input columns named as a result are replaced.
     """
     base = docs.select(column_or(docs, key, "long").alias("doc_id"), F.xxhash64(text_of(docs, text)).alias("mark"),
                        text_of(docs, text).alias("text"))
-    stay = kept_lines(*links(base, percent, least_words)).select(
+    stay = kept_lines(*repeated(base, percent, least_words)).select(
         F.col("doc_id").alias("_line_id"), F.col("mark").alias("_line_mark"), F.col("kept").alias("_line_kept"))
     said = text_of(docs, text)
     joined = docs.withColumn("_line_hash", F.xxhash64(said)).join(
@@ -141,7 +210,7 @@ def deduplicate(docs: DataFrame, percent: int = 80, least_words: int = 5, text:
     lines = F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n", -1)
     short = F.filter(F.transform(lines, lambda x, i: F.when(F.size(F.array_distinct(_words(x))) < least_words, i)),
                      lambda i: i.isNotNull())
-    held = F.array_sort(F.array_union(short, F.coalesce("_line_kept", F.array().cast("array<int>"))))
+    held = F.sort_array(F.array_union(short, F.coalesce("_line_kept", F.array().cast("array<int>"))))
     out = (joined.withColumn("_line_all", lines).withColumn("_line_held", held)
            .withColumn("n_lines", F.size("_line_all").cast("long"))
            .withColumn("n_removed", F.col("n_lines") - F.size("_line_held"))
