@@ -117,8 +117,10 @@ _LABELS = {"row_count": "Row count: ", "not_null": "Null count: ", "uniqueness":
            "value_range": "Negative values: ", "accepted_values": "Values outside the list: "}
 
 
-def _check(table: str, column: str | None, kind: str, suffix: str, count: str, label: str | None = None) -> str:
-    name = f"{table}_{column}_{suffix}" if column else f"{table}_{suffix}"
+def _check(
+    table: str, column: str | None, kind: str, suffix: str, count: str, label: str | None = None, name: str | None = None
+) -> str:
+    name = name or (f"{table}_{column}_{suffix}" if column else f"{table}_{suffix}")
     status = "n > 0" if kind == "row_count" else "n = 0"
     failed = "case when n > 0 then 0 else 1 end" if kind == "row_count" else "n"
     shown_column = f"'{column}'" if column else "cast(null as varchar)"
@@ -143,10 +145,10 @@ def _null(table: str, column: str, relation: str | None = None) -> str:
                   f"select count(*) as n from {relation or _relation(table)} where {column} is null")
 
 
-def _repeated(table: str, column: str) -> str:
+def _repeated(table: str, column: str, **shown: str) -> str:
     return _check(table, column, "uniqueness", "unique",
                   f"select count(*) as n from (select {column} from {_relation(table)} where {column} is not null"
-                  f" group by {column} having count(*) > 1)")
+                  f" group by {column} having count(*) > 1)", **shown)
 
 
 def _negative(table: str, column: str) -> str:
@@ -168,10 +170,15 @@ def _before(table: str, column: str, other: str) -> str:
 _RAW = (("orders", "order_id"), ("order_items", "order_item_id"), ("customers", "customer_id"),
         ("products", "product_id"), ("shipments", "shipment_id"), ("payments", "payment_id"))
 _FUTURE = _check("staging.stg_orders", "order_date", "date_logic", "not_future",
-                 "select count(*) as n from stg_orders where order_date > date '1999-06-30'", "Future dates: ")
+                 "select count(*) as n from stg_orders where order_date > date '1999-06-30'",
+                 "Future order dates: ", "stg_orders_order_date_not_future")
 _AMOUNTS = [_negative("marts.fact_orders", c) for c in ("total_amount", "payment_amount", "shipping_cost")] + [
     _negative("marts.fact_order_items", "line_total")]
-_ORDER = _before("staging.stg_shipments", "delivered_at", "shipped_at")
+# Names and texts under which these results are known.
+_ORDER = _check("staging.stg_shipments", "delivered_at", "date_logic", "",
+                "select count(*) as n from stg_shipments where delivered_at < shipped_at",
+                "Shipments where delivered_at < shipped_at: ", "stg_shipments_delivered_after_shipped")
+_UNIQUE_ORDERS = _repeated("marts.fact_orders", "order_id", label="Duplicate order_ids: ", name="fact_orders_order_id_unique")
 _MODELS = (
     ("staging.stg_orders", "order_id customer_id total_amount"),
     ("staging.stg_order_items", "order_item_id order_id product_id quantity"),
@@ -199,7 +206,7 @@ _HOLED = {
     "payments": "(select case when payment_method not like 'GIFT%' then payment_id end as payment_id from raw_payments)",
 }
 _RUNTIME = ([_rows(f"raw.{s}") for s, _ in _RAW] + [_null(f"raw.{s}", k) for s, k in _RAW]
-            + [_repeated("marts.fact_orders", "order_id")] + _AMOUNTS + [_ORDER, _FUTURE])
+            + [_UNIQUE_ORDERS] + _AMOUNTS + [_ORDER, _FUTURE])
 
 
 def _age(relation: str, schema: str, table: str) -> str:
@@ -224,7 +231,7 @@ _MEAN_DAYS = "cast(sum(delivery_micros) as double) / 86400000000.0 / cast(count(
 ORACLES |= {
     "q1_row_counts": _union([_rows(f"raw.{s}") for s, _ in _RAW]),
     "q2_null_keys": _union([_null(f"raw.{s}", k, _HOLED.get(s)) for s, k in _RAW]),
-    "q3_duplicate_keys": _union([_repeated("marts.fact_orders", "order_id"), _repeated("raw.order_items", "order_item_id")]),
+    "q3_duplicate_keys": _union([_UNIQUE_ORDERS, _repeated("raw.order_items", "order_item_id")]),
     "q4_negative_amounts": _union([*_AMOUNTS, _negative("customer", "c_acctbal"), _negative("supplier", "s_acctbal")]),
     "q5_date_order": _union([_ORDER, _before("marts.fact_shipping_performance", "shipped_at", "order_date")]),
     "q6_future_dates": _FUTURE,

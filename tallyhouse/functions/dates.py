@@ -28,9 +28,10 @@ def hours_between(start: Column, end: Column) -> Column:
 def mean_days(days: Column) -> Column:
     """Mean of fractional days, summed as whole microseconds.
 
-    A sum of doubles depends on the order tasks finish in; this one does not.
+    A sum of doubles depends on the order tasks finish in; this one does not, and
+    as a decimal it does not run over.
     """
-    micros = F.round(days * F.lit(float(MICROS_PER_DAY))).cast("bigint")
+    micros = F.round(days * F.lit(float(MICROS_PER_DAY))).cast("decimal(20,0)")
     total = F.sum(micros).cast("double") / F.lit(float(MICROS_PER_DAY))
     return total / F.nullif(F.count(days), F.lit(0)).cast("double")
 

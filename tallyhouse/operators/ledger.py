@@ -48,15 +48,15 @@ def _newest(columns: list[str]) -> Column:
     return F.max_by(values, F.struct("event_at", "event_seq")).alias("_newest")
 
 
-def file_states(events: DataFrame) -> DataFrame:
-    """One row per registered file.
+def file_states(events: DataFrame, *within: str) -> DataFrame:
+    """One row per registered file, known by its number ``within`` the given columns.
 
     ``loaded_at`` is the last time the file was loaded and outlives later
     status changes.
     """
     kept = [f.name for f in FILE_EVENTS.fields if f.name not in ("source_file_id", "event_at", "event_seq")]
     return (
-        events.groupBy("source_file_id")
+        events.groupBy(*within, "source_file_id")
         .agg(
             _newest(kept),
             F.min("event_at").alias("discovered_at"),
@@ -66,11 +66,11 @@ def file_states(events: DataFrame) -> DataFrame:
     )
 
 
-def run_states(events: DataFrame) -> DataFrame:
-    """One row per ingestion run; an unfinished run has no finish time."""
+def run_states(events: DataFrame, *within: str) -> DataFrame:
+    """One row per ingestion run, known by its number ``within`` the given columns; an unfinished run has no finish time."""
     kept = ["job_id", "source_name", "file_name", "event_at", "status", "rows_loaded", "error_message"]
     return (
-        events.groupBy("ingestion_run_id")
+        events.groupBy(*within, "ingestion_run_id")
         .agg(_newest(kept), F.min("event_at").alias("started_at"))
         .select(
             "ingestion_run_id", "_newest.job_id", "_newest.source_name", "_newest.file_name", "started_at",

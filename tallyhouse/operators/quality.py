@@ -24,7 +24,10 @@ RESULT_COLUMNS = ("check_name", "table_name", "column_name", "check_type", "chec
 
 @dataclass(frozen=True)
 class Rule:
-    """``kind`` is one of the keys of ``_KINDS``; ``values`` and ``other`` parametrise it."""
+    """``kind`` is one of the keys of ``_KINDS``; ``values`` and ``other`` parametrise it.
+
+    ``label`` replaces the kind's text before the count in the details.
+    """
 
     table: str
     column: str | None
@@ -32,6 +35,7 @@ class Rule:
     name: str
     values: tuple[str, ...] = ()
     other: str | None = None
+    label: str | None = None
 
 
 # Kind -> (check type shown in results, text before the count in the details)
@@ -116,6 +120,7 @@ def _results(counts: DataFrame, rules: Sequence[Rule], now: Column) -> DataFrame
     rows = []
     for i, rule in enumerate(rules):
         kind, label = _KINDS[rule.kind]
+        label = rule.label or label
         count = F.col(f"_c{i}")
         passed = count > 0 if rule.kind == "has_rows" else count == 0
         failed_rows = F.when(count > 0, F.lit(0)).otherwise(F.lit(1)) if rule.kind == "has_rows" else count

@@ -1,59 +1,75 @@
 """Joins that stay balanced when one key holds a large share of a side.
 
 Spark's own skew handling splits only the preserved side of an outer join, and
-only when the join is alone in its stage. ``spread_join`` covers the rest: rows
-of hot keys are cut into salted slices, and the rows they meet are repeated once
-per slice. Rows of all other keys take the ordinary join.
+only when the join is alone in its stage. ``spread_join`` covers the rest, in one
+join on key and slice: rows of hot keys are salted into slices, and the rows
+they meet are repeated once per slice. Rows of all other keys have slice 0.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this share of the rows on; fewer than 100 keys can be.
-HOT_SHARE = 0.01
+# A key is hot if it holds more rows than this many average tasks of a shuffle.
+HOT_TASKS = 4
+# At most so many keys per column are looked for; the frequency sketches are sized to find them.
+MOST_KEYS = 2_000
 # Below this many rows a single task copes without help.
 HOT_ROWS = 1_000_000
+# Slices of a key whose number of rows is not known.
 SLICES = 64
 
-_TRACKED = 1024  # entries per frequency sketch
 _SKETCH_GROUPS = 64
 
 
 @dataclass(frozen=True)
 class HotKeys:
+    """Keys to slice; ``parts`` has the number of slices per key, ``null_parts`` that of NULL, if known."""
+
     keys: tuple[str, ...] = ()
     null: bool = False
+    parts: tuple[int, ...] = ()
+    null_parts: int = 0
 
     def __bool__(self) -> bool:
         return bool(self.keys) or self.null
 
-    def __or__(self, other: HotKeys) -> HotKeys:
-        return HotKeys(tuple(sorted(set(self.keys) | set(other.keys))), self.null or other.null)
+    def slices(self, column: Column, unknown: int) -> Column:
+        """The number of slices of a row's key, 1 for keys that are not hot."""
+        by_number: dict[int, list[str]] = {}
+        for key, number in zip(self.keys, self.parts or (unknown,) * len(self.keys), strict=True):
+            by_number.setdefault(number, []).append(key)
+        out = F.lit(1)
+        for number, keys in sorted(by_number.items()):
+            out = F.when(column.isin(*keys), F.lit(number)).otherwise(out)
+        return F.when(column.isNull(), F.lit(self.null_parts or unknown)).otherwise(out) if self.null else out
 
 
 COLD = HotKeys()
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> HotKeys:
-    """Keys that hold at least ``share`` of the rows, and NULL if it does."""
-    return hot_keys_each({key: (df, key)}, share, min_rows)[key]
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> HotKeys:
+    """Keys that hold more rows than a few tasks of a shuffle, and NULL if it does."""
+    return hot_keys_each({key: (df, key)}, min_rows)[key]
 
 
-def hot_keys_each(
-    columns: Mapping[str, tuple[DataFrame, str]], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> dict[str, HotKeys]:
+def hot_keys_each(columns: Mapping[str, tuple[DataFrame, str]], min_rows: int = HOT_ROWS) -> dict[str, HotKeys]:
     """The hot keys of several (table, key column) pairs, found in one job.
 
     One scan of each key column without shuffling it: every task fills a
     fixed-size frequency sketch, and the sketches are merged in two steps. At
-    most ``1 / share`` keys per pair reach the driver.
+    most ``MOST_KEYS`` keys per pair reach the driver. The limit is a number of
+    tasks, not of rows, so a task's load does not grow with the table.
     """
+    frames = [df for df, _ in columns.values()]
+    tasks = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(1, min(MOST_KEYS, tasks // HOT_TASKS))
+    tracked = max(1024, 4 * wanted)
     parts = [
         df.select(F.lit(label).alias("label"), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("part"),
                   F.col(key).cast("string").alias("k"))
@@ -63,13 +79,13 @@ def hot_keys_each(
         reduce(DataFrame.unionByName, parts)
         .groupBy("label", "part")
         .agg(
-            F.expr(f"approx_top_k_accumulate(k, {_TRACKED})").alias("sketch"),
+            F.expr(f"approx_top_k_accumulate(k, {tracked})").alias("sketch"),
             F.count("*").alias("rows"),
             F.count_if(F.col("k").isNull()).alias("nulls"),
         )
         .groupBy("label")
         .agg(
-            F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED}), {int(1 / share)})").alias("top"),
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {wanted})").alias("top"),
             F.sum("rows").alias("rows"),
             F.sum("nulls").alias("nulls"),
         )
@@ -77,9 +93,17 @@ def hot_keys_each(
     )
     result = dict.fromkeys(columns, COLD)
     for row in found:
-        limit = max(min_rows, share * row.rows)
-        keys = sorted(t["item"] for t in row.top if t["item"] is not None and t["count"] >= limit)
-        result[row.label] = HotKeys(tuple(keys), row.nulls >= limit)
+        per_task = max(1, row.rows / max(tasks, 1))
+        limit = max(min_rows, min(HOT_TASKS * per_task, row.rows / HOT_TASKS))
+
+        def parts_of(rows: int, per_task: float = per_task) -> int:
+            # Powers of two, so that few different numbers occur.
+            return 1 << max(1, int(rows // per_task).bit_length())
+
+        top = sorted((t["item"], t["count"]) for t in row.top if t["item"] is not None and t["count"] >= limit)
+        null = row.nulls >= limit
+        result[row.label] = HotKeys(tuple(k for k, _ in top), null, tuple(parts_of(n) for _, n in top),
+                                    parts_of(row.nulls) if null else 0)
     return result
 
 
@@ -92,7 +116,7 @@ def spread_join(
     right_hot: HotKeys = COLD,
     slices: int = SLICES,
 ) -> DataFrame:
-    """Equi-join on ``key`` with the hot keys of either side sliced.
+    """Equi-join on ``key`` with the hot keys of either side sliced, in one join.
 
     ``how`` is inner, left, left_semi or left_anti. The hot sets are hints: a
     key listed too much or left out changes the plan, never the result.
@@ -103,27 +127,33 @@ def spread_join(
         # Only the keys matter on this side; one row each cannot be hot.
         right = right.select(key).distinct()
         right_hot = COLD
-    if right_hot.keys and how == "left":
-        right_hot = _present(right, key, right_hot)
-    hot = left_hot | HotKeys(right_hot.keys)
-    if not hot:
+    right_hot = HotKeys(right_hot.keys, False, right_hot.parts)  # NULL meets nothing
+    if not (left_hot or right_hot):
         return left.join(right, key, how)
 
     column = F.col(key)
-    cold = left.filter(~_among(column, hot)).join(right.filter(~_among(column, HotKeys(hot.keys))), key, how)
-
-    hot_left = _salt(left.filter(_among(column, hot)), key, left_hot, "_l", slices)
-    hot_left = _repeat(hot_left, key, right_hot, "_r", slices)
-    hot_right = _salt(right.filter(_among(column, HotKeys(hot.keys))), key, right_hot, "_r", slices)
-    hot_right = _repeat(hot_right, key, left_hot, "_l", slices)
-    if how != "left":
-        joined = hot_left.join(hot_right, [key, "_l", "_r"], how)
+    kept = left.columns
+    left_parts, right_parts = left_hot.slices(column, slices), right_hot.slices(column, slices)
+    sides = left.withColumn("_l", _slot(left, left_parts)), right.withColumn("_r", _slot(right, right_parts))
+    if how == "left" and right_hot:
+        # A key that the right side does not have must not be repeated, or its rows would come out once per slice.
+        there = right.filter(column.isin(*right_hot.keys)).select(key).distinct().withColumn("_there", F.lit(True))
+        first = sides[0].join(F.broadcast(there), key, "left")  # at most one row per hot key
+        repeated = F.when(F.col("_there"), right_parts).otherwise(F.lit(1))
     else:
-        joined = hot_left.join(hot_right.withColumn("_hit", F.lit(True)), [key, "_l", "_r"], "left")
-        # A key known to exist on the right matches in some slice, so the
-        # null-extended copies from its other slices are not results.
-        joined = joined.filter(F.col("_hit").isNotNull() | ~_among(column, HotKeys(right_hot.keys))).drop("_hit")
-    return cold.unionByName(joined.drop("_l", "_r"))
+        first, repeated = sides[0].withColumn("_there", F.lit(True)), right_parts
+    first = first.withColumn("_r", F.explode(F.sequence(F.lit(0), repeated - 1)))
+    # NULL meets nothing, so only keys are repeated.
+    met = HotKeys(left_hot.keys, False, left_hot.parts).slices(column, slices)
+    second = sides[1].withColumn("_l", F.explode(F.sequence(F.lit(0), met - 1)))
+    if how != "left":
+        return first.join(second, [key, "_l", "_r"], how).drop("_l", "_r", "_there")
+    joined = first.join(second.withColumn("_hit", F.lit(True)), [key, "_l", "_r"], "left")
+    if right_hot:
+        # Such a key matches in some slice; what its other slices left without a match is no result.
+        single = ~F.coalesce(F.col("_there"), F.lit(False)) | ~F.coalesce(column.isin(*right_hot.keys), F.lit(False))
+        joined = joined.filter(F.col("_hit").isNotNull() | single)
+    return joined.select(*kept, *[c for c in right.columns if c != key])
 
 
 def bounded_broadcast(
@@ -131,13 +161,13 @@ def bounded_broadcast(
 ) -> DataFrame | None:
     """``df`` marked for broadcast if it provably fits, else None.
 
-    ``row_bytes`` is the most one row can take; counting stops one row past
-    what the limit allows. A ``superset`` that is cheaper to count, such as the
-    stored rows ``df`` is computed from, is tried first.
+    ``row_bytes`` is the most one row can take. A ``superset`` that is cheaper to
+    count, such as the stored rows ``df`` is computed from, is tried first.
     """
     allowed = max(1, limit_bytes // row_bytes)
     for rows in (superset, df):
-        if rows is not None and rows.limit(allowed + 1).count() <= allowed:
+        # A plain count: one number per task, for stored rows from the files' footers.
+        if rows is not None and rows.count() <= allowed:
             return F.broadcast(df)
     return None
 
@@ -161,24 +191,6 @@ def join_dimension(
     return spread_join(facts, dimension, key, left_hot=hot_keys(raw_facts if raw_facts is not None else facts, key))
 
 
-def _among(column: Column, hot: HotKeys) -> Column:
-    listed = F.coalesce(column.isin(*hot.keys), F.lit(False)) if hot.keys else F.lit(False)
-    return (listed | column.isNull()) if hot.null else listed
-
-
-def _salt(df: DataFrame, key: str, hot: HotKeys, name: str, slices: int) -> DataFrame:
-    # From the row's content, so a re-run task puts each row in the same slice.
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(slices)).cast("int")
-    return df.withColumn(name, F.when(_among(F.col(key), hot), slot).otherwise(F.lit(0)))
-
-
-def _repeat(df: DataFrame, key: str, hot: HotKeys, name: str, slices: int) -> DataFrame:
-    every = F.sequence(F.lit(0), F.lit(slices - 1))
-    if not hot.keys:
-        return df.withColumn(name, F.lit(0))
-    return df.withColumn(name, F.explode(F.when(_among(F.col(key), HotKeys(hot.keys)), every).otherwise(F.array(F.lit(0)))))
-
-
-def _present(df: DataFrame, key: str, hot: HotKeys) -> HotKeys:
-    rows: Iterable = df.filter(F.col(key).isin(*hot.keys)).select(key).distinct().collect()
-    return HotKeys(tuple(sorted(r[0] for r in rows)))
+def _slot(df: DataFrame, parts: Column) -> Column:
+    """The slice of a row, from its content, so a re-run task puts each row in the same slice."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), parts.cast("bigint")).cast("int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from ..operators.quality import (
     Rule, accepted_values, has_rows, not_before, not_future, not_negative, not_null, unique,
 )
@@ -12,7 +14,9 @@ from ..specs import (
 
 RAW_HAS_ROWS = [has_rows(f"raw.{s}") for s in SOURCES]
 RAW_KEYS = [not_null(f"raw.{s.name}", s.key) for s in SOURCES.values()]
-ORDER_UNIQUE = [unique("marts.fact_orders", "order_id")]
+# The names and texts under which these results are known.
+ORDER_UNIQUE = [replace(unique("marts.fact_orders", "order_id"), name="fact_orders_order_id_unique",
+                        label="Duplicate order_ids: ")]
 AMOUNTS = [
     not_negative("marts.fact_orders", "total_amount"),
     not_negative("marts.fact_orders", "payment_amount"),
@@ -20,8 +24,10 @@ AMOUNTS = [
     not_negative("marts.fact_order_items", "line_total"),
 ]
 DATES = [
-    not_before("staging.stg_shipments", "delivered_at", "shipped_at"),
-    not_future("staging.stg_orders", "order_date"),
+    replace(not_before("staging.stg_shipments", "delivered_at", "shipped_at"), name="stg_shipments_delivered_after_shipped",
+            label="Shipments where delivered_at < shipped_at: "),
+    replace(not_future("staging.stg_orders", "order_date"), name="stg_orders_order_date_not_future",
+            label="Future order dates: "),
 ]
 RUNTIME_RULES: list[Rule] = [*RAW_HAS_ROWS, *RAW_KEYS, *ORDER_UNIQUE, *AMOUNTS, *DATES]
 

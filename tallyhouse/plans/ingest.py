@@ -6,6 +6,8 @@ the driver handles header signatures and bounded chunks of file names.
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -21,10 +23,13 @@ from py4j.protocol import Py4JError
 from ..operators.ledger import FILE_EVENTS, RUN_EVENTS, batch_rollup, not_yet_loaded, outcomes
 from ..sources.lake import COMMITS, OUTCOMES, Lake
 from ..sources.manifest import dated, fingerprint, recognise, validated
-from ..sources.readers import SPLIT_BYTES, read_csv_files, read_parquet_files, with_line_breaks
+from ..sources.readers import read_csv_files, read_parquet_files
 from ..specs import LINEAGE, SOURCES, lookup
 
 FILES_PER_READ = 5_000
+# Error conditions that speak of what is in a file.
+_DATA_FAULT = re.compile(r"\[(FAILED_READ_FILE|CANNOT_READ_FILE|MALFORMED|PATH_NOT_FOUND|UNABLE_TO_INFER_SCHEMA|"
+                         r"CANNOT_MERGE_SCHEMAS|FAILED_MERGE_SCHEMA|PARQUET|UNSUPPORTED_FEATURE|CAST_INVALID_INPUT|INVALID_UTF8)")
 
 
 class AllFilesFailed(RuntimeError):
@@ -56,13 +61,14 @@ def run_batch(
     and then after recording them.
     """
     spark = lake.spark
+    began = time.monotonic()
     batch_id = batch_id or f"{batch_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     folder = f"_batch_id={batch_id}"
     files = _register(lake, landing, batch_ts, paths, on_extra, lake.path("work", folder))
 
     errors = _load_groups(lake, files, batch_ts, folder)
     result = _outcomes(spark, lake, files, errors, folder, lake.path("work", folder, "outcomes"))
-    _record(lake, result, batch_ts, batch_id, folder, job_id)
+    _record(lake, result, batch_ts, time.monotonic() - began, batch_id, folder, job_id)
     total = batch_rollup(result.select(F.lit(batch_id).alias("batch_id"), "status")).first()
     if total is None:
         return BatchResult(batch_id, 0, 0, 0)
@@ -117,9 +123,8 @@ def _chunks(rows: Iterator, size: int) -> Iterator[list]:
 
 def _load_groups(lake: Lake, files: DataFrame, batch_ts: datetime, folder: str) -> list[tuple[int, str]]:
     """Read and append the loadable files, group by group; the run ids that could not be read."""
-    todo = files.filter(F.col("is_valid") & F.col("load_error").isNull()).withColumn(
-        "_large", (F.col("file_type") == "csv") & (F.col("file_size_bytes") > SPLIT_BYTES))
-    group = ["source_name", "file_type", "file_columns", "layout", "_large"]
+    todo = files.filter(F.col("is_valid") & F.col("load_error").isNull())
+    group = ["source_name", "file_type", "file_columns", "layout"]
     errors: list[tuple[int, str]] = []
     for key in todo.select(*group).distinct().collect():  # one row per header layout
         members = todo
@@ -127,19 +132,11 @@ def _load_groups(lake: Lake, files: DataFrame, batch_ts: datetime, folder: str)
             members = members.filter(F.col(column).eqNullSafe(F.lit(key[column])))
         names = members.select("file_path", "load_path", "ingestion_run_id", "file_name", "loaded_at")
         for chunk in _chunks(names.toLocalIterator(), FILES_PER_READ):
-            parts = {"whole": chunk}
-            if key["_large"]:
-                broken = with_line_breaks(lake.spark, [c.load_path for c in chunk])
-                parts = {"lines": [c for c in chunk if c.file_path not in broken],
-                         "records": [c for c in chunk if broken.get(c.file_path)]}
-                errors += [(c.ingestion_run_id, "a quoted cell is never closed")
-                           for c in chunk if broken.get(c.file_path) is False]
-            for layout, part in parts.items():
-                errors += _load(lake, key, part, layout, folder)
+            errors += _load(lake, key, chunk, folder)
     return errors
 
 
-def _load(lake: Lake, key, chunk: list, layout: str, folder: str) -> list[tuple[int, str]]:
+def _load(lake: Lake, key, chunk: list, folder: str) -> list[tuple[int, str]]:
     """Append the rows of the files; on a read error, halve to find the files at fault."""
     if not chunk:
         return []
@@ -147,7 +144,7 @@ def _load(lake: Lake, key, chunk: list, layout: str, folder: str) -> list[tuple[
     try:
         paths = [c.load_path for c in chunk]
         if key["file_type"] == "csv":
-            rows = read_csv_files(spark, paths, name, key["file_columns"], layout)
+            rows = read_csv_files(spark, paths, name, key["file_columns"])
         else:
             rows = read_parquet_files(spark, paths, name)
         about = spark.createDataFrame(
@@ -158,10 +155,12 @@ def _load(lake: Lake, key, chunk: list, layout: str, folder: str) -> list[tuple[
         lake.append(rows.select(*SOURCES[name].columns, *LINEAGE.names, "_fault"), "raw", name, folder)
         return []
     except (PySparkException, Py4JError) as e:
+        if not _DATA_FAULT.search(str(e)):
+            raise  # a lost executor or a full disk is no fault of a file
         if len(chunk) == 1:
-            return [(chunk[0].ingestion_run_id, str(e).splitlines()[0][:500])]
+            return [(chunk[0].ingestion_run_id, str(e))]
         half = len(chunk) // 2
-        return _load(lake, key, chunk[:half], layout, folder) + _load(lake, key, chunk[half:], layout, folder)
+        return _load(lake, key, chunk[:half], folder) + _load(lake, key, chunk[half:], folder)
 
 
 def _outcomes(
@@ -185,28 +184,33 @@ def _events(files: DataFrame, schema, steps: Sequence[tuple]) -> DataFrame:
     """One event row per step whose condition holds for the file."""
     rows = F.array_compact(F.array(*[
         F.when(condition, F.struct(F.lit(seq).cast("bigint").alias("event_seq"), status.alias("status"),
-                                   error.cast("string").alias("error_message"), count.cast("bigint").alias("rows_loaded")))
-        for seq, (condition, status, error, count) in enumerate(steps)
+                                   error.cast("string").alias("error_message"), count.cast("bigint").alias("rows_loaded"),
+                                   at.cast("timestamp_ntz").alias("event_at")))
+        for seq, (condition, status, error, count, at) in enumerate(steps)
     ]))
-    own = ("event_seq", "status", "error_message", "rows_loaded")
+    own = ("event_seq", "status", "error_message", "rows_loaded", "event_at")
     spread = files.withColumn("_e", F.explode(rows))
     return spread.select(*[
         F.col(f"_e.{f.name}" if f.name in own else f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _record(lake: Lake, result: DataFrame, batch_ts: datetime, batch_id: str, folder: str, job_id: str) -> None:
+def _record(
+    lake: Lake, result: DataFrame, batch_ts: datetime, seconds: float, batch_id: str, folder: str, job_id: str
+) -> None:
     """Append ledger events and outcomes, then the commit row that makes the batch count."""
     none, always = F.lit(None), F.lit(True)
-    stamped = result.withColumns({"event_at": F.col("loaded_at"), "job_id": F.lit(job_id)})
+    stamped = result.withColumn("job_id", F.lit(job_id))
+    start = F.col("loaded_at")
+    end = F.timestamp_add("MICROSECOND", F.lit(max(1, int(seconds * 1e6))), start)
     lake.append(_events(stamped, FILE_EVENTS, [
-        (always, F.lit("discovered"), none, none),
-        (F.col("is_valid"), F.lit("validated"), none, none),
-        (always, F.col("file_status"), F.col("error"), none),
+        (always, F.lit("discovered"), none, none, start),
+        (F.col("is_valid"), F.lit("validated"), none, none, start),
+        (always, F.col("file_status"), F.col("error"), none, end),
     ]), "metadata", "file_events", folder)
     has_run = F.col("run_status").isNotNull()
     lake.append(_events(stamped, RUN_EVENTS, [
-        (has_run, F.lit("running"), none, none),
-        (has_run, F.col("run_status"), F.col("error"), F.col("rows_loaded")),
+        (has_run, F.lit("running"), none, none, start),
+        (has_run, F.col("run_status"), F.col("error"), F.col("rows_loaded"), end),
     ]), "metadata", "run_events", folder)
     lake.append(result.withColumn("batch_id", F.lit(batch_id)).select(*OUTCOMES.names), "metadata", "outcomes", folder)
     lake.append(lake.spark.createDataFrame([(batch_id, batch_ts)], COMMITS), "metadata", "batches")

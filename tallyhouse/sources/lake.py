@@ -57,38 +57,36 @@ class Lake:
     def commits(self) -> DataFrame:
         return self._read(self.path("metadata", "batches"), COMMITS)
 
-    def _committed(self) -> list[str]:
-        """One short id per finished batch."""
-        return [row.batch_id for row in self.commits().select("batch_id").distinct().toLocalIterator()]
-
     def _of_commits(self, path: str, schema: T.StructType) -> DataFrame:
-        # Batches are folders, so this prunes to the folders that count.
+        """Rows of finished batches, with ``_batch_id``. Batches are folders, one commit row each."""
         rows = self._read(path, with_field(schema, "_batch_id", T.StringType()))
-        return rows.filter(F.col("_batch_id").isin(self._committed())).drop("_batch_id")
+        done = self.commits().select(F.col("batch_id").alias("_batch_id")).distinct()
+        return rows.join(done, "_batch_id", "left_semi").select(*schema.names, "_batch_id")
 
     def file_events(self) -> DataFrame:
-        return self._of_commits(self.path("metadata", "file_events"), FILE_EVENTS)
+        return self._of_commits(self.path("metadata", "file_events"), FILE_EVENTS).drop("_batch_id")
 
     def run_events(self) -> DataFrame:
-        return self._of_commits(self.path("metadata", "run_events"), RUN_EVENTS)
+        return self._of_commits(self.path("metadata", "run_events"), RUN_EVENTS).drop("_batch_id")
 
     def source_files(self) -> DataFrame:
-        return file_states(self.file_events())
+        # Batches that overlap can give out the same numbers, so a file is known by batch and number.
+        return file_states(self._of_commits(self.path("metadata", "file_events"), FILE_EVENTS), "_batch_id")
 
     def ingestion_runs(self) -> DataFrame:
-        return run_states(self.run_events())
+        return run_states(self._of_commits(self.path("metadata", "run_events"), RUN_EVENTS), "_batch_id")
 
     def outcomes(self) -> DataFrame:
-        return self._of_commits(self.path("metadata", "outcomes"), OUTCOMES)
+        return self._of_commits(self.path("metadata", "outcomes"), OUTCOMES).drop("_batch_id")
 
     def raw(self, name: str) -> DataFrame:
         """Raw rows of all successfully loaded files."""
         stored = with_field(raw_schema(name), "_fault", T.StringType())
         rows = self._of_commits(self.path("raw", name), stored)
-        failed = self.run_events().filter(F.col("status") == "failed").select(
-            F.col("ingestion_run_id").alias("_ingestion_run_id"))
-        few = bounded_broadcast(failed, row_bytes=16)
-        return rows.join(failed if few is None else few, "_ingestion_run_id", "left_anti").select(*raw_schema(name).names)
+        runs = self._of_commits(self.path("metadata", "run_events"), RUN_EVENTS)
+        failed = runs.filter(F.col("status") == "failed").select("_batch_id", F.col("ingestion_run_id").alias("_ingestion_run_id"))
+        few = bounded_broadcast(failed, row_bytes=128)
+        return rows.join(failed if few is None else few, ["_batch_id", "_ingestion_run_id"], "left_anti").select(*raw_schema(name).names)
 
     def written(self, name: str, folder: str) -> DataFrame:
         """Run ids and faults of the rows a batch wrote, committed or not."""

@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from ..functions import file_date, file_extension
 from ..specs import SUPPORTED_EXTENSIONS, lookup
+from .readers import literal_path
 
 # Larger files are hashed as a stream instead of as one value.
 WHOLE_FILE_BYTES = 512 << 20
-_HEADER_BYTES = 1 << 16
 
 MANIFEST = T.StructType([
     T.StructField("file_path", T.StringType()),
@@ -29,8 +29,12 @@ MANIFEST = T.StructType([
     T.StructField("checksum", T.StringType()),
     T.StructField("file_columns", T.ArrayType(T.StringType())),
     T.StructField("layout", T.StringType()),
+    T.StructField("content_fault", T.StringType()),
 ])
 
+# What a file says that can't be taken in at all.
+NOT_UTF8 = "File is not valid UTF-8"
+
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Path and size of every file below the given folders; contents stay unread."""
@@ -71,8 +75,7 @@ def csv_header(line: Column) -> Column:
         c.startswith('"'), F.replace(F.regexp_extract(c, r'^"(.*)"$', 1), F.lit('""'), F.lit('"'))).otherwise(c))
 
 
-def _first_line(content: Column) -> Column:
-    text = F.decode(F.substring(content, 1, _HEADER_BYTES), "UTF-8")
+def _first_line(text: Column) -> Column:
     return F.regexp_extract(text, r"^(?:[ \t]*\r?\n)*([^\r\n]*)", 1)
 
 
@@ -106,10 +109,17 @@ def _footer_reader():
     return F.pandas_udf(read, "names array<string>, layout string")
 
 
+def _header_of(decoded: str) -> str | None:
+    """The first line that is not blank, once it is complete."""
+    lines = decoded.replace("\r\n", "\n").replace("\r", "\n").split("\n")
+    return next((line for line in lines[:-1] if line.strip(" \t")), None)
+
+
 def _stream_reader():
-    """Checksum and header of files too large for one value, read in pieces."""
+    """Checksum and header of files too large for one value, read in pieces. What goes wrong marks the file."""
 
     def read(batches: Iterator) -> Iterator:
+        import codecs
         import hashlib
 
         import pyarrow.fs as pafs
@@ -118,24 +128,34 @@ def _stream_reader():
         for batch in batches:
             rows = []
             for file_path, load_path, size in zip(batch.file_path, batch.load_path, batch.file_size_bytes):
-                uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", load_path))
-                filesystem, inner = pafs.FileSystem.from_uri(uri)
-                digest, head = hashlib.sha256(), b""
-                with filesystem.open_input_stream(inner) as stream:
-                    while piece := stream.read(8 << 20):
-                        digest.update(piece)
-                        head = head or bytes(piece[:_HEADER_BYTES])
-                names = layout = None
-                if load_path.endswith(".parquet"):
-                    try:
+                digest, start, line, names, layout, fault = hashlib.sha256(), "", None, None, None, None
+                is_csv = not load_path.endswith(".parquet")
+                decoder = codecs.getincrementaldecoder("utf-8")()
+                try:
+                    uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "file:///", load_path))
+                    filesystem, inner = pafs.FileSystem.from_uri(uri)
+                    with filesystem.open_input_stream(inner) as stream:
+                        while piece := stream.read(8 << 20):
+                            digest.update(piece)
+                            if is_csv and fault is None:
+                                try:
+                                    text = decoder.decode(piece)
+                                    if line is None:
+                                        start += text
+                                        line = _header_of(start)
+                                except UnicodeDecodeError:
+                                    fault = NOT_UTF8
+                    if is_csv and line is None:
+                        line = _header_of(start + "\n") or ""
+                    if not is_csv:
                         with filesystem.open_input_file(inner) as f:
                             schema = pq.read_schema(f)
                         names, layout = list(schema.names), ", ".join(f"{f.name}:{f.type}" for f in schema)
-                    except Exception:  # noqa: BLE001 - as for small files
-                        pass
-                rows.append((file_path, load_path, size, digest.hexdigest(), head, names, layout))
+                except Exception as e:  # noqa: BLE001 - an unreadable file must not stop the others
+                    fault = fault or (f"Could not read file: {e}" if is_csv else None)
+                rows.append((file_path, load_path, size, digest.hexdigest(), line, names, layout, fault))
             yield pd.DataFrame(
-                rows, columns=["file_path", "load_path", "file_size_bytes", "checksum", "head", "names", "layout"])
+                rows, columns=["file_path", "load_path", "file_size_bytes", "checksum", "line", "names", "layout", "content_fault"])
 
     return read
 
@@ -144,7 +164,7 @@ def _files(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> Dat
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-        .load([paths] if isinstance(paths, str) else list(paths))
+        .load([paths] if isinstance(paths, str) else [literal_path(p) for p in paths])
         .select(F.col("_metadata.file_path").alias("file_path"), F.col("path").alias("load_path"),
                 F.col("length").alias("file_size_bytes"), "content")
     )
@@ -166,20 +186,24 @@ def fingerprint(
         files = _files(spark, paths, pattern)
         whole = files.filter(size <= whole_file_bytes)
         if is_csv:
-            whole = whole.select(*facts, checksum(content).alias("checksum"), _first_line(content).alias("line"))
+            text = content.cast("string")
+            valid = F.is_valid_utf8(text)
+            # The header is the first line of the whole file, however long.
+            whole = whole.select(*facts, checksum(content).alias("checksum"), F.when(valid, _first_line(text)).alias("line"),
+                                 F.when(~valid, F.lit(NOT_UTF8)).alias("content_fault"))
             whole = whole.withColumns({"file_columns": csv_header(F.col("line")), "layout": F.lit(None).cast("string")})
         else:
             whole = whole.select(*facts, checksum(content).alias("checksum"), _parquet_tail(content, size).alias("tail"))
             whole = whole.withColumn("_schema", _footer_reader()("tail")).withColumns(
-                {"file_columns": F.col("_schema.names"), "layout": F.col("_schema.layout")})
+                {"file_columns": F.col("_schema.names"), "layout": F.col("_schema.layout"), "content_fault": F.lit(None).cast("string")})
         parts.append(whole.select(*MANIFEST.names))
         large = files.filter(size > whole_file_bytes).select(*facts)
         if large.isEmpty():
             continue
         streamed = large.mapInPandas(
-            _stream_reader(), "file_path string, load_path string, file_size_bytes long, checksum string, head binary,"
-                              " names array<string>, layout string")
-        names = csv_header(_first_line(F.col("head"))) if is_csv else F.col("names")
+            _stream_reader(), "file_path string, load_path string, file_size_bytes long, checksum string, line string,"
+                              " names array<string>, layout string, content_fault string")
+        names = csv_header(F.col("line")) if is_csv else F.col("names")
         parts.append(streamed.withColumn("file_columns", names).select(*MANIFEST.names))
     return reduce(DataFrame.unionByName, parts)
 
@@ -198,11 +222,13 @@ def validated(files: DataFrame) -> DataFrame:
     Order: extension, source, size, readability, columns. Extra columns pass.
     """
     extension, size = file_extension(F.col("file_name")), F.col("file_size_bytes")
+    fault = F.col("content_fault") if "content_fault" in files.columns else F.lit(None).cast("string")
     required = lookup(F.col("source_name"), lambda s: s.required)  # NULL for an unknown source
     first_look = (
         F.when(~extension.isin(*SUPPORTED_EXTENSIONS), F.concat(F.lit("Unsupported file type '"), extension, F.lit("'")))
         .when(required.isNull(), F.concat(F.lit("Unknown source name '"), F.coalesce("source_name", F.lit("")), F.lit("'")))
         .when(size == 0, F.concat(F.lit("File is empty: "), F.col("file_name")))
+        .when(fault.isNotNull(), F.concat(fault, F.lit(": "), F.col("file_name")))
         .when(F.col("file_columns").isNull(), F.concat(F.lit("Could not read file columns: "), F.col("file_name")))
     )
     missing = F.when(F.col("validation_error").isNull(), F.array_except(required, F.col("file_columns"))) \

@@ -7,18 +7,16 @@ without a word.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import null_tokens, plain_text
 from ..specs import source
 
-# Larger CSV files are split between tasks if no cell holds a line break.
-SPLIT_BYTES = 256 << 20
-
 
 def _any_fault(checks: Sequence[Column]) -> Column:
     return F.nullif(F.concat_ws("; ", *checks), F.lit(""))
@@ -38,16 +36,18 @@ def _in_order(df: DataFrame, name: str, fault: Column) -> DataFrame:
     return df.select(*columns, "_file", fault.alias("_fault"))
 
 
-def read_csv_files(
-    spark: SparkSession, paths: Sequence[str], name: str, header: Sequence[str], layout: str = "whole"
-) -> DataFrame:
+def literal_path(path: str) -> str:
+    """The path with its pattern characters escaped, so that a reader takes it as a name."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def read_csv_files(spark: SparkSession, paths: Sequence[str], name: str, header: Sequence[str]) -> DataFrame:
     """Rows of CSV files that share one header, as text, with ``_file`` and ``_fault``.
 
-    ``layout`` says how tasks share the files: ``whole`` gives each file to one
-    task; ``lines`` splits files in which every record is one line; ``records``
-    splits files in which cells span lines. Missing cells at the end of a row
-    are NULL. A row with more cells than the header, or a value longer than the
-    raw column, is a fault.
+    A file is read by one task, as a stream: quoted cells may span lines, so no place in a file but its
+    start is known to start a row. Files of all sizes are read alike. Blank lines are no rows. Missing
+    cells at the end of a row are NULL. A row with more cells than the header, or a value longer than
+    the raw column, is a fault.
     """
     taken: dict[str, int] = {}
     names = []
@@ -56,19 +56,16 @@ def read_csv_files(
         taken[column] = seen + 1
         names.append(f"{column}.{seen}" if seen else column)
     options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_record", "maxCharsPerColumn": "-1"}
-    if layout == "records":
-        schema = ", ".join(f"c{i} string" for i in range(len(names))) + ", _record string"
-        parsed = F.from_csv("record", schema, options)
-        rows = csv_records(spark, paths).select(parsed.alias("r"), "_file").select("r.*", "_file") \
-            .withColumnsRenamed({f"c{i}": n for i, n in enumerate(names)})
-    else:
-        fields = [T.StructField(c, T.StringType()) for c in (*names, "_record")]
-        rows = (
-            spark.read.schema(T.StructType(fields)).options(**options)
-            .option("header", "true").option("multiLine", str(layout == "whole").lower())
-            .csv(list(paths))
-            .withColumn("_file", F.col("_metadata.file_path"))
-        )
+    fields = [T.StructField(c, T.StringType()) for c in (*names, "_record")]
+    rows = (
+        spark.read.schema(T.StructType(fields)).options(**options)
+        .option("header", "true").option("multiLine", "true")
+        .csv([literal_path(p) for p in paths])
+        .withColumn("_file", F.col("_metadata.file_path"))
+    )
+    # A short row keeps its text in _record; that of a one-column file is its only cell.
+    line = F.coalesce("_record", F.col(f"`{names[0]}`")) if len(names) == 1 else F.col("_record")
+    rows = rows.filter(line.isNull() | (F.trim(F.translate(line, "\r\n\t", "   ")) != ""))
     quoted = r'"(?:[^"]|"")*"'
     cells = F.size(F.split(F.regexp_replace("_record", quoted, ""), ",", -1))
     wide = F.when(F.col("_record").isNotNull() & (cells > len(names)), F.lit("row has more cells than the header"))
@@ -79,64 +76,9 @@ def read_csv_files(
     return _in_order(clean, name, _any_fault([F.col("_wide"), *_too_long(name)]))
 
 
-def csv_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Records (without header) of CSV files whose quoted cells may span lines: ``record``, ``_file``.
-
-    The files are read as lines in blocks, each block by its own task. A line
-    starts a record if the quotes before it in the file are even in number: the
-    running count within its block plus the counts of the blocks before, of
-    which there is one row each. Only the lines of records that do span lines
-    are brought together.
-    """
-    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),  # rises within a block
-        _odd_quotes(F.col("value")).alias("_odd"))
-    in_block = Window.partitionBy("_file", "_block").orderBy("_at")
-    blank = F.trim(F.regexp_replace("value", "\r$", "")) == ""
-    lines = lines.withColumns({
-        "_before": F.pmod(F.coalesce(F.sum("_odd").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), F.lit(2)),
-        "_blank": blank,
-    })
-
-    filled = ~F.col("_blank")
-    blocks = lines.groupBy("_file", "_block").agg(
-        F.sum("_odd").alias("_odds"),
-        F.count_if(filled & (F.col("_before") == 0)).alias("_even"), F.count_if(filled & (F.col("_before") == 1)).alias("_uneven"))
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_open", F.pmod(F.coalesce(F.sum("_odds").over(earlier), F.lit(0)), F.lit(2)))
-    blocks = blocks.withColumn("_starts", F.when(F.col("_open") == 0, F.col("_even")).otherwise(F.col("_uneven")))
-    begun = F.when(F.col("_starts") > 0, F.struct("_block", "_starts"))
-    blocks = blocks.select("_file", "_block", "_open", F.last(begun, ignorenulls=True).over(earlier).alias("_last"))
-
-    lines = lines.join(blocks, ["_file", "_block"])
-    outside = F.col("_before") == F.col("_open")  # no cell is open where the line begins
-    lines = lines.filter(~(outside & F.col("_blank"))).withColumn("_start", outside)
-    number = F.sum(F.col("_start").cast("int")).over(in_block)
-    lines = lines.withColumn("_number", number)
-    own = F.col("_number") > 0
-    lines = lines.select(
-        "value", "_file", "_block", "_at", "_start", "_odd",
-        F.when(own, F.col("_block")).otherwise(F.col("_last._block")).alias("_record_block"),
-        F.when(own, F.col("_number").cast("bigint")).otherwise(F.col("_last._starts")).alias("_record_number"),
-    )
-    lines = lines.filter(~((F.col("_record_block") == 0) & (F.col("_record_number") == 1)))  # the header
-    alone = F.col("_start") & (F.col("_odd") == 0)
-    pieces = lines.filter(~alone).groupBy("_file", "_record_block", "_record_number").agg(
-        F.sort_array(F.collect_list(F.struct("_block", "_at", "value"))).alias("_pieces"))
-    whole = lines.filter(alone).select("value", "_file").unionByName(
-        pieces.select(F.array_join(F.transform("_pieces", lambda p: p["value"]), "\n").alias("value"), "_file"))
-    return whole.select(F.regexp_replace("value", "\r$", "").alias("record"), "_file")
-
-
-def _odd_quotes(text: Column) -> Column:
-    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
-    return F.pmod(quotes, F.lit(2))
-
-
 def read_parquet_files(spark: SparkSession, paths: Sequence[str], name: str) -> DataFrame:
     """Rows of Parquet files of one layout, every value as text, with ``_file`` and ``_fault``."""
-    rows = spark.read.parquet(*paths)
+    rows = spark.read.parquet(*[literal_path(p) for p in paths])
     types = {f.name: f.dataType for f in rows.schema.fields}
     wanted = [c for c in source(name).columns if c in types]
     text = rows.select(*[plain_text(F.col(c), types[c]).alias(c) for c in wanted],
@@ -144,15 +86,3 @@ def read_parquet_files(spark: SparkSession, paths: Sequence[str], name: str) ->
     for c in set(source(name).columns) - set(wanted):
         text = text.withColumn(c, F.lit(None).cast("string"))
     return _in_order(text, name, _any_fault(_too_long(name)))
-
-
-def with_line_breaks(spark: SparkSession, paths: Sequence[str]) -> dict[str, bool]:
-    """Those of the CSV files in which a quoted cell spans lines, and whether all cells are closed.
-
-    Such a cell leaves an odd number of quotes on its first line. The scan is
-    split like any text read; one row per such file comes back.
-    """
-    lines = spark.read.text(list(paths)).select(
-        _odd_quotes(F.col("value")).alias("odd"), F.col("_metadata.file_path").alias("_file"))
-    found = lines.groupBy("_file").agg(F.sum("odd").alias("odd")).filter("odd > 0")
-    return {row._file: row.odd % 2 == 0 for row in found.toLocalIterator()}

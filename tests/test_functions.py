@@ -70,3 +70,11 @@ def test_durations(spark):
     assert days == [(36 * 3600 * 10**6 + 1) / 86_400_000_000, None]
     assert df.select(hours_between(F.col("a"), F.col("b"))).first()[0] == Decimal("36.00")
     assert df.select(days_between(F.col("a"), F.col("b")).alias("d")).agg(mean_days(F.col("d"))).first()[0] == days[0]
+
+
+def test_mean_days_of_many_shipments(spark):
+    """Far beyond what a sum of microseconds in 64 bits can hold."""
+    from tallyhouse.functions.dates import mean_days
+
+    days = spark.range(100_000_000).select((F.col("id") % 2 * 2 + 2).cast("double").alias("d"))
+    assert days.agg(mean_days(F.col("d")).alias("m")).first().m == 3.0

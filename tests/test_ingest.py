@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.plans.ingest import AllFilesFailed, run_batch
 from tallyhouse.plans.staging import stage
-from tallyhouse.sources import manifest, readers
+from tallyhouse.sources import manifest
 from tallyhouse.sources.lake import Lake
 from tallyhouse.sources.manifest import csv_header, fingerprint, list_files, recognise, validated
 from tallyhouse.specs import SOURCES
@@ -201,38 +201,103 @@ def test_nothing_counts_before_the_commit(place, monkeypatch):
     assert lake.raw("orders").count() == 3
 
 
-def test_large_files_are_split_unless_cells_span_lines(place, monkeypatch):
+CELLS = ["plain", 'Pipe 5" steel', '"a, b"', '"two\nlines"', '"say ""hi""\n\nand ""bye"""', "", '"x""y"', 'TV 55" screen', "é" * 40]
+
+
+@pytest.mark.parametrize("limit", [manifest.WHOLE_FILE_BYTES, 0])
+def test_a_file_means_the_same_at_every_size(place, monkeypatch, limit):
+    """Stray quotes, cells over lines, blank lines, a long header, a character across any block: read whole or as a stream."""
+    lake, landing = place
+    monkeypatch.setattr(manifest.fingerprint, "__defaults__", (limit,))
+    columns = SOURCES["payments"].columns
+    more = [f"extra_{i}" for i in range(9000)]  # a header of over 64 KiB
+    lines = [f"P{i},O{i},{CELLS[i % 9]},paid,{i},2026-05-01" for i in range(300)]
+    body = "".join(line + "\n" + ("\n" if i % 7 == 0 else "   \n" if i % 11 == 0 else "") for i, line in enumerate(lines))
+    put(landing, "payments/a.csv", ",".join(columns) + "\n" + body)
+    put(landing, "payments/b.csv", ",".join([*columns, *more]) + "\n" + body.replace("P", "Q").replace("O", "R"))
+    put(landing, "payments/c.csv", ",".join(columns) + "\nS1,T1," + "x" * (65535 - len(",".join(columns)) - 7) + "é,paid,1,2026-05-01\n")
+    done = run_batch(lake, str(landing), T1, on_extra="ignore")
+    files = {f.file_name: f for f in lake.source_files().collect()}
+    assert files["c.csv"].error_message == "value too long for payment_method (50)"  # decoded, and judged as a row
+    assert (done.loaded, done.failed) == (2, 1)
+    rows = {r.payment_id: r.payment_method for r in lake.raw("payments").collect()}
+    assert len(rows) == 600
+    for i in range(300):
+        cell = CELLS[i % 9]
+        want = cell[1:-1].replace('""', '"') if cell.startswith('"') else cell
+        assert rows[f"P{i}"] == (want or None) and rows[f"Q{i}"] == (want.replace("P", "Q") or None)
+
+
+@pytest.mark.parametrize("limit", [manifest.WHOLE_FILE_BYTES, 0])
+def test_bytes_that_are_no_text_fail_their_file_only(place, tmp_path, monkeypatch, limit):
+    lake, landing = place
+    monkeypatch.setattr(manifest.fingerprint, "__defaults__", (limit,))
+    put(landing, "orders/a.csv", orders_csv(3))
+    put(landing, "orders/b.csv", orders_csv(1, first=10).encode() + ORDER_ROW.format(11, 1).replace("CUST1", "caf").encode() + b"\xe9\n")
+    put(landing, "orders/c.csv", b"\xff\xfe" + orders_csv(1, first=20).encode())
+    progress = str(tmp_path / "progress")
+    pick_up_available(lake, str(landing), progress)
+    assert lake.raw("orders").count() == 3
+    errors = {f.file_name: f.error_message for f in lake.source_files().filter("status = 'failed'").collect()}
+    assert errors == {n: f"File is not valid UTF-8: {n}" for n in ("b.csv", "c.csv")}
+    put(landing, "orders/d.csv", orders_csv(4, first=30))  # the stream goes on
+    pick_up_available(lake, str(landing), progress)
+    assert lake.raw("orders").count() == 7
+
+
+def test_names_are_no_patterns(place, tmp_path):
+    lake, landing = place
+    names = ["p_1.csv", "p_2.csv", "p_[12].csv", "p_{x}.csv", "p_*.csv", "p_?.csv"]
+    for i, name in enumerate(names):
+        put(landing, f"orders/{name}", orders_csv(i + 1, first=10 * i + 1))
+    pick_up_available(lake, str(landing), str(tmp_path / "progress"))
+    got = {r["_source_file_name"]: r["count"] for r in lake.raw("orders").groupBy("_source_file_name").count().collect()}
+    assert got == {name: i + 1 for i, name in enumerate(names)}
+    assert {r.file_name: r.rows_loaded for r in lake.ingestion_runs().collect()} == got
+
+
+def test_a_batch_inside_the_window_of_another(place, monkeypatch):
+    """Both give out the same numbers; no row and no file of either is lost."""
+    from tallyhouse.plans import ingest
+
+    lake, landing = place
+    bad = put(landing, "orders/bad.csv", orders_csv(2).replace(",currency", "", 1))
+    wide = put(landing, "orders/wide.csv", orders_csv(1) + ORDER_ROW.format(2, 1) + ",surplus\n")
+    own = ingest._record
+
+    def late(*a):
+        monkeypatch.setattr(ingest, "_record", own)
+        good = put(landing, "orders/good.csv", orders_csv(3, first=50))
+        ingest.run_batch(lake, str(landing), T2, paths=[str(good)])
+        own(*a)
+
+    monkeypatch.setattr(ingest, "_record", late)
+    with pytest.raises(AllFilesFailed):
+        run_batch(lake, str(landing), T1, paths=[str(bad), str(wide)])
+    assert lake.raw("orders").count() == 3
+    assert {f.file_name: f.status for f in lake.source_files().collect()} == {
+        "bad.csv": "failed", "wide.csv": "failed", "good.csv": "loaded"}
+    runs = {r.file_name: r for r in lake.ingestion_runs().collect()}
+    assert {n: r.status for n, r in runs.items()} == {"wide.csv": "failed", "good.csv": "success"}
+    assert all(r.finished_at > r.started_at for r in runs.values())
+
+
+def test_what_is_no_fault_of_a_file_is_raised(place, monkeypatch):
+    from pyspark.errors import PySparkException
+
     lake, landing = place
-    monkeypatch.setattr("tallyhouse.plans.ingest.SPLIT_BYTES", 10)
-    put(landing, "orders/a.csv", orders_csv(50))
-    put(landing, "orders/b.csv", orders_csv(2, first=60).replace("CUST1", '"CU\nST"'))
-    broken = readers.with_line_breaks(lake.spark, [str(landing / "orders" / n) for n in ("a.csv", "b.csv")])
-    assert {b.rsplit("/", 1)[1]: closed for b, closed in broken.items()} == {"b.csv": True}
-    put(landing, "orders/c.csv", orders_csv(2, first=70).replace("CUST1", '"CUST1', 1))
-    assert (run := run_batch(lake, str(landing), T1)).loaded == 2 and run.failed == 1
-    assert lake.source_files().filter("status = 'failed'").first().error_message == "a quoted cell is never closed"
-    assert lake.raw("orders").count() == 52
-    assert lake.raw("orders").filter("customer_id = 'CU\\nST'").count() == 2
-
-
-def test_records_across_blocks(place, tmp_path):
-    """Cells that span lines and blocks: the split reader gives what the whole-file reader gives."""
-    spark, columns = place[0].spark, SOURCES["payments"].columns
-    cells = ["plain", '"a, b"', '"two\nlines"', '"say ""hi""\n\n\nand ""bye"""', '"' + "long\n" * 600 + '"', "", '"x""y"']
-    body = "".join(f"P{i},O{i},{cells[i % 7]},{cells[i % 5]},{i},2026-05-01\n" + ("\n" if i % 11 == 0 else "") for i in range(400))
-    body += "P400,O400\nP401,O401,a,b,c,d,e\n"
-    paths = [str(put(tmp_path, f"csv/{n}.csv", ",".join(columns) + "\n" + body)) for n in "ab"]
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        assert spark.read.text(paths).select("_metadata.file_block_start").distinct().count() > 50
-        split = readers.read_csv_files(spark, paths, "payments", columns, "records")
-        got = sorted(map(str, split.collect()))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    whole = readers.read_csv_files(spark, paths, "payments", columns, "whole")
-    assert len(got) == 804 and got == sorted(map(str, whole.collect()))
+    put(landing, "orders/a.csv", orders_csv(3))
+    put(landing, "orders/b.csv", orders_csv(3, first=9))
+    calls = []
+
+    def lost(*a):
+        calls.append(a)
+        raise PySparkException("Job aborted due to stage failure: ExecutorLostFailure")
+
+    monkeypatch.setattr(Lake, "append", lost)
+    with pytest.raises(PySparkException):
+        run_batch(lake, str(landing), T1)
+    assert len(calls) == 1
 
 
 def test_empty_folder(place):
