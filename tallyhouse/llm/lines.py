@@ -22,11 +22,14 @@ _GAP = r"[\x20\x09-\x0D]+"
 CELL_BITS = 16
 #: Lines sent to every task to be verified; more are joined by shuffle.
 BROADCAST_LINES = 1_000_000
+#: Lists of kept lines sent to every task, one per document; more are joined by shuffle.
+BROADCAST_DOCUMENTS = 500_000
 
 
 def _words(text: Column) -> Column:
     """64-bit numbers of the words, in lower case."""
-    return F.transform(F.filter(F.split(F.lower(text), _GAP, -1), lambda w: w != ""), lambda w: F.xxhash64(w))
+    # A gap at an end leaves an empty word.
+    return F.array_remove(F.transform(F.split(F.lower(text), _GAP, -1), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
 
 
 def _cell(word: Column) -> Column:
@@ -34,7 +37,7 @@ def _cell(word: Column) -> Column:
 
 
 def rarity_classes(docs: DataFrame) -> tuple[Column, int]:
-    """An array with the class of every cell of words, and the class from which words are common.
+    """An array with the class of every cell of words, in the upper 8 bits, and the class from which words are common.
 
     The class is four times the logarithm of the count over all texts; a common cell has a thousandth of all
     words. ``2**CELL_BITS`` numbers, whatever the input.
@@ -43,13 +46,13 @@ def rarity_classes(docs: DataFrame) -> tuple[Column, int]:
     counts = {r["cell"]: r["count"] for r in cells.groupBy("cell").count().collect()}
     classes = [min(126, 4 * counts.get(c, 0).bit_length()) for c in range(1 << CELL_BITS)]
     common = 4 * max(2, (sum(counts.values()) // 1000).bit_length())
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>"), common
+    return F.split(F.lit(",".join(str(c << 56) for c in classes)), ",").cast("array<bigint>"), common
 
 
 def _ordered(words: Column, classes: Column) -> Column:
     """The distinct words as numbers in order of rarity: the class in the upper bits, 56 bits of the word below."""
-    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.shiftleft(
-        F.get(classes, _cell(w)).cast("long"), 56).bitwiseOR(w.bitwiseAND((1 << 56) - 1)))))
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.get(classes, _cell(w)).bitwiseOR(
+        w.bitwiseAND((1 << 56) - 1)))))
 
 
 def _need(percent: int, n: Column, m: Column) -> Column:
@@ -92,7 +95,10 @@ def distinct_lines(docs: DataFrame, classes: Column, common: int, percent: int,
 
 def _entries(lines: DataFrame) -> DataFrame:
     """The index: one row for each word of a line's prefix, with what the filters need. ``doc`` and ``line`` order lines."""
-    return lines.select(F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("doc"), "first.line", "row", "n", "s0", "s1",
+    # None of the columns is ever null; saying so lets both sides of the join read one exchange.
+    zero = F.lit(0)
+    return lines.select(F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.coalesce("first.line", zero).alias("line"), "row",
+                        *[F.coalesce(c, zero.cast("int" if c == "n" else "long")).alias(c) for c in ("n", "s0", "s1")],
                         F.posexplode("prefix").alias("at", "key"))
 
 
@@ -202,8 +208,10 @@ def deduplicate(docs: DataFrame, percent: int = 80, least_words: int = 5, text:
     """
     base = docs.select(column_or(docs, key, "long").alias("doc_id"), F.xxhash64(text_of(docs, text)).alias("mark"),
                        text_of(docs, text).alias("text"))
-    stay = kept_lines(*repeated(base, percent, least_words)).select(
-        F.col("doc_id").alias("_line_id"), F.col("mark").alias("_line_mark"), F.col("kept").alias("_line_kept"))
+    stay = written(kept_lines(*repeated(base, percent, least_words)).select(
+        F.col("doc_id").alias("_line_id"), F.col("mark").alias("_line_mark"), F.col("kept").alias("_line_kept")), "kept")
+    if stay.count() <= BROADCAST_DOCUMENTS:
+        stay = F.broadcast(stay)
     said = text_of(docs, text)
     joined = docs.withColumn("_line_hash", F.xxhash64(said)).join(
         stay, column_or(docs, key, "long").eqNullSafe(F.col("_line_id")) & (F.col("_line_hash") == F.col("_line_mark")), "left")
