@@ -290,3 +290,11 @@ ORACLES |= {
     "d23_run_listing": shown("ingestion_run_states", "ingestion_run_id job_id source_name file_name t:started_at"
                              " t:finished_at rows_loaded status error_message"),
 }
+
+_SUPPLIERS = "(select s_suppkey, cast(s_nationkey as varchar) as nation from supplier where s_nationkey <> 3)"
+ORACLES |= {
+    "j11_hot_keys_left_join": f"""select c_custkey, nation, s_suppkey
+        from (select c_custkey, cast(c_nationkey as varchar) as nation from customer) left join {_SUPPLIERS} using (nation)""",
+    "j12_hot_keys_inner_join": f"""select c_custkey, nation, s_suppkey
+        from (select c_custkey, cast(c_nationkey as varchar) as nation from customer) join {_SUPPLIERS} using (nation)""",
+}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import file_date, file_extension, file_stem, hours_between, title_words
 from tallyhouse.operators import ledger, quality
+from tallyhouse.operators.skew import HotKeys, spread_join
 from tallyhouse.plans import checks, reports
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import prepare, scratch_path
@@ -328,3 +329,28 @@ def _(spark: SparkSession, table: Tables) -> DataFrame:
 @table_query("d23_run_listing")
 def _(spark: SparkSession, table: Tables) -> DataFrame:
     return reports.run_listing(ledger.run_states(d.derived(spark, table, d.RUN_EVENTS, "events")))
+
+
+# Joins with hot keys on both sides of a fan-out, sliced by hint
+
+
+def _by_nation(table: Tables, name: str, key: str) -> DataFrame:
+    prefix = name[0]
+    rows = table(name).select(key, F.col(f"{prefix}_nationkey").cast("string").alias("nation"))
+    return rows.filter("nation <> '3'") if name == "supplier" else rows
+
+
+_HOT_LEFT = HotKeys(("1", "3", "7"), True, (8, 4, 2), 4)
+_HOT_RIGHT = HotKeys(("1", "3", "12"), False, (4, 8, 2))
+
+
+@table_query("j11_hot_keys_left_join")
+def _(spark: SparkSession, table: Tables) -> DataFrame:
+    return spread_join(_by_nation(table, "customer", "c_custkey"), _by_nation(table, "supplier", "s_suppkey"), "nation", "left",
+                       _HOT_LEFT, _HOT_RIGHT)
+
+
+@table_query("j12_hot_keys_inner_join")
+def _(spark: SparkSession, table: Tables) -> DataFrame:
+    return spread_join(_by_nation(table, "supplier", "s_suppkey"), _by_nation(table, "customer", "c_custkey"), "nation", "inner",
+                       _HOT_RIGHT, _HOT_LEFT)

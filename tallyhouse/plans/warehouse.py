@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.skew import HotKeys, hot_keys_each
+from ..operators.skew import HotKeys, hot_keys
 from ..sources.feed import RawTables
 from . import marts
 from .staging import stage
@@ -62,19 +62,18 @@ class Warehouse:
         """Raw rows in the partitions they are stored in, to count or look up keys."""
         return getattr(self.raw, "as_read", self.raw.__getitem__)(name)
 
-    @cached_property
-    def _hot(self) -> dict[str, HotKeys]:
+    def _hot(self, name: str) -> HotKeys:
         # Looked up in the raw rows: that reads one column and needs no
         # deduplication, and the joins treat the answer as a hint only.
-        return hot_keys_each({name: (self.as_read(name), "order_id") for name in ("payments", "shipments")})
+        return hot_keys(self.as_read(name), "order_id")
 
-    @property
+    @cached_property
     def hot_payments(self) -> HotKeys:
-        return self._hot["payments"]
+        return self._hot("payments")
 
-    @property
+    @cached_property
     def hot_shipments(self) -> HotKeys:
-        return self._hot["shipments"]
+        return self._hot("shipments")
 
     @property
     def fact_orders(self) -> DataFrame:
