@@ -28,10 +28,10 @@ from tallyhouse.llm.tables import column_or, small_batches, text_of, written
 #: Cells in which shingles are counted, and how far a cell stands out if it holds a frequent one.
 CELL_BITS = 18
 FREQUENT = 64
-#: Ids sent to every task to pick the documents to verify; more are joined by shuffle.
-BROADCAST_IDS = 500_000
+#: Pairs sent to every task to pick the documents to verify; more are joined by shuffle.
+BROADCAST_PAIRS = 500_000
 #: Leaders of a document in each round before the last. They only save work: the last round is whole anyway.
-LEADERS = (8, 64, 128)
+LEADERS = (16, 128)
 #: Under a key of at most so many rows all pairs are looked at directly.
 FEW = 16
 
@@ -83,27 +83,50 @@ def prefixes(docs: DataFrame, counts: np.ndarray, width: int, percent: int) -> D
 
 
 def _links(pairs: DataFrame, texts: DataFrame, every: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose whole sets are similar enough."""
-    rows = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row"))).distinct()
-    sets = _whole_sets(texts, every, rows, width)
-    a = sets.select(F.col("row").alias("u"), F.col("tokens").alias("a"))
-    b = sets.select(F.col("row").alias("v"), F.col("tokens").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(a, "u").join(b, "v").withColumn("_both", both)
-            .filter(100 * F.col("_both") >= percent * (F.size("a") + F.size("b") - F.col("_both"))).select("u", "v"))
+    """The pairs (u, v) whose whole sets are similar enough. The sets are made anew from the texts and meet once."""
+    sides = pairs.select("u", "v", F.explode(F.array(F.struct(F.lit(True).alias("left"), F.col("u").alias("row")),
+                                                     F.struct(F.lit(False).alias("left"), F.col("v").alias("row")))).alias("s"))
+    # A row may lead any number of pairs; in lots, their lists stay short.
+    asked = sides.select("s.row", F.struct("u", "v", "s.left").alias("p"), F.pmod(F.xxhash64("u", "v"), F.lit(64)).alias("lot"))
+    asked = asked.groupBy("row", "lot").agg(F.collect_list("p").alias("p"))
+    wanted = written(asked.join(every.select("row", "doc_id", "mark"), "row").select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "p"), "wanted")
+    at = F.broadcast(wanted) if pairs.count() <= BROADCAST_PAIRS else wanted
+    held = texts.join(at, texts["doc_id"].eqNullSafe(F.col("_id")) & (texts["mark"] == F.col("_mark"))).select("p", "text")
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"p": pdf["p"], "tokens": list(shingle_sets(pdf["text"].tolist(), width))})
 
-def _may_link(percent: int, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
-    """Whether two entries (n, at, met) can be of similar sets, their token the first shared one.
+    made = held.mapInPandas(run, "p array<struct<u: long, v: long, left: boolean>>, tokens array<long>")
+    both = made.select(F.explode("p").alias("p"), "tokens").groupBy("p.u", "p.v").agg(
+        F.first(F.when(F.col("p.left"), F.col("tokens")), ignorenulls=True).alias("a"),
+        F.first(F.when(~F.col("p.left"), F.col("tokens")), ignorenulls=True).alias("b"))
+    both = both.withColumn("c", F.size(F.array_intersect("a", "b")))
+    return both.filter(100 * F.col("c") >= percent * (F.size("a") + F.size("b") - F.col("c"))).select("u", "v")
+
+
+def _sizes(percent: int, x: Callable[[str], Column], y: Callable[[str], Column]) -> tuple[Column, Column]:
+    """What two sets (n) must share at least: of all tokens, and of those in both prefixes.
 
-    Sets of n and m tokens need a share of percent / (100 + percent) of n + m in common, all of them
-    from the first on. Of these, all that fit before percent of the larger set are in both
-    prefixes, so each row must have met as many of its prefix.
+    Sets of n and m tokens need a share of percent / (100 + percent) of n + m in common. Of these, all that
+    fit before percent of the larger set are in both prefixes.
     """
     n, m = x("n"), y("n")
     need = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
-    both = need - F.ceil(F.lit(percent) * F.greatest(n, m) / F.lit(100)) + 1
-    return (F.least(n - x("at"), m - y("at")) >= need) & (F.least(x("met"), y("met")) >= both)
+    return need, need - F.ceil(F.lit(percent) * F.greatest(n, m) / F.lit(100)) + 1
+
+
+def _may_start(percent: int, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+    """Whether the token of two entries (n, at) can be the first shared one: enough tokens must follow it."""
+    need, _ = _sizes(percent, x, y)
+    return F.least(x("n") - x("at"), y("n") - y("at")) >= need
+
+
+def _may_link(percent: int, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+    """Whether two entries (n, at, met) can be of similar sets: each row must have met enough tokens of its prefix."""
+    _, both = _sizes(percent, x, y)
+    return _may_start(percent, x, y) & (F.least(x("met"), y("met")) >= both)
 
 
 def _with(prefix: str) -> Callable[[str], Column]:
@@ -111,12 +134,25 @@ def _with(prefix: str) -> Callable[[str], Column]:
 
 
 def _among_few(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs (u, v) under keys of at most ``FEW`` rows."""
-    held = entries.groupBy("key").agg(F.collect_list(F.struct("row", "n", "at", "met")).alias("l"))
+    """All pairs (u, v) under keys of at most ``FEW`` rows that can share enough of their prefixes.
+
+    What they share there is counted; under keys of many rows they share no more than either has of these.
+    """
+    held = entries.groupBy("key").agg(F.collect_list(F.struct("row", "n", "at", "met", "lots")).alias("l"))
+
+    def pair(x: Column, y: Column) -> Column:
+        first, second = (lambda c: x[c]), (lambda c: y[c])
+        _, both = _sizes(percent, first, second)
+        return F.struct(x["row"].alias("u"), y["row"].alias("v"), _may_start(percent, first, second).alias("starts"),
+                        (both - F.least(x["lots"], y["lots"])).alias("least"))
+
     every = F.flatten(F.transform("l", lambda x: F.transform(
-        F.filter("l", lambda y: (y["row"] > x["row"]) & _may_link(percent, lambda c: x[c], lambda c: y[c])),
-        lambda y: F.struct(x["row"].alias("u"), y["row"].alias("v")))))
-    return held.select(F.explode(every).alias("p")).select("p.u", "p.v").distinct()
+        F.filter("l", lambda y: (y["row"] > x["row"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+                 & (F.least(x["met"], y["met"]) >= _sizes(percent, lambda c: x[c], lambda c: y[c])[1])),
+        lambda y: pair(x, y))))
+    return (held.select(F.explode(every).alias("p")).select("p.*").groupBy("u", "v")
+            .agg(F.count("*").alias("c"), F.max("starts").alias("starts"), F.max("least").alias("least"))
+            .filter("starts and c >= least").select("u", "v"))
 
 
 def _met(entries: DataFrame, roots: DataFrame, turn: int, most: int, percent: int) -> DataFrame:
@@ -186,8 +222,8 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     counted = rare_met.unionByName(placed.filter(F.col("at") >= F.col("n_rare")).select(
         "key", "row", "n", "at", (F.col("at") < F.col("n_first")).alias("first"), F.lit(True).alias("often"),
         F.lit(True).alias("many")))
-    met = counted.filter("first").groupBy("row").agg(F.count("*").alias("met"))
-    entries = written(counted.join(met, "row", "left").withColumn("met", F.coalesce("met", F.lit(0))), "entries")
+    met = counted.filter("first").groupBy("row").agg(F.count("*").alias("met"), F.count(F.when(F.col("many"), 1)).alias("lots"))
+    entries = written(counted.join(met, "row", "left").fillna(0, ["met", "lots"]), "entries")
 
     # First rounds: all pairs under keys of few rows; under the others every row and a few leaders.
     many = entries.filter("many")
@@ -229,25 +265,6 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         (F.col("row") == F.col("least.row")).alias("first"))
 
 
-def _whole_sets(texts: DataFrame, every: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """``row, tokens`` of the given rows: whole shingle sets, made anew from their texts."""
-    wanted = written(every.join(rows, "row", "left_semi").select("row", "doc_id", "mark", "digest"), "wanted")
-    ids = wanted.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    held = texts.join(ids, texts["doc_id"].eqNullSafe(F.col("_id")) & (texts["mark"] == F.col("_mark")), "left_semi")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sets = list(shingle_sets(pdf["text"].tolist(), width))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "mark": pdf["mark"], "tokens": sets})
-
-    made = held.mapInPandas(run, "doc_id long, mark long, tokens array<long>").dropDuplicates(["doc_id", "mark"])
-    key = made.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "tokens")
-    return written(wanted.join(key, wanted["doc_id"].eqNullSafe(key["_id"]) & (wanted["mark"] == key["_mark"]))
-                   .select("row", "tokens"), "whole")
-
-
 def query(docs: DataFrame) -> DataFrame:
     """``op9``: the shingles and the component of every document."""
     return groups(docs).select("doc_id", "n_shingles", "component_id")
