@@ -228,6 +228,22 @@ _PRODUCTS = """select i.product_id, sum(i.line_total) as revenue from fact_order
 CTES["product_revenue"] = _PRODUCTS
 _MEAN_DAYS = "cast(sum(delivery_micros) as double) / 86400000000.0 / cast(count(delivery_micros) as double)"
 
+_HISTORY = """with per_day as (select event_type, cast(ts as date) as day, count(*) as n from events group by 1, 2),
+        usual as (select event_type, cast(floor(sum(n) / count(*)) as bigint) as least from per_day
+            where event_type <> 'click' group by 1)
+        select p.event_type as table_name, cast(p.day as varchar) as check_date, u.least as expected_min_rows,
+        p.n as actual_row_count, case when p.n >= u.least then 'passed' when p.n < u.least then 'failed' else 'warning' end
+        as check_status, '1999-06-30 12:00:00' as checked_at
+        from per_day p left join usual u on u.event_type = p.event_type"""
+_BATCHES = """(select batch_id, case when count_if(error is not null) = 0 then 'success' when count_if(error is null) = 0 then 'failed'
+    else 'partial' end as status from document_outcomes group by batch_id)"""
+# Rules on the ledgers that are meant to find something.
+_STATED = [
+    _listed("metadata.source_files", "status", "discovered loaded", "source_file_states"),
+    _listed("metadata.pipeline_runs", "status", "success", _BATCHES),
+    _listed("quality.row_count_checks", "check_status", "passed warning", f"({_HISTORY})"),
+]
+
 ORACLES |= {
     "q1_row_counts": _union([_rows(f"raw.{s}") for s, _ in _RAW]),
     "q2_null_keys": _union([_null(f"raw.{s}", k, _HOLED.get(s)) for s, k in _RAW]),
@@ -239,22 +255,18 @@ ORACLES |= {
                             _age("stg_orders", "staging", "stg_orders"), _ageless("fact_orders"),
                             _ageless("fact_daily_sales")]),
     "q8_quality_results": f"select *, '1999-06-30 12:00:00' as checked_at from ({_union(_RUNTIME)})",
-    "q9_row_count_history": """with per_day as (select event_type, cast(ts as date) as day, count(*) as n from events group by 1, 2),
-        usual as (select event_type, cast(floor(sum(n) / count(*)) as bigint) as least from per_day
-            where event_type <> 'click' group by 1)
-        select p.event_type as table_name, cast(p.day as varchar) as check_date, u.least as expected_min_rows,
-        p.n as actual_row_count, case when p.n >= u.least then 'passed' when p.n < u.least then 'failed' else 'warning' end
-        as check_status, '1999-06-30 12:00:00' as checked_at
-        from per_day p left join usual u on u.event_type = p.event_type""",
+    "q9_row_count_history": _HISTORY,
     "q10_model_keys_unique": _union([_repeated(m, cols.split()[0]) for m, cols in _MODELS]),
     "q11_model_columns_present": _union([_null(m, c) for m, cols in _MODELS for c in cols.split()]),
     "q12_model_accepted_values": _union([*_ACCEPTED, _listed("marts.fact_orders", "currency", "USD EUR")]),
     "q13_ledger_statuses": _union([
         _listed("metadata.source_files", "status", "discovered validated loaded failed skipped", "source_file_states"),
-        _listed("metadata.source_files", "status", "discovered loaded", "source_file_states"),
         _listed("metadata.ingestion_runs", "status", "running success failed", "ingestion_run_states"),
-        _listed("metadata.pipeline_runs", "status", "running success failed partial",
-                "(select 'success' as status from document_batches)"),
+        _listed("metadata.pipeline_runs", "status", "running success failed partial", _BATCHES),
+        _listed("quality.data_quality_results", "check_status", "passed failed warning", f"({_union(_STATED)})"),
+        _listed("quality.row_count_checks", "check_status", "passed failed warning", f"({_HISTORY})"),
+        *_STATED,
+        _listed("quality.data_quality_results", "check_status", "passed", f"({_union(_STATED)})"),
     ]),
     "d1_total_revenue": "select cast(sum(total_revenue) as double) as total_revenue from fact_daily_sales",
     "d2_total_orders": "select count(*) as total_orders from fact_orders",

@@ -14,12 +14,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import hours_between
 from ..specs import FRESH_HOURS
 
-RESULT_COLUMNS = ("check_name", "table_name", "column_name", "check_type", "check_status", "failed_row_count",
-                  "checked_at", "details")
+RESULTS = T.StructType.fromDDL(
+    "check_name string, table_name string, column_name string, check_type string, check_status string,"
+    " failed_row_count bigint, checked_at timestamp_ntz, details string")
+FRESHNESS = T.StructType.fromDDL(
+    "schema_name string, table_name string, row_count bigint, max_loaded_at timestamp_ntz, checked_at timestamp_ntz,"
+    " is_fresh boolean, staleness_hours decimal(10,2), note string")
+COUNT_CHECKS = T.StructType.fromDDL(
+    "table_name string, check_date date, expected_min_rows bigint, actual_row_count bigint, check_status string,"
+    " checked_at timestamp_ntz")
 
 
 @dataclass(frozen=True)

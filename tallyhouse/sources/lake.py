@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ledger import FILE_EVENTS, RUN_EVENTS, file_states, run_states
+from ..operators.quality import COUNT_CHECKS, FRESHNESS, RESULTS
 from ..operators.skew import bounded_broadcast
 from ..specs import SOURCES, raw_schema
 
@@ -30,6 +31,10 @@ OUTCOMES = T.StructType([
 ])
 
 
+# Quality tables: what each check found, run by run.
+QUALITY = {"results": RESULTS, "freshness": FRESHNESS, "row_counts": COUNT_CHECKS}
+
+
 def with_field(schema: T.StructType, name: str, dtype: T.DataType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(name, dtype)])
 
@@ -79,6 +84,15 @@ class Lake:
     def outcomes(self) -> DataFrame:
         return self._of_commits(self.path("metadata", "outcomes"), OUTCOMES).drop("_batch_id")
 
+    def record_quality(self, table: str, rows: DataFrame) -> None:
+        """Append the rows of one run to ``results``, ``freshness`` or ``row_counts``; earlier runs stay."""
+        schema = QUALITY[table]
+        self.append(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), "quality", table)
+
+    def quality(self, table: str) -> DataFrame:
+        """All rows recorded so far."""
+        return self._read(self.path("quality", table), QUALITY[table])
+
     def raw(self, name: str) -> DataFrame:
         """Raw rows of all successfully loaded files."""
         stored = with_field(raw_schema(name), "_fault", T.StringType())

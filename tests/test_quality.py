@@ -113,3 +113,21 @@ def test_archive_name(spark):
     df = spark.createDataFrame([("a.b.csv", True), ("a.csv", False), ("plain", True)], "n string, taken boolean")
     got = [r[0] for r in df.select(archive_name(F.col("n"), F.col("taken"), F.lit(NOW).cast("timestamp_ntz"))).collect()]
     assert got == ["a.b_20260503T000000.csv", "a.csv", "plain_20260503T000000"]
+
+
+def test_results_are_kept_run_by_run(spark, tmp_path):
+    from tallyhouse.plans.reports import checks_by_status
+    from tallyhouse.sources.lake import Lake
+
+    lake = Lake(spark, str(tmp_path))
+    assert lake.quality("results").count() == lake.quality("freshness").count() == 0
+    table = {"t": spark.createDataFrame([("a", 1), ("a", -1), (None, 2)], "k string, n int")}
+    rules = [quality.not_null("t", "k"), quality.not_negative("t", "n"), quality.has_rows("t")]
+    first, second = datetime(2026, 1, 1, 6), datetime(2026, 1, 2, 6)
+    lake.record_quality("results", quality.run_rules(table, rules, first))
+    lake.record_quality("results", quality.run_rules(table, rules[2:], second))
+    kept = lake.quality("results")
+    assert {(r.checked_at, r["count"]) for r in kept.groupBy("checked_at").count().collect()} == {(first, 3), (second, 1)}
+    assert {(r.check_status, r.checks) for r in checks_by_status(kept).collect()} == {("passed", 2), ("failed", 2)}
+    lake.record_quality("freshness", quality.freshness([("s", "t", table["t"])], first))
+    assert lake.quality("freshness").first().note == "not checkable: no load time"
