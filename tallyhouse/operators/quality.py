@@ -19,15 +19,20 @@ from pyspark.sql import types as T
 from ..functions import hours_between
 from ..specs import FRESH_HOURS
 
-RESULTS = T.StructType.fromDDL(
-    "check_name string, table_name string, column_name string, check_type string, check_status string,"
-    " failed_row_count bigint, checked_at timestamp_ntz, details string")
-FRESHNESS = T.StructType.fromDDL(
-    "schema_name string, table_name string, row_count bigint, max_loaded_at timestamp_ntz, checked_at timestamp_ntz,"
-    " is_fresh boolean, staleness_hours decimal(10,2), note string")
-COUNT_CHECKS = T.StructType.fromDDL(
-    "table_name string, check_date date, expected_min_rows bigint, actual_row_count bigint, check_status string,"
-    " checked_at timestamp_ntz")
+_TEXT, _COUNT, _TIME = T.StringType(), T.LongType(), T.TimestampNTZType()
+
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+RESULTS = _schema(check_name=_TEXT, table_name=_TEXT, column_name=_TEXT, check_type=_TEXT, check_status=_TEXT,
+                  failed_row_count=_COUNT, checked_at=_TIME, details=_TEXT)
+FRESHNESS = _schema(schema_name=_TEXT, table_name=_TEXT, row_count=_COUNT, max_loaded_at=_TIME, checked_at=_TIME,
+                    is_fresh=T.BooleanType(), staleness_hours=T.DecimalType(10, 2), note=_TEXT)
+COUNT_CHECKS = _schema(table_name=_TEXT, check_date=T.DateType(), expected_min_rows=_COUNT, actual_row_count=_COUNT,
+                       check_status=_TEXT, checked_at=_TIME)
+RESULT_COLUMNS = tuple(RESULTS.names)
 
 
 @dataclass(frozen=True)
