@@ -1,7 +1,8 @@
 """Declarative data-quality rules.
 
-All row-wise rules of a table are counted in one scan. Uniqueness needs one
-grouping per key. Every rule gives one result row; a failed rule never fails
+All rules of a table are counted in one pass: if one asks for a unique key, the
+row-wise rules are counted per key and added up. Each further key needs a
+grouping of its own. Every rule gives one result row; a failed rule never fails
 the job.
 """
 
@@ -106,10 +107,12 @@ def _count(rule: Rule, as_of: Column) -> Column:
     return F.count_if(broken)
 
 
-def _repeated_keys(df: DataFrame, column: str) -> DataFrame:
-    """How many distinct non-null values occur more than once."""
-    per_key = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return per_key.agg(F.count_if(F.col("n") > 1).alias("_c0"))
+def _by_key(df: DataFrame, column: str, scalar: Sequence[Rule], now: Column) -> DataFrame:
+    """The counts of the row-wise rules, then how many distinct non-null values of the key occur more than once: in one pass."""
+    per_key = df.groupBy(F.col(column).alias("_key")).agg(
+        F.count("*").alias("_n"), *[_count(r, now).alias(f"_c{i}") for i, r in enumerate(scalar)])
+    sums = [F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(scalar))]
+    return per_key.agg(*sums, F.count_if((F.col("_n") > 1) & F.col("_key").isNotNull()).alias(f"_c{len(scalar)}"))
 
 
 def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule], as_of: datetime) -> DataFrame:
@@ -121,11 +124,14 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule], as_of: dat
     parts = []
     for table in dict.fromkeys(r.table for r in rules):
         scalar = [r for r in rules if r.table == table and r.kind != "unique"]
-        if scalar:
+        keys = [r for r in rules if r.table == table and r.kind == "unique"]
+        if keys:
+            parts.append(_results(_by_key(tables[table], keys[0].column, scalar, now), [*scalar, keys[0]], now))
+        elif scalar:
             counts = tables[table].agg(*[_count(r, now).alias(f"_c{i}") for i, r in enumerate(scalar)])
             parts.append(_results(counts, scalar, now))
-        for rule in (r for r in rules if r.table == table and r.kind == "unique"):
-            parts.append(_results(_repeated_keys(tables[table], rule.column), [rule], now))
+        for rule in keys[1:]:
+            parts.append(_results(_by_key(tables[table], rule.column, [], now), [rule], now))
     return reduce(DataFrame.unionByName, parts)
 
 
