@@ -85,8 +85,9 @@ FEED: dict[str, tuple[str, str | None, dict[str, str]]] = {
                      " else 'False' end",
         **_lineage("products", "cast('1995-01-10 00:00:00' as timestamp)"),
     }),
-    "shipments": ("lineitem", "l_linenumber = 1", {
-        "shipment_id": _id("SHIP", "l_orderkey"),
+    # Every line is shipped on its own, so an order has several shipments.
+    "shipments": ("lineitem", None, {
+        "shipment_id": "'SHIP'||lpad(cast(l_orderkey as string),9,'0')||'-'||cast(l_linenumber as string)",
         "order_id": _id("ORD", "l_orderkey"),
         "carrier": "case l_suppkey%5 when 0 then 'DHL' when 1 then 'FedEx' when 2 then 'UPS' when 3 then 'USPS'"
                    " else 'local courier' end",
@@ -99,12 +100,13 @@ FEED: dict[str, tuple[str, str | None, dict[str, str]]] = {
                            " when l_returnflag='A' then 'In_Transit ' else 'pending' end",
         **_lineage("shipments", "l_shipdate"),
     }),
-    "payments": ("orders", "o_orderstatus <> 'O'", {
+    # Some orders are paid in two parts, some not at all.
+    "payments": ("orders", None, {
         "payment_id": "'PAY'||lpad(cast(o_orderkey as string),9,'0')",
-        "order_id": _id("ORD", "o_orderkey"),
+        "order_id": _id("ORD", "o_orderkey - case when o_orderkey%5=4 then 1 else 0 end"),
         "payment_method": "case when o_orderkey%4=0 then 'Credit_Card' when o_orderkey%4=1 then 'paypal '"
                           " when o_orderkey%4=2 then 'GIFT_CARD' else 'bank_transfer' end",
-        "payment_status": "case when o_orderstatus='F' then 'PAID' else ' refunded' end",
+        "payment_status": "case o_orderstatus when 'F' then 'PAID' when 'O' then 'Pending' else ' refunded' end",
         "payment_amount": _money("o_totalprice"),
         "paid_at": "cast(o_orderdate + interval '2' hour as string)",
         **_lineage("payments", "o_orderdate"),
