@@ -37,7 +37,7 @@ def _cell(word: Column) -> Column:
 
 
 def rarity_classes(docs: DataFrame) -> tuple[Column, int]:
-    """An array with the class of every cell of words, in the upper 8 bits, and the class from which words are common.
+    """An array with the class of every cell of words, and the class from which words are common.
 
     The class is four times the logarithm of the count over all texts; a common cell has a thousandth of all
     words. ``2**CELL_BITS`` numbers, whatever the input.
@@ -46,13 +46,13 @@ def rarity_classes(docs: DataFrame) -> tuple[Column, int]:
     counts = {r["cell"]: r["count"] for r in cells.groupBy("cell").count().collect()}
     classes = [min(126, 4 * counts.get(c, 0).bit_length()) for c in range(1 << CELL_BITS)]
     common = 4 * max(2, (sum(counts.values()) // 1000).bit_length())
-    return F.split(F.lit(",".join(str(c << 56) for c in classes)), ",").cast("array<bigint>"), common
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>"), common
 
 
 def _ordered(words: Column, classes: Column) -> Column:
     """The distinct words as numbers in order of rarity: the class in the upper bits, 56 bits of the word below."""
-    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.get(classes, _cell(w)).bitwiseOR(
-        w.bitwiseAND((1 << 56) - 1)))))
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.shiftleft(
+        F.get(classes, _cell(w)).cast("long"), 56).bitwiseOR(w.bitwiseAND((1 << 56) - 1)))))
 
 
 def _need(percent: int, n: Column, m: Column) -> Column:
@@ -129,23 +129,27 @@ _HELD = ("doc", "line", "row", "n", "at", "s0", "s1")
 def _pairs(entries: DataFrame, percent: int, led: bool) -> DataFrame:
     """Pairs (u, v) of rows that pass the filters, u the earlier line.
 
-    With ``led`` a line that passes them with the earliest of its key is only paired with that one there
-    (``by_leader``), not with every copy between.
+    With ``led`` one pair for each v, with the earliest line that passes; and a line that passes with the
+    earliest of a key is only compared with that one there, not with every copy between.
     """
     u, v = _with("u_"), _with("v_")
-    x = entries.select("key", *[F.col(c).alias(f"u_{c}") for c in _HELD])
     if led:
         # The window holds the rows of one key at a time; both sides read the same exchange.
         first = F.min(F.struct(*_HELD)).over(Window.partitionBy("key"))
         held = entries.repartition("key").withColumn("l", first)
-        held = held.withColumn("by_leader", _before(_with("l."), _with("")) & _passes(percent, _with("l."), _with("")))
+        passes = _before(_with("l."), _with("")) & _passes(percent, _with("l."), _with(""))
         x = held.select("key", *[F.col(c).alias(f"u_{c}") for c in _HELD])
-        y = held.select("key", *[F.col(c).alias(f"v_{c}") for c in _HELD], "by_leader", F.col("l.row").alias("leader"))
+        y = held.select("key", *[F.col(c).alias(f"v_{c}") for c in _HELD], F.when(passes, F.col("l.row")).alias("leader"))
+        own = F.col("leader").isNull() | (u("row") == F.col("leader"))
     else:
-        y = entries.filter("asked").select("key", *[F.col(c).alias(f"v_{c}") for c in _HELD], F.lit(False).alias("by_leader"),
-                                           F.lit(None).cast("long").alias("leader"))
-    met = x.join(y, "key").filter(_before(u, v) & (~F.col("by_leader") | (u("row") == F.col("leader"))) & _passes(percent, u, v))
-    return met.groupBy(u("row").alias("u"), v("row").alias("v")).agg(F.max("by_leader").alias("by_leader"))
+        x = entries.select("key", *[F.col(c).alias(f"u_{c}") for c in _HELD])
+        y = entries.filter("asked").select("key", *[F.col(c).alias(f"v_{c}") for c in _HELD])
+        own = F.lit(True)
+    met = x.join(y, "key").filter(_before(u, v) & own & _passes(percent, u, v))
+    if led:
+        return met.groupBy(v("row").alias("v")).agg(F.min(F.struct(u("doc"), u("line"), u("row").alias("row"))).alias("u")).select(
+            F.col("u.row").alias("u"), "v")
+    return met.select(u("row").alias("u"), v("row").alias("v")).distinct()
 
 
 def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -173,15 +177,15 @@ def repeated(docs: DataFrame, percent: int, least_words: int) -> tuple[DataFrame
     entries = _entries(lines)
     pairs = written(_pairs(entries, percent, led=True), "pairs")
     gone = written(_verified(docs, lines, pairs, percent), "gone")
-    # A line that no earlier one has beaten, though it passed the filters with a leader, meets the others, too.
-    open_rows = written(pairs.filter("by_leader").select(F.col("v").alias("row")).distinct().join(gone, "row", "left_anti"), "open")
+    # A line that passed the filters with an earlier one, but was not beaten by it, meets all others, too.
+    open_rows = written(pairs.select(F.col("v").alias("row")).join(gone, "row", "left_anti"), "open")
     n = open_rows.count()
     if n:
         asked = entries.join(_small(open_rows.withColumn("asked", F.lit(True)), n), "row", "left").withColumn(
             "asked", F.coalesce("asked", F.lit(False)))
         keys = written(asked.filter("asked").select("key").distinct(), "keys")
         more = _pairs(asked.join(_small(keys, keys.count()), "key"), percent, led=False)
-        more = written(more.join(pairs.select("u", "v"), ["u", "v"], "left_anti"), "pairs")
+        more = written(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
         gone = written(gone.unionByName(_verified(docs, lines, more, percent)).distinct(), "gone")
     return lines, gone
 
