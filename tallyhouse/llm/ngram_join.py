@@ -31,7 +31,7 @@ FREQUENT = 64
 #: Pairs sent to every task to pick the documents to verify; more are joined by shuffle.
 BROADCAST_PAIRS = 500_000
 #: Leaders of a document in each round before the last. They only save work: the last round is whole anyway.
-LEADERS = (16, 128)
+LEADERS = (32, 256)
 #: Under a key of at most so many rows all pairs are looked at directly.
 FEW = 16
 
