@@ -30,8 +30,8 @@ CELL_BITS = 18
 FREQUENT = 64
 #: Pairs sent to every task to pick the documents to verify; more are joined by shuffle.
 BROADCAST_PAIRS = 500_000
-#: Leaders of a document in each round before the last. They only save work: the last round is whole anyway.
-LEADERS = (32, 256)
+#: Leaders of a document in the rounds before the last. They only save work: the last round is whole anyway.
+LEADERS = (4, 32, 256)
 #: Under a key of at most so many rows all pairs are looked at directly.
 FEW = 16
 
@@ -134,11 +134,11 @@ def _with(prefix: str) -> Callable[[str], Column]:
 
 
 def _among_few(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs (u, v) under keys of at most ``FEW`` rows that can share enough of their prefixes.
+    """All pairs (u, v) of different roots under keys of at most ``FEW`` rows that can share enough of their prefixes.
 
     What they share there is counted; under keys of many rows they share no more than either has of these.
     """
-    held = entries.groupBy("key").agg(F.collect_list(F.struct("row", "n", "at", "met", "lots")).alias("l"))
+    held = entries.groupBy("key").agg(F.collect_list(F.struct("row", "n", "at", "met", "lots", "root")).alias("l"))
 
     def pair(x: Column, y: Column) -> Column:
         first, second = (lambda c: x[c]), (lambda c: y[c])
@@ -147,7 +147,7 @@ def _among_few(entries: DataFrame, percent: int) -> DataFrame:
                         (both - F.least(x["lots"], y["lots"])).alias("least"))
 
     every = F.flatten(F.transform("l", lambda x: F.transform(
-        F.filter("l", lambda y: (y["row"] > x["row"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+        F.filter("l", lambda y: (y["row"] > x["row"]) & (y["root"] != x["root"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
                  & (F.least(x["met"], y["met"]) >= _sizes(percent, lambda c: x[c], lambda c: y[c])[1])),
         lambda y: pair(x, y))))
     return (held.select(F.explode(every).alias("p")).select("p.*").groupBy("u", "v")
@@ -225,18 +225,20 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     met = counted.filter("first").groupBy("row").agg(F.count("*").alias("met"), F.count(F.when(F.col("many"), 1)).alias("lots"))
     entries = written(counted.join(met, "row", "left").fillna(0, ["met", "lots"]), "entries")
 
-    # First rounds: all pairs under keys of few rows; under the others every row and a few leaders.
-    many = entries.filter("many")
+    # First rounds: every row and a few leaders; then all pairs under keys of few rows that still lie apart.
+    many, few = entries.filter("many"), entries.filter("not many")
     none = docs.sparkSession.createDataFrame([], "u long, v long")
     links = tried = none
     roots = none.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    if len(LEADERS) < 2:
+        raise ValueError("pairs under keys of few rows take the second round")
     for turn, most in enumerate(LEADERS):
         pairs = _met(many.filter("first"), roots, turn, most, percent)
-        pairs = pairs.unionByName(_among_few(entries.filter("not many"), percent)).distinct() if turn == 0 else (
-            pairs.join(tried, ["u", "v"], "left_anti"))
-        pairs = written(pairs, "leaders")
+        if turn < 2:
+            pairs = pairs.unionByName(_among_few(_rooted(few, roots), percent) if turn else _met(few, roots, turn, 2, percent))
+        pairs = written(pairs.distinct().join(tried, ["u", "v"], "left_anti"), "leaders")
         if pairs.isEmpty():
-            break
+            continue
         tried = tried.unionByName(pairs)
         links = written(links.unionByName(_links(pairs, texts, every, width, percent)), "links")
         roots = written(components(links), "roots")
