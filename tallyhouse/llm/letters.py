@@ -35,7 +35,7 @@ SCRIPTS = {
     "Han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)],
 }
 OTHER = len(SCRIPTS) + 1
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 250_000
 #: An odd number with evenly spread bits, for polynomial hashes.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 

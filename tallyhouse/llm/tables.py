@@ -40,7 +40,7 @@ def text_of(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(column_or(df, name, "string"), F.lit(""))
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> SparkSession:
+def small_batches(spark: SparkSession, rows: int = 200) -> SparkSession:
     """Let Python tasks see few rows at a time, since texts can be long, and find this package where it lies."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
