@@ -18,6 +18,8 @@ from tallyhouse.llm.tables import column_or, text_of, written
 
 # Fixed value: what separates words (space and the controls 9 to 13).
 _GAP = r"[\x20\x09-\x0D]+"
+# What any word has.
+_SAID = r"[^\x20\x09-\x0D]"
 #: Words are counted in so many cells to order them.
 CELL_BITS = 16
 #: Lines sent to every task to be verified; more are joined by shuffle.
@@ -76,13 +78,13 @@ def _exploded(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line", "line_text"))
 
 
-def distinct_lines(docs: DataFrame, classes: Column, common: int, percent: int, least_words: int) -> DataFrame:
+def distinct_lines(docs: DataFrame, classes: Column, common: int, percent: int) -> DataFrame:
     """One row for each set of words: ``first`` (its first line), ``n``, ``prefix``, and ``s0`` and ``s1``, the signature
     of all words that are not common.
 
     Copies meet in the tasks before they are shuffled, so a line that fills a third of a table is one row per task.
     """
-    words = _exploded(docs).withColumn("w", _ordered(_words(F.col("line_text")), classes)).filter(F.size("w") >= least_words)
+    words = _exploded(docs).withColumn("w", _ordered(_words(F.col("line_text")), classes)).filter(F.size("w") > 0)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "mark")
     words = words.withColumn("p", F.slice("w", F.lit(1), _prefix(percent, F.size("w")).cast("int")))
     words = words.withColumn("r", F.filter("w", lambda x: x < (common << 56)))
@@ -93,11 +95,15 @@ def distinct_lines(docs: DataFrame, classes: Column, common: int, percent: int,
     return rows.groupBy("digest").agg(F.min("first").alias("first"), F.first("set").alias("set")).select("first", "set.*")
 
 
-def _entries(lines: DataFrame) -> DataFrame:
-    """The index: one row for each word of a line's prefix, with what the filters need. ``doc`` and ``line`` order lines."""
+def _entries(lines: DataFrame, percent: int) -> DataFrame:
+    """The index: one row for each word of a line's prefix, with what the filters need. ``doc`` and ``line`` order lines.
+
+    A set too small for one word more or less is similar to no other set; its copies met by their digest.
+    """
     # None of the columns is ever null; saying so lets both sides of the join read one exchange.
     zero = F.lit(0)
-    return lines.select(F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.coalesce("first.line", zero).alias("line"), "row",
+    paired = lines.filter(100 * F.col("n") >= percent * (F.col("n") + 1))
+    return paired.select(F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.coalesce("first.line", zero).alias("line"), "row",
                         *[F.coalesce(c, zero.cast("int" if c == "n" else "long")).alias(c) for c in ("n", "s0", "s1")],
                         F.posexplode("prefix").alias("at", "key"))
 
@@ -170,11 +176,11 @@ def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame, percent: int)
             .select(F.col("v").alias("row")).distinct())
 
 
-def repeated(docs: DataFrame, percent: int, least_words: int) -> tuple[DataFrame, DataFrame]:
+def repeated(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Distinct lines (row, first, ...) and those of them (row) that match an earlier line."""
-    lines = written(distinct_lines(docs, *rarity_classes(docs), percent, least_words)
+    lines = written(distinct_lines(docs, *rarity_classes(docs), percent)
                     .withColumn("row", F.monotonically_increasing_id()), "lines")
-    entries = _entries(lines)
+    entries = _entries(lines, percent)
     pairs = written(_pairs(entries, percent, led=True), "pairs")
     gone = written(_verified(docs, lines, pairs, percent), "gone")
     # A line that passed the filters with an earlier one, but was not beaten by it, meets all others, too.
@@ -201,18 +207,17 @@ def kept_lines(lines: DataFrame, gone: DataFrame) -> DataFrame:
         F.collect_list("first.line").alias("kept"))
 
 
-def deduplicate(docs: DataFrame, percent: int = 80, least_words: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+def deduplicate(docs: DataFrame, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Every row of ``docs`` with its text less the lines that match an earlier line, ``n_lines`` and ``n_removed``.
 
     Lines are parted by line feeds. Two match if their sets of words (in lower case) have a Jaccard similarity of
     ``percent`` or more. The earlier is that of the smaller doc_id (null last), then of the smaller line number;
-    a line leaves if it matches any earlier line, whether that one stays or not. Lines of fewer than
-    ``least_words`` different words say too little to be copies; they stay and match nothing. Null texts
-    stay null. Rows of equal id and text are treated alike. Input columns named as a result are replaced.
+    a line leaves if it matches any earlier line, whether that one stays or not. Lines without a word
+    stay and match nothing. Null texts stay null. Rows of equal id and text are treated alike. Input columns named as a result are replaced.
     """
     base = docs.select(column_or(docs, key, "long").alias("doc_id"), F.xxhash64(text_of(docs, text)).alias("mark"),
                        text_of(docs, text).alias("text"))
-    stay = written(kept_lines(*repeated(base, percent, least_words)).select(
+    stay = written(kept_lines(*repeated(base, percent)).select(
         F.col("doc_id").alias("_line_id"), F.col("mark").alias("_line_mark"), F.col("kept").alias("_line_kept")), "kept")
     if stay.count() <= BROADCAST_DOCUMENTS:
         stay = F.broadcast(stay)
@@ -220,9 +225,8 @@ def deduplicate(docs: DataFrame, percent: int = 80, least_words: int = 5, text:
     joined = docs.withColumn("_line_hash", F.xxhash64(said)).join(
         stay, column_or(docs, key, "long").eqNullSafe(F.col("_line_id")) & (F.col("_line_hash") == F.col("_line_mark")), "left")
     lines = F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n", -1)
-    short = F.filter(F.transform(lines, lambda x, i: F.when(F.size(F.array_distinct(_words(x))) < least_words, i)),
-                     lambda i: i.isNotNull())
-    held = F.sort_array(F.array_union(short, F.coalesce("_line_kept", F.array().cast("array<int>"))))
+    blank = F.filter(F.transform(lines, lambda x, i: F.when(~x.rlike(_SAID), i)), lambda i: i.isNotNull())
+    held = F.sort_array(F.array_union(blank, F.coalesce("_line_kept", F.array().cast("array<int>"))))
     out = (joined.withColumn("_line_all", lines).withColumn("_line_held", held)
            .withColumn("n_lines", F.size("_line_all").cast("long"))
            .withColumn("n_removed", F.col("n_lines") - F.size("_line_held"))
