@@ -50,6 +50,10 @@ class Model:
         # A script that no language is known to use says nothing.
         return np.where(allowed, summed, np.where(allowed.any(1, keepdims=True), -1e4, 0.0))
 
+    def known(self, w: Words) -> np.ndarray:
+        """Whether each word is in a script that some language is known to use."""
+        return self.allowed.any(1)[w.script]
+
 
 def fit(rows: DataFrame, penalty: float = 16.0, least_share: float = 0.001, floor: float = 1e-6) -> Model:
     """Count trigrams and scripts of rows ``text, lang`` per language, over all rows.
@@ -124,39 +128,48 @@ def one_language(scores: np.ndarray, starts: np.ndarray, penalty: float) -> tupl
 
 
 def label(model: Model, texts: list[str]) -> Iterator[tuple[str, float, list[int], list[int], list[str]]]:
-    """Language, its share of the letters, and the spans (begin, end, language) of each text."""
+    """Language, its share of the letters, and the spans (begin, end, language) of each text.
+
+    Words in a script that no language is known to use are of no language and in no span, but count as letters.
+    """
     for _, group in groups(texts):
         w = words_of(group)
-        scores = model.word_scores(w)
-        held, starts = np.unique(w.doc, return_index=True)
+        lengths = w.ends - w.starts
+        whole = np.bincount(w.doc, lengths, len(group))
+        # Such words score 0 for all, so the best path over the others is that over all.
+        at = np.flatnonzero(model.known(w))
+        scores = model.word_scores(w)[at]
+        held, starts = np.unique(w.doc[at], return_index=True)
         ends = np.append(starts[1:], len(scores))
         if len(held) and model.languages:
             best, sure = one_language(scores, starts, model.penalty)
         place = dict(zip(held.tolist(), range(len(held)), strict=True))
         for i in range(len(group)):
-            if i not in place or not model.languages:
+            if not whole[i] or not model.languages:
                 yield UNDETERMINED, 0.0, [], [], []
                 continue
-            k = place[i]
-            a, b, base = starts[k], ends[k], w.offsets[i]
-            if sure[k]:
-                yield model.languages[best[k]], 1.0, [int(w.starts[a] - base)], [int(w.ends[b - 1] - base)], \
-                    [model.languages[best[k]]]
+            if i not in place:
+                yield model.languages[0], 0.0, [], [], []
                 continue
-            path = viterbi(scores[a:b], model.penalty)
-            letters = np.bincount(path, w.ends[a:b] - w.starts[a:b], len(model.languages))
-            first = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1])
-            last = np.append(first[1:], b - a) - 1
-            yield (model.languages[letters.argmax()], float(letters.max() / letters.sum()),
-                   (w.starts[a + first] - base).tolist(), (w.ends[a + last] - base).tolist(),
+            k = place[i]
+            words, base = at[starts[k]:ends[k]], w.offsets[i]
+            path = np.full(len(words), best[k]) if sure[k] else viterbi(scores[starts[k]:ends[k]], model.penalty)
+            own = model.allowed[w.script[words], path]
+            letters = np.bincount(path, lengths[words] * own, len(model.languages))
+            first = np.concatenate([[0], np.flatnonzero((np.diff(path) != 0) | (np.diff(words) > 1)) + 1])
+            last = np.append(first[1:], len(words)) - 1
+            yield (model.languages[letters.argmax()], float(letters.max() / whole[i]),
+                   (w.starts[words[first]] - base).tolist(), (w.ends[words[last]] - base).tolist(),
                    [model.languages[p] for p in path[first]])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Every row with ``lang_pred, score`` and its spans ``span_begin, span_end, span_lang`` (code points).
 
-    ``lang_pred`` has most of the letters and ``score`` their share. A text that is null or has no letter
-    is ``und`` with score 0 and no span; so is every text if nothing was learned. Rows, repeated ones
+    ``lang_pred`` has most of the letters and ``score`` their share of all letters; those of a script that no
+    language is known to use are of none. A text with only such letters has score 0, no span, and a label without
+    meaning, the first language. A text that is null or has no letter is ``und`` with score 0 and no span; so is
+    every text if nothing was learned. Rows, repeated ones
     too, stay as they are; input columns named as a result are replaced.
     """
     spark = small_batches(docs.sparkSession)
