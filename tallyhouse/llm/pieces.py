@@ -199,22 +199,26 @@ def _source(docs: DataFrame, names: list[str], text: str) -> tuple[DataFrame, st
     return source, "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema if f.name != "_text")
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", spans: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text: str = "text", spans: bool = True, decoded: bool = False) -> DataFrame:
     """Every row of ``docs`` with ``ids`` and, unless switched off, ``begins`` and ``ends``: the pieces' original byte spans.
 
+    If asked for, ``decoded`` is the text decoded from the ids, in the same pass.
     Null texts count as empty and have no pieces. A piece of the added prefix spans no byte. Rows stay
     as they are, repeated ones too; input columns named as a result are replaced.
     """
     model = _shipped(docs, model_path)
     names = ["ids", "begins", "ends"][:3 if spans else 1]
-    source, schema = _source(docs, names, text)
+    texts = ["decoded"] if decoded else []
+    source, schema = _source(docs, names + texts, text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = list(loaded(model.value).encode(pdf.pop("_text").tolist()))
-            yield pdf.assign(**{name: [f[k] for f in found] for k, name in enumerate(names)})
+            pieces = loaded(model.value)
+            found = list(pieces.encode(pdf.pop("_text").tolist()))
+            yield pdf.assign(**{name: [f[k] for f in found] for k, name in enumerate(names)},
+                             **{name: [pieces.decode(f[0]) for f in found] for name in texts})
 
-    return source.mapInPandas(run, schema + ", ".join(f"{n} array<int>" for n in names))
+    return source.mapInPandas(run, schema + ", ".join([f"{n} array<int>" for n in names] + [f"{n} string" for n in texts]))
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
