@@ -1,0 +1,97 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import turn_trie
+
+
+def brute(convs):
+    """Nodes of a trie over (conv_id, [(role, text)])."""
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in convs:
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    children = defaultdict(set)
+    for path in members:
+        if path:
+            children[path[:-1]].add(path)
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for path, own in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += (len(own) - 1) * len(path[-1][1].encode()) if path else 0
+    return sorted([(min(own), len(path), min(members[path[:-1]]) if path else None, len(own), len(children[path]), leaves[path],
+                    saved[path], hashlib.sha256(",".join(map(str, sorted(ends[path]))).encode()).hexdigest())
+                   for path, own in members.items()], key=str)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def sequences_of(spark, convs):
+    data = [(c, t, role, text) for c, turns in convs for t, (role, text) in enumerate(turns)]
+    made = turn_trie.sequences(spark.createDataFrame(data, "conv_id long, turn long, role string, text string"))
+    none = spark.createDataFrame([(c,) for c, turns in convs if not turns], "conv_id long")
+    return made.unionByName(none.select("conv_id", F.slice(F.array(F.struct(
+        F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("bytes"))), 1, 0).alias("turns")))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_brute_force_over_many_shards(spark, seed):
+    r = random.Random(seed)
+    said = [("user", "hé"), ("assistant", "hé"), ("user", ""), ("user", "b" * 300)]
+    convs = [(c, [r.choice(said) for _ in range(r.randrange(0, 6))]) for c in range(120)]
+    hot = [said[0], said[1], said[0]] * 10
+    # A third are copies of one conversation; some go on behind its end, some stop within it.
+    convs += [(c, hot) for c in range(1000, 1060)] + [(c, hot[:c % 31]) for c in range(2000, 2040)]
+    convs += [(c, [*hot, r.choice(said)]) for c in range(3000, 3012)]
+    want = brute(convs)
+    assert rows(turn_trie.trie(sequences_of(spark, convs), 20)) == want
+    assert rows(turn_trie.trie(sequences_of(spark, convs))) == want
+
+
+def test_shared_parents_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(turn_trie, "BROADCAST_NODES", 0)
+    convs = [(c, [("user", "a"), ("assistant", f"r{c}")]) for c in range(60)]
+    assert rows(turn_trie.trie(sequences_of(spark, convs), 4)) == brute(convs)
+
+
+def rebuilt(turns):
+    own = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(role, text) for *_, role, text in sorted(t)] for c, t in own.items()}
+    made = []
+    for c, t in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        made.append((c, own.get(c - c % 5, [])[:h] + t[h:]))
+    return made
+
+
+def test_query_on_odd_rows(spark):
+    r = random.Random(5)
+    turns = [(c, t, r.choice(["user", "assistant", None]), r.choice(["x", "", None, "ö", "long " * 2000]))
+             for c in range(60) for t in r.sample(range(12), r.randrange(1, 12)) if c % 17]
+    turns += [(7, None, "system", "first"), (None, 0, "user", "no conversation"), (2**40, 3, "user", "x")]
+    df = spark.createDataFrame([(*t, "e") for t in turns], "conv_id long, turn long, role string, text string, depth string")
+    assert rows(turn_trie.query(df)) == brute(rebuilt(turns))
+
+
+def test_ties_and_repeated_rows_have_one_result(spark):
+    turns = [(0, 1, "user", t) for t in "dcbaab"] + [(8, 1, "user", "a")] * 3
+    made = [rows(turn_trie.query(spark.createDataFrame(o, "conv_id long, turn long, role string, text string")))
+            for o in (turns, turns[::-1])]
+    assert made[0] == made[1] and max(r[1] for r in made[0]) >= 3
+
+
+def test_empty_and_missing_columns(spark):
+    assert rows(turn_trie.query(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))) == []
+    only = turn_trie.query(spark.createDataFrame([(None, 1)], "conv_id long, turn long"))
+    assert rows(only) == []
