@@ -15,7 +15,7 @@ def words(line):
     return frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", line.lower()) if w)
 
 
-def brute(rows, least=5):
+def brute(rows, least=1):
     """doc_id -> (lines, removed, text) for rows of different ids; null id last."""
     seen, out = [], {}
     for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
