@@ -85,6 +85,14 @@ def deliver(spark: SparkSession, sf_dir: str, entities: tuple[str, ...]) -> str:
     return landing
 
 
+def ingested_in_turn(spark: SparkSession, sf_dir: str, *batches: tuple[str, ...]) -> Lake:
+    """A new lake with one batch, an hour after the other, for each of the given groups of entities."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    for hour, entities in enumerate(batches, 6):
+        run_batch(lake, deliver(spark, sf_dir, entities), datetime(2024, 2, 1, hour))
+    return lake
+
+
 def ingested(spark: SparkSession, sf_dir: str, *entities: str) -> Lake:
     """A new lake with the entities delivered and loaded through the whole ingest path."""
     landing = deliver(spark, sf_dir, entities)

@@ -102,6 +102,11 @@ ORACLES |= {
     "i14_published_mart": shown("fact_daily_sales", "t:order_date i:total_orders i:completed_orders i:cancelled_orders"
                                 " i:refunded_orders n:total_revenue i:total_items_sold n:average_order_value"
                                 " n:total_shipping_cost"),
+    "i15_staging_views": """select currency, payment_method, count(*) as payments, cast(sum(payment_amount) as double) as paid
+        from stg_orders join stg_payments using (order_id) group by currency, payment_method""",
+    "i16_overlapping_batches": " union all ".join(
+        f"select '{s}' as source_name, count(*) as rows_loaded, 0 as open_runs, 0 as repeated_numbers, 0 as unlike_counts,"
+        f" 4 as batches, true as all_found_again, 0 as targets_taken_twice from raw_{s}" for s in ("orders", "customers", "payments", "products")),
     "j8_loaded_checksum_lookup": """select event_id, cast(event_id % 60 as varchar) as checksum from events
         where cast(event_id % 60 as varchar) not in (select checksum from source_file_states where status = 'loaded')""",
     "f1_text_functions": f"""with n as (select c_custkey, '  '||c_name||'-'||lower(c_mktsegment)||'''s  ' as v from customer)
@@ -256,6 +261,19 @@ ORACLES |= {
                             _ageless("fact_daily_sales")]),
     "q8_quality_results": f"select *, '1999-06-30 12:00:00' as checked_at from ({_union(_RUNTIME)})",
     "q9_row_count_history": _HISTORY,
+    "q14_merged_states": f"""with c as ({_union([f"select 'raw.{s}' as table_name, count(*) as row_count, {a} as staleness_hours from raw_{s}"
+                                                for s, a in (("customers", 72.0), ("orders", 72.0), ("payments", 72.0), ("products", 71.0))])})
+        select r.*, row_count, false as is_fresh, cast(staleness_hours as double) as staleness_hours
+        from ({_union([_rows(f"raw.{s}") for s in ("customers", "orders", "payments", "products")]
+                      + [_null(f"raw.{s}", k) for s, k in _RAW if s in ("customers", "orders", "payments", "products")])}) r join c using (table_name)""",
+    "q15_recorded_checks": f"""{_union([
+        f"select 'row_counts' as kind, 'raw.{s}' as name, {v} as check_status, count(*) as n from raw_{s}" for s, v in (
+            ("orders", "'passed'"), ("payments", "'failed'"), ("customers", "'warning'"), ("products", "'warning'"),
+            ("shipments", "'warning'"), ("order_items", "'warning'"))])}
+        union all {_union([f"select 'freshness', '{s}', 'true', count(*) from raw_{s}" for s, _ in _RAW])}
+        union all select 'results', check_name, check_status, failed_row_count from ({_union(_RUNTIME)})
+        union all select 'results', 'metadata.'||t||'_status_accepted_values', 'passed', 0
+        from (values ('source_files'), ('ingestion_runs'), ('pipeline_runs')) v(t)""",
     "q10_model_keys_unique": _union([_repeated(m, cols.split()[0]) for m, cols in _MODELS]),
     "q11_model_columns_present": _union([_null(m, c) for m, cols in _MODELS for c in cols.split()]),
     "q12_model_accepted_values": _union([*_ACCEPTED, _listed("marts.fact_orders", "currency", "USD EUR")]),

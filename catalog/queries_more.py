@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import file_date, file_extension, file_stem, hours_between, title_words
-from tallyhouse.operators import ledger, quality
+from tallyhouse.operators import ledger, quality, states
 from tallyhouse.operators.skew import HotKeys, spread_join
 from tallyhouse.plans import checks, reports
+from tallyhouse.plans.ingest import run_batch
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.session import prepare, scratch_path
-from tallyhouse.sources.lake import Lake, publish_table
+from tallyhouse.sources.generations import Generations
+from tallyhouse.sources.lake import Lake
 from tallyhouse.sources.manifest import checksum, csv_header, dated, recognise, validated
 from tallyhouse.specs import SOURCES
 from tallyhouse.streaming.pickup import pick_up_available
@@ -54,9 +57,9 @@ def _(spark: SparkSession, table: Tables) -> DataFrame:
 def _(spark: SparkSession, table: Tables) -> DataFrame:
     files = d.derived(spark, table, d.DOCUMENT_FILES, "documents", "labels").withColumn(
         "checksum", checksum(F.col("text").cast("binary")))
-    states = files.filter("quality is not null").select(
+    known = files.filter("quality is not null").select(
         "checksum", F.when(F.col("quality") == 1, "loaded").otherwise("failed").alias("status"))
-    return ledger.not_yet_loaded(files.select("doc_id", "checksum"), states)
+    return ledger.not_yet_loaded(files.select("doc_id", "checksum"), known)
 
 
 @table_query("i4_file_date")
@@ -99,8 +102,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @table_query("i9_source_file_states")
 def _(spark: SparkSession, table: Tables) -> DataFrame:
-    states = ledger.file_states(d.derived(spark, table, d.FILE_EVENTS, "events"))
-    return states.select("source_file_id", "source_name", "status", "error_message", "discovered_at", "loaded_at")
+    found = ledger.file_states(d.derived(spark, table, d.FILE_EVENTS, "events"))
+    return found.select("source_file_id", "source_name", "status", "error_message", "discovered_at", "loaded_at")
 
 
 @table_query("i10_ingestion_run_states")
@@ -143,18 +146,59 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @folder_query("i14_published_mart")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging and the mart written as tables, the mart in ranges of its date."""
-    store = scratch_path(spark, "warehouse")
-    daily = Warehouse.from_tables(spark, sf_dir, store).fact_daily_sales
-    publish_table(daily, f"{store}/published", sort_by="order_date")
-    return spark.read.parquet(f"{store}/published")
+    """Two builds of a mart, of which the first lacks the newest orders: readers follow the pointer to the second."""
+    store = Generations(spark, scratch_path(spark, "marts"))
+    tables = Warehouse.from_tables(spark, sf_dir).raw
+    older = tables["orders"].filter("order_date < '1997-01-01'")
+    for day, raw in enumerate((dict(tables) | {"orders": older}, tables), 1):
+        house = Warehouse(raw, store)
+        store.write(house.fact_daily_sales.drop("total_shipping_cost"), "sales_without_shipping", house.generation)
+        store.publish(house.generation, ["fact_daily_sales", "sales_without_shipping"], datetime(2024, 2, day))
+    costs = store.read("fact_daily_sales").select("order_date", "total_shipping_cost")
+    return store.read("sales_without_shipping").join(costs, "order_date")
+
+
+@folder_query("i15_staging_views")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging asked for as views, in SQL."""
+    Warehouse.from_tables(spark, sf_dir).create_views()
+    return spark.sql("""select o.currency, p.payment_method, count(*) as payments, sum(p.payment_amount) as paid
+        from stg_orders o join stg_payments p on p.order_id = o.order_id group by o.currency, p.payment_method""")
+
+
+@folder_query("i16_overlapping_batches")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches at the same time, then one that finds all their files again: ledgers of a real lake, per source.
+
+    ``repeated_numbers`` counts file and run numbers given out twice, ``unlike_counts`` batches whose files don't add up,
+    ``targets_taken_twice`` names in the archive that two files go to.
+    """
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    landings = [d.deliver(spark, sf_dir, entities) for entities in (("orders", "customers"), ("payments", "products"))]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda landing: run_batch(lake, landing, datetime(2024, 2, 1, 6)), landings))
+    for landing in landings:
+        run_batch(lake, landing, datetime(2024, 2, 1, 7))
+    files, runs, batches = lake.source_files(), lake.ingestion_runs(), lake.pipeline_runs()
+    twice = files.select(F.col("source_file_id").alias("n")).groupBy("n").count().unionByName(
+        runs.select(F.col("ingestion_run_id").alias("n")).groupBy("n").count()).agg(F.count_if("count > 1").alias("repeated_numbers"))
+    unlike = batches.agg(F.count_if("files_discovered <> files_loaded + files_failed + files_skipped").alias("unlike_counts"),
+                         F.sum("files_loaded").alias("loaded"), F.sum("files_skipped").alias("skipped"), F.count("*").alias("batches"))
+    targets = lake.outcomes().filter("target is not null").groupBy("disposition", "target").count().agg(
+        F.count_if("count > 1").alias("targets_taken_twice"))
+    per_source = runs.groupBy("source_name").agg(F.sum("rows_loaded").alias("rows_loaded"), F.count_if("status <> 'success'").alias("open_runs"))
+    # One row each.
+    return per_source.join(F.broadcast(twice), F.lit(True)).join(F.broadcast(unlike), F.lit(True)).join(
+        F.broadcast(targets), F.lit(True)).select("source_name", "rows_loaded", "open_runs", "repeated_numbers", "unlike_counts",
+                                                  "batches", (F.col("loaded") == F.col("skipped")).alias("all_found_again"),
+                                                  "targets_taken_twice")
 
 
 @table_query("j8_loaded_checksum_lookup")
 def _(spark: SparkSession, table: Tables) -> DataFrame:
-    states = ledger.file_states(d.derived(spark, table, d.FILE_EVENTS, "events"))
+    known = ledger.file_states(d.derived(spark, table, d.FILE_EVENTS, "events"))
     files = table("events").select("event_id", F.expr("cast(event_id % 60 as string)").alias("checksum"))
-    return ledger.not_yet_loaded(files, states)
+    return ledger.not_yet_loaded(files, known)
 
 
 # Scalar functions
@@ -275,6 +319,31 @@ def _(w: Warehouse) -> DataFrame:
     return _shown(quality.run_rules(w, [*checks.MODEL_ACCEPTED, strict], AS_OF))
 
 
+@folder_query("q14_merged_states")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of raw tables from what two batches stored, without reading the rows."""
+    lake = d.ingested_in_turn(spark, sf_dir, ("customers", "orders", "payments"), ("products",))
+    names = ("customers", "orders", "payments", "products")
+    tables = [f"raw.{n}" for n in names]
+    rules = [r for r in (*checks.RAW_HAS_ROWS, *checks.RAW_KEYS) if r.table in tables]
+    results = _shown(states.rules_from_states(lake.table_states(), rules, AS_OF))
+    ages = states.freshness_from_states(lake.table_states(), tables, datetime(2024, 2, 4, 6))
+    return results.join(ages.select(F.concat_ws(".", "schema_name", "table_name").alias("table_name"), "row_count", "is_fresh",
+                                    "staleness_hours"), "table_name")
+
+
+@folder_query("q15_recorded_checks")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks of a lake run and recorded, and read back."""
+    lake = d.ingested_in_turn(spark, sf_dir, tuple(SOURCES))
+    expected = spark.createDataFrame([("raw.orders", 1), ("raw.payments", 10**9)], "table_name string, expected_min_rows long")
+    checks.run_checks(lake, Warehouse(lake.raw_tables()), expected, AS_OF)
+    days = lake.quality("row_counts").select(F.lit("row_counts").alias("kind"), F.col("table_name").alias("name"),
+                                             "check_status", F.col("actual_row_count").alias("n"))
+    ages = lake.quality("freshness").select(F.lit("freshness"), "table_name", F.col("is_fresh").cast("string"), "row_count")
+    return days.union(ages).union(lake.quality("results").select(F.lit("results"), "check_name", "check_status", "failed_row_count"))
+
+
 @table_query("q13_ledger_statuses")
 def _(spark: SparkSession, table: Tables) -> DataFrame:
     tables = {

@@ -6,7 +6,7 @@ present state of a file or run is derived from its events.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +49,7 @@ def _newest(columns: list[str]) -> Column:
 
 
 def file_states(events: DataFrame, *within: str) -> DataFrame:
-    """One row per registered file, known by its number ``within`` the given columns.
+    """One row per registered file, known by its number ``within`` the given columns, which come first.
 
     ``loaded_at`` is the last time the file was loaded and outlives later
     status changes.
@@ -62,7 +62,7 @@ def file_states(events: DataFrame, *within: str) -> DataFrame:
             F.min("event_at").alias("discovered_at"),
             F.max(F.when(F.col("status") == "loaded", F.col("event_at"))).alias("loaded_at"),
         )
-        .select("source_file_id", "_newest.*", "discovered_at", "loaded_at")
+        .select(*within, "source_file_id", "_newest.*", "discovered_at", "loaded_at")
     )
 
 
@@ -73,7 +73,7 @@ def run_states(events: DataFrame, *within: str) -> DataFrame:
         events.groupBy(*within, "ingestion_run_id")
         .agg(_newest(kept), F.min("event_at").alias("started_at"))
         .select(
-            "ingestion_run_id", "_newest.job_id", "_newest.source_name", "_newest.file_name", "started_at",
+            *within, "ingestion_run_id", "_newest.job_id", "_newest.source_name", "_newest.file_name", "started_at",
             F.when(F.col("_newest.status") != "running", F.col("_newest.event_at")).alias("finished_at"),
             "_newest.rows_loaded", "_newest.status", "_newest.error_message",
         )
@@ -109,9 +109,34 @@ def outcomes(files: DataFrame) -> DataFrame:
 
 def archive_name(name: Column, taken: Column, at: Column) -> Column:
     """Target name in the archive; a taken name gets the time before its suffix."""
-    stamp = F.concat(F.lit("_"), F.date_format(at, "yyyyMMdd'T'HHmmss"))
-    renamed = F.concat(file_stem(name), stamp, F.substring(name, F.length(file_stem(name)) + 1, F.length(name)))
-    return F.when(taken, renamed).otherwise(name)
+    return F.when(taken, _marked(name, F.date_format(at, "yyyyMMdd'T'HHmmss"))).otherwise(name)
+
+
+def _marked(name: Column, mark: Column) -> Column:
+    stem = file_stem(name)
+    return F.concat(stem, F.lit("_"), mark, F.substring(name, F.length(stem) + 1, F.length(name)))
+
+
+def archive_targets(files: DataFrame, taken: DataFrame, at: Column) -> DataFrame:
+    """Adds ``target``, a name that no other file has where the file goes (``disposition``).
+
+    ``taken`` has the names there already (disposition, target). The first file of a name keeps it, if it is
+    free; another gets the time before its suffix, and where that name is in use as well, its number behind
+    the time. Files without a disposition stay where they are and have no target.
+    """
+    held = taken.filter("target is not null").select("disposition", F.col("target").alias("_name")).distinct().withColumn("_held", F.lit(True))
+    same = Window.partitionBy("disposition", "file_name").orderBy("source_name", "file_path")
+    rows = files.withColumn("_at", F.row_number().over(same)).withColumn("_name", F.col("file_name")).join(
+        held, ["disposition", "_name"], "left")
+    rows = rows.withColumns({"_later": F.col("_at") - F.when(F.col("_held"), 0).otherwise(1), "_name": archive_name(
+        F.col("file_name"), F.lit(True), at)}).drop("_held")
+    # A name with a time may be in use by earlier files, or be the own name of a file of this batch.
+    own = files.select("disposition", F.col("file_name").alias("_name"), F.lit(True).alias("_held"))
+    rows = rows.join(held.unionByName(own).distinct(), ["disposition", "_name"], "left")
+    stamped = F.when((F.col("_later") == 1) & F.col("_held").isNull(), F.col("_name")).otherwise(
+        _marked(F.col("_name"), F.col("source_file_id").cast("string")))
+    target = F.when(F.col("_later") == 0, F.col("file_name")).otherwise(stamped)
+    return rows.withColumn("target", F.when(F.col("disposition").isNotNull(), target)).drop("_name", "_held", "_at", "_later")
 
 
 def batch_rollup(outcome: DataFrame) -> DataFrame:

@@ -126,16 +126,17 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule], as_of: dat
         scalar = [r for r in rules if r.table == table and r.kind != "unique"]
         keys = [r for r in rules if r.table == table and r.kind == "unique"]
         if keys:
-            parts.append(_results(_by_key(tables[table], keys[0].column, scalar, now), [*scalar, keys[0]], now))
+            parts.append(results_of(_by_key(tables[table], keys[0].column, scalar, now), [*scalar, keys[0]], now))
         elif scalar:
             counts = tables[table].agg(*[_count(r, now).alias(f"_c{i}") for i, r in enumerate(scalar)])
-            parts.append(_results(counts, scalar, now))
+            parts.append(results_of(counts, scalar, now))
         for rule in keys[1:]:
-            parts.append(_results(_by_key(tables[table], rule.column, [], now), [rule], now))
+            parts.append(results_of(_by_key(tables[table], rule.column, [], now), [rule], now))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _results(counts: DataFrame, rules: Sequence[Rule], now: Column) -> DataFrame:
+def results_of(counts: DataFrame, rules: Sequence[Rule], now: Column) -> DataFrame:
+    """Result rows from one row of counts, ``_c0`` for the first rule and so on."""
     rows = []
     for i, rule in enumerate(rules):
         kind, label = _KINDS[rule.kind]
@@ -189,6 +190,11 @@ def row_count_history(
     """
     counts = df.groupBy(table.alias("table_name"), day.cast("date").alias("check_date")).agg(
         F.count("*").alias("actual_row_count"))
+    return judged_counts(counts, expected_min, as_of)
+
+
+def judged_counts(counts: DataFrame, expected_min: DataFrame, as_of: datetime) -> DataFrame:
+    """The verdict on ``table_name, check_date, actual_row_count``."""
     enough = F.col("actual_row_count") >= F.col("expected_min_rows")
     return counts.join(expected_min, "table_name", "left").select(
         "table_name", "check_date", F.col("expected_min_rows").cast("bigint").alias("expected_min_rows"),

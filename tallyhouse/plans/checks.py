@@ -1,12 +1,18 @@
-"""The quality rules of the warehouse."""
+"""The quality rules of the warehouse, and the plan that runs and records them."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import replace
+from datetime import datetime
+
+from pyspark.sql import DataFrame
 
 from ..operators.quality import (
-    Rule, accepted_values, has_rows, not_before, not_future, not_negative, not_null, unique,
+    Rule, accepted_values, has_rows, judged_counts, not_before, not_future, not_negative, not_null, run_rules, unique,
 )
+from ..operators.states import counts_by_day, freshness_from_states, rules_from_states
+from ..sources.lake import Lake
 from ..specs import (
     BATCH_STATUSES, CHECK_STATUSES, FILE_STATUSES, ORDER_STATUSES, PAYMENT_STATUSES, RUN_STATUSES,
     SHIPMENT_STATUSES, SOURCES,
@@ -65,3 +71,21 @@ LEDGER_RULES = [
     accepted_values("quality.data_quality_results", "check_status", CHECK_STATUSES),
     accepted_values("quality.row_count_checks", "check_status", CHECK_STATUSES),
 ]
+
+
+def run_checks(lake: Lake, tables: Mapping[str, DataFrame], expected_min: DataFrame, as_of: datetime) -> None:
+    """Run all checks and append what they found to the quality tables of the lake.
+
+    Raw tables are judged by the states stored with their batches, without reading them. ``tables`` has the
+    staged and built tables by layer and name; ``expected_min`` the least rows a day (table_name, expected_min_rows).
+    """
+    states = lake.table_states()
+    ledgers = {"metadata.source_files": lake.source_files(), "metadata.ingestion_runs": lake.ingestion_runs(),
+               "metadata.pipeline_runs": lake.pipeline_runs()}
+    rows = [rules_from_states(states, [*RAW_HAS_ROWS, *RAW_KEYS], as_of),
+            run_rules(tables, [*ORDER_UNIQUE, *AMOUNTS, *DATES], as_of),
+            run_rules(ledgers, [r for r in LEDGER_RULES if r.table in ledgers], as_of)]
+    for found in rows:
+        lake.record_quality("results", found)
+    lake.record_quality("freshness", freshness_from_states(states, [f"raw.{s}" for s in SOURCES], as_of))
+    lake.record_quality("row_counts", judged_counts(counts_by_day(states), expected_min, as_of))

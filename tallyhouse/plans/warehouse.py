@@ -7,43 +7,70 @@ tables and the hot-key sets it needs, and nothing else.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.skew import HotKeys, hot_keys
 from ..sources.feed import RawTables
+from ..sources.generations import Generations, new_generation
+from ..specs import SOURCES
 from . import marts
 from .staging import stage
 
+# The tables that a build publishes, and the column that their files are in ranges of.
+MARTS = {
+    "fact_orders": None,
+    "fact_order_items": None,
+    "fact_daily_sales": "order_date",
+    "fact_customer_revenue": None,
+    "fact_shipping_performance": None,
+    "dim_customers": None,
+    "dim_products": None,
+}
+
 
 class Warehouse:
-    """With a ``store`` folder, tables are written there once and read back.
+    """With a ``store``, a warehouse is one build: tables are written once, into a generation of their own, and read back.
 
     That is the way to build all marts: staging feeds several of them, and each
-    mart several reports and rules. Without a store, everything stays a lazy
-    view, and a single result computes only the columns and joins it needs.
+    mart several reports and rules. Others see the marts once ``publish`` has
+    been called. Without a store, everything stays a lazy view, and a single
+    result computes only the columns and joins it needs.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame], store: str | None = None):
+    def __init__(self, raw: Mapping[str, DataFrame], store: Generations | None = None, generation: str | None = None):
         self.raw = raw
         self.store = store
+        self.generation = generation or new_generation(datetime.now())
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, sf_dir: str, store: str | None = None) -> Warehouse:
+    def from_tables(cls, spark: SparkSession, sf_dir: str, store: Generations | None = None) -> Warehouse:
         return cls(RawTables(spark, sf_dir), store)
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._tables:
             table = build()
-            if self.store:
-                path = f"{self.store}/{name}"
-                table.write.mode("overwrite").parquet(path)
-                table = table.sparkSession.read.parquet(path)
-            self._tables[name] = table
+            self._tables[name] = self.store.write(table, name, self.generation, MARTS.get(name)) if self.store else table
         return self._tables[name]
 
+    def publish(self, at: datetime) -> None:
+        """Build all marts and send readers to them, all at once. Staging is not published: it is a set of views."""
+        if not self.store:
+            raise ValueError("a warehouse without a store has nothing to publish")
+        for name in MARTS:
+            getattr(self, name)
+        self.store.publish(self.generation, MARTS, at)
+
+    def create_views(self) -> list[str]:
+        """Staging as views over the raw rows, ``stg_orders`` and so on; their names."""
+        names = [f"stg_{name}" for name in SOURCES]
+        for name in names:
+            stage(self.raw[name.removeprefix("stg_")], name.removeprefix("stg_")).createOrReplaceTempView(name)
+        return names
+
     def staged(self, name: str) -> DataFrame:
         return self._once(f"stg_{name}", lambda: stage(self.raw[name], name))
 

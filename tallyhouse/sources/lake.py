@@ -1,7 +1,7 @@
 """Where raw rows, ledgers and results live, and which of them count.
 
-A batch writes its data first and its one commit row last. Readers look at
-committed batches only, so a batch that died half-way leaves nothing visible.
+Each attempt at a batch writes into folders of its own, and its one commit row last. Readers look at
+committed attempts only, so one that died half-way leaves nothing visible but the row that says it began.
 """
 
 from __future__ import annotations
@@ -14,11 +14,24 @@ from pyspark.sql import types as T
 from ..operators.ledger import FILE_EVENTS, RUN_EVENTS, file_states, run_states
 from ..operators.quality import COUNT_CHECKS, FRESHNESS, RESULTS
 from ..operators.skew import bounded_broadcast
-from ..specs import SOURCES, raw_schema
+from ..operators.states import STATES
+from ..specs import SOURCES, raw_schema, source
 
+STARTS = T.StructType([
+    T.StructField("batch_id", T.StringType()),
+    T.StructField("attempt", T.StringType()),
+    T.StructField("job_id", T.StringType()),
+    T.StructField("started_at", T.TimestampNTZType()),
+])
 COMMITS = T.StructType([
     T.StructField("batch_id", T.StringType()),
+    T.StructField("attempt", T.StringType()),
     T.StructField("committed_at", T.TimestampNTZType()),
+    T.StructField("files_discovered", T.LongType()),
+    T.StructField("files_loaded", T.LongType()),
+    T.StructField("files_failed", T.LongType()),
+    T.StructField("files_skipped", T.LongType()),
+    T.StructField("status", T.StringType()),
 ])
 OUTCOMES = T.StructType([
     T.StructField("batch_id", T.StringType()),
@@ -28,9 +41,13 @@ OUTCOMES = T.StructType([
     T.StructField("rows_loaded", T.LongType()),
     T.StructField("error", T.StringType()),
     T.StructField("disposition", T.StringType()),
+    T.StructField("target", T.StringType()),
 ])
 
 
+# What a claim counts for until its length is known.
+_LONG_CLAIM = 1 << 40
+
 # Quality tables: what each check found, run by run.
 QUALITY = {"results": RESULTS, "freshness": FRESHNESS, "row_counts": COUNT_CHECKS}
 
@@ -60,29 +77,71 @@ class Lake:
         df.write.mode("append").parquet(self.path(*parts))
 
     def commits(self) -> DataFrame:
-        return self._read(self.path("metadata", "batches"), COMMITS)
+        """One row per finished batch: of several attempts that finished, the first counts."""
+        rows = self._read(self.path("metadata", "batches"), COMMITS)
+        first = F.min_by(F.struct(*COMMITS.names), F.struct("committed_at", "attempt")).alias("c")
+        return rows.groupBy(F.col("batch_id").alias("_batch")).agg(first).select("c.*")
+
+    def finished(self, batch_id: str) -> dict | None:
+        """The commit row of a batch, if it has been committed."""
+        row = self.commits().filter(F.col("batch_id") == batch_id).first()
+        return row and row.asDict()
+
+    def pipeline_runs(self) -> DataFrame:
+        """One row per batch, from its first start on; one that did not finish shows as running."""
+        starts = self._read(self.path("metadata", "batch_starts"), STARTS).groupBy("batch_id").agg(
+            F.min("job_id").alias("job_id"), F.min("started_at").alias("started_at"))
+        done = self.commits().withColumnRenamed("committed_at", "finished_at").drop("attempt")
+        rows = starts.join(done, "batch_id", "full")
+        counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("files_discovered", "files_loaded", "files_failed", "files_skipped")]
+        return rows.select("batch_id", "job_id", "started_at", "finished_at", *counts,
+                           F.coalesce("status", F.lit("running")).alias("status"))
+
+    def claim(self, n: int) -> int:
+        """The first of ``n`` numbers that no other batch has or gets, however many are at work.
+
+        A claim is a file named by its first number, made only if there is none: the store must create files
+        exclusively. A second file adds how many; while that is missing, the claim counts as very long.
+        """
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(self.path("metadata", "claims"))
+        store = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        store.mkdirs(folder)
+        while True:
+            lengths: dict[int, int] = {}
+            for status in store.listStatus(folder):
+                first, _, length = status.getPath().getName().partition(".")
+                lengths[int(first)] = max(lengths.get(int(first), 0), int(length or 0))
+            last = max(lengths, default=None)
+            start = 1 if last is None else last + (lengths[last] or _LONG_CLAIM)
+            if store.createNewFile(hadoop.Path(folder, f"{start:019d}")):
+                store.createNewFile(hadoop.Path(folder, f"{start:019d}.{n}"))
+                return start
 
     def _of_commits(self, path: str, schema: T.StructType) -> DataFrame:
-        """Rows of finished batches, with ``_batch_id``. Batches are folders, one commit row each."""
+        """Rows of finished batches, with ``batch_id`` and the attempt, ``_batch_id``, which is their folder."""
         rows = self._read(path, with_field(schema, "_batch_id", T.StringType()))
-        done = self.commits().select(F.col("batch_id").alias("_batch_id")).distinct()
-        return rows.join(done, "_batch_id", "left_semi").select(*schema.names, "_batch_id")
+        done = self.commits().select(F.col("attempt").alias("_batch_id"), F.col("batch_id").alias("_batch"))
+        return rows.join(done, "_batch_id").select(*schema.names, "_batch_id", "_batch")
 
     def file_events(self) -> DataFrame:
-        return self._of_commits(self.path("metadata", "file_events"), FILE_EVENTS).drop("_batch_id")
+        return self._of_commits(self.path("metadata", "file_events"), FILE_EVENTS).drop("_batch_id", "_batch")
 
     def run_events(self) -> DataFrame:
-        return self._of_commits(self.path("metadata", "run_events"), RUN_EVENTS).drop("_batch_id")
+        return self._of_commits(self.path("metadata", "run_events"), RUN_EVENTS).drop("_batch_id", "_batch")
 
     def source_files(self) -> DataFrame:
-        # Batches that overlap can give out the same numbers, so a file is known by batch and number.
-        return file_states(self._of_commits(self.path("metadata", "file_events"), FILE_EVENTS), "_batch_id")
+        """State of every registered file, with the batch it came in. Numbers are unique (``claim``)."""
+        events = self._of_commits(self.path("metadata", "file_events"), FILE_EVENTS).drop("_batch_id")
+        return file_states(events.withColumnRenamed("_batch", "batch_id"), "batch_id")
 
     def ingestion_runs(self) -> DataFrame:
-        return run_states(self._of_commits(self.path("metadata", "run_events"), RUN_EVENTS), "_batch_id")
+        """State of every run, with its batch. Numbers are unique (``claim``)."""
+        events = self._of_commits(self.path("metadata", "run_events"), RUN_EVENTS).drop("_batch_id")
+        return run_states(events.withColumnRenamed("_batch", "batch_id"), "batch_id")
 
     def outcomes(self) -> DataFrame:
-        return self._of_commits(self.path("metadata", "outcomes"), OUTCOMES).drop("_batch_id")
+        return self._of_commits(self.path("metadata", "outcomes"), OUTCOMES).drop("_batch_id", "_batch")
 
     def record_quality(self, table: str, rows: DataFrame) -> None:
         """Append the rows of one run to ``results``, ``freshness`` or ``row_counts``; earlier runs stay."""
@@ -103,16 +162,14 @@ class Lake:
         return rows.join(failed if few is None else few, ["_batch_id", "_ingestion_run_id"], "left_anti").select(*raw_schema(name).names)
 
     def written(self, name: str, folder: str) -> DataFrame:
-        """Run ids and faults of the rows a batch wrote, committed or not."""
-        schema = T.StructType([T.StructField("_ingestion_run_id", T.LongType()), T.StructField("_fault", T.StringType())])
-        return self._read(self.path("raw", name, folder), schema)
+        """Run ids, faults and what the checks count of the rows a batch wrote, committed or not."""
+        stored = with_field(raw_schema(name), "_fault", T.StringType())
+        rows = self._read(self.path("raw", name, folder), stored)
+        return rows.select("_ingestion_run_id", "_loaded_at", "_fault", F.col(source(name).key).isNull().alias("_keyless"))
+
+    def table_states(self) -> DataFrame:
+        """What the checks count of the raw tables, per committed batch."""
+        return self._of_commits(self.path("metadata", "table_states"), STATES).drop("_batch_id", "_batch")
 
     def raw_tables(self) -> dict[str, DataFrame]:
         return {name: self.raw(name) for name in SOURCES}
-
-
-def publish_table(df: DataFrame, path: str, sort_by: str | None = None) -> None:
-    """Replace a mart. With ``sort_by`` the files cover disjoint, sorted ranges of that column."""
-    if sort_by:
-        df = df.repartitionByRange(F.col(sort_by)).sortWithinPartitions(sort_by)
-    df.write.mode("overwrite").parquet(path)

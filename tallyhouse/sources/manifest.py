@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import file_date, file_extension
 from ..specs import SUPPORTED_EXTENSIONS, lookup
-from .readers import literal_path
+from .readers import closed, literal_path
 
 # Larger files are hashed as a stream instead of as one value.
 WHOLE_FILE_BYTES = 512 << 20
@@ -70,13 +70,48 @@ def checksum(content: Column) -> Column:
 
 def csv_header(line: Column) -> Column:
     """Column names of a CSV header line."""
-    cells = F.regexp_extract_all(F.regexp_replace(line, "^\ufeff", ""), F.lit(r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    cells = F.regexp_extract_all(F.regexp_replace(line, "^\ufeff", ""), F.lit(r'(?:\A|,)("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
     return F.transform(cells, lambda c: F.when(
-        c.startswith('"'), F.replace(F.regexp_extract(c, r'^"(.*)"$', 1), F.lit('""'), F.lit('"'))).otherwise(c))
+        c.startswith('"'), F.replace(F.regexp_extract(c, r'(?s)^"(.*)"$', 1), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
+# The header is the first record that is not blank. Both ways to read a file go by this.
+_BLANK = r"\A\ufeff?(?:[ \t\r\n]*[\r\n])?"
 
 
 def _first_line(text: Column) -> Column:
-    return F.regexp_extract(text, r"^(?:[ \t]*\r?\n)*([^\r\n]*)", 1)
+    return F.regexp_extract(text, _BLANK + r"([^\r\n]*)", 1)
+
+
+def _record_rule():
+    """``rule(text, whole)``: the first record of a file's beginning, None if it goes on behind it.
+
+    Quotes around a cell may hold line breaks; quotes elsewhere are text. If a quoted cell never ends, the
+    first line is the record. Nested, so that workers get it without this package.
+    """
+    import re
+
+    cell = r'(?:"(?:[^"]|"")*"[^,\r\n]*|[^",\r\n][^,\r\n]*|)'
+    record = re.compile(rf"{_BLANK}({cell}(?:,{cell})*)(?=[\r\n]|\Z)")
+    line = re.compile(rf"{_BLANK}([^\r\n]*)")
+
+    def rule(text: str, whole: bool) -> str | None:
+        met = record.match(text)
+        if met and (whole or met.end() < len(text)):
+            return met[1]
+        return line.match(text)[1] if whole else None
+
+    return rule
+
+
+def _open_headers():
+    """The first record of texts whose first line leaves a quoted cell open."""
+    rule = _record_rule()
+
+    def read(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else rule(t, True))
+
+    return F.pandas_udf(read, "string")
 
 
 def _parquet_tail(content: Column, size: Column) -> Column:
@@ -109,18 +144,14 @@ def _footer_reader():
     return F.pandas_udf(read, "names array<string>, layout string")
 
 
-def _header_of(decoded: str) -> str | None:
-    """The first line that is not blank, once it is complete."""
-    lines = decoded.replace("\r\n", "\n").replace("\r", "\n").split("\n")
-    return next((line for line in lines[:-1] if line.strip(" \t")), None)
-
-
 def _stream_reader():
     """Checksum and header of files too large for one value, read in pieces. What goes wrong marks the file."""
+    rule, not_utf8 = _record_rule(), NOT_UTF8
 
     def read(batches: Iterator) -> Iterator:
         import codecs
         import hashlib
+        import re
 
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
@@ -128,7 +159,7 @@ def _stream_reader():
         for batch in batches:
             rows = []
             for file_path, load_path, size in zip(batch.file_path, batch.load_path, batch.file_size_bytes):
-                digest, start, line, names, layout, fault = hashlib.sha256(), "", None, None, None, None
+                digest, start, asked, line, names, layout, fault = hashlib.sha256(), "", 0, None, None, None, None
                 is_csv = not load_path.endswith(".parquet")
                 decoder = codecs.getincrementaldecoder("utf-8")()
                 try:
@@ -142,11 +173,18 @@ def _stream_reader():
                                     text = decoder.decode(piece)
                                     if line is None:
                                         start += text
-                                        line = _header_of(start)
+                                        # A header that goes on and on is asked for again at twice the length.
+                                        if len(start) >= 2 * asked:
+                                            asked, line = len(start), rule(start, False)
                                 except UnicodeDecodeError:
-                                    fault = NOT_UTF8
+                                    fault = not_utf8
+                    if is_csv and fault is None:
+                        try:
+                            decoder.decode(b"", final=True)
+                        except UnicodeDecodeError:
+                            fault = not_utf8
                     if is_csv and line is None:
-                        line = _header_of(start + "\n") or ""
+                        line = rule(start, True)
                     if not is_csv:
                         with filesystem.open_input_file(inner) as f:
                             schema = pq.read_schema(f)
@@ -188,10 +226,12 @@ def fingerprint(
         if is_csv:
             text = content.cast("string")
             valid = F.is_valid_utf8(text)
-            # The header is the first line of the whole file, however long.
+            # The header is the first record of the whole file, however long. Nearly always its first line is one.
             whole = whole.select(*facts, checksum(content).alias("checksum"), F.when(valid, _first_line(text)).alias("line"),
+                                 F.when(valid & ~closed(_first_line(text)), text).alias("open"),
                                  F.when(~valid, F.lit(NOT_UTF8)).alias("content_fault"))
-            whole = whole.withColumns({"file_columns": csv_header(F.col("line")), "layout": F.lit(None).cast("string")})
+            whole = whole.withColumns({"file_columns": csv_header(F.coalesce(_open_headers()("open"), "line")),
+                                       "layout": F.lit(None).cast("string")})
         else:
             whole = whole.select(*facts, checksum(content).alias("checksum"), _parquet_tail(content, size).alias("tail"))
             whole = whole.withColumn("_schema", _footer_reader()("tail")).withColumns(

@@ -41,13 +41,46 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def read_csv_files(spark: SparkSession, paths: Sequence[str], name: str, header: Sequence[str]) -> DataFrame:
+# Files of at most so many bytes are read by one task each, which is what a split would be anyway.
+SPLIT_BYTES = 128 << 20
+
+# Stands for a quoted cell; lines that hold it are not taken for closed.
+_CELL = "\x01"
+
+
+def closed(line: Column) -> Column:
+    """Whether a line is a row on its own: quotes only around whole cells, and none left open.
+
+    If that holds for every line of a file, then from its first line on no quoted cell spans two. Control
+    characters, carriage returns but for one at the end included, leave it open: readers differ on them.
+    """
+    cells = F.regexp_replace(F.regexp_replace(line, "\r$", ""), '"[^"]*"', _CELL)  # "a""b" is two, side by side
+    odd = F.regexp_replace(line, "\r$", "").rlike(r"[\x00-\x08\x0A-\x1F]")
+    return ~(odd | cells.contains('"') | cells.rlike(rf"[^,{_CELL}]{_CELL}|{_CELL}[^,{_CELL}]"))
+
+
+def closed_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the files whose every line is a row on its own, as the reader names them.
+
+    One pass over their lines in splits; one row per file comes back.
+    """
+    lines = spark.read.option("lineSep", "\n").text([literal_path(p) for p in paths])
+    ends = F.col("value").endswith("\r")
+    # All lines must end alike, the last one included: the stream reader goes by the first line end it sees.
+    alike = F.count_if(ends) * F.count_if(~ends) == 0
+    found = lines.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.bool_and(closed(F.col("value"))).alias("c"), alike.alias("a"))
+    return [r["f"] for r in found.filter("c and a").collect()]
+
+
+def read_csv_files(
+    spark: SparkSession, paths: Sequence[str], name: str, header: Sequence[str], by_lines: bool = False
+) -> DataFrame:
     """Rows of CSV files that share one header, as text, with ``_file`` and ``_fault``.
 
     A file is read by one task, as a stream: quoted cells may span lines, so no place in a file but its
-    start is known to start a row. Files of all sizes are read alike. Blank lines are no rows. Missing
-    cells at the end of a row are NULL. A row with more cells than the header, or a value longer than
-    the raw column, is a fault.
+    start is known to start a row. With ``by_lines``, for files that ``closed_files`` names, Spark splits
+    them instead; the rows are the same. Blank lines are no rows. Missing cells at the end of a row are
+    NULL. A row with more cells than the header, or a value longer than the raw column, is a fault.
     """
     taken: dict[str, int] = {}
     names = []
@@ -59,7 +92,7 @@ def read_csv_files(spark: SparkSession, paths: Sequence[str], name: str, header:
     fields = [T.StructField(c, T.StringType()) for c in (*names, "_record")]
     rows = (
         spark.read.schema(T.StructType(fields)).options(**options)
-        .option("header", "true").option("multiLine", "true")
+        .option("header", "true").option("multiLine", str(not by_lines).lower())
         .csv([literal_path(p) for p in paths])
         .withColumn("_file", F.col("_metadata.file_path"))
     )

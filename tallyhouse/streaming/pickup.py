@@ -7,6 +7,7 @@ again under the same name.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -22,9 +23,12 @@ def pick_up_available(
 ) -> None:
     """Load the files that arrived since the last call, then stop.
 
-    A micro-batch that is repeated after a failure finds its files in the
-    ledger and loads nothing twice.
+    A batch is named by the stream and the micro-batch's number. One that is
+    repeated after a failure is the same batch: it is left out if it has been
+    committed, and what an attempt without a commit wrote never counts.
     """
+    # A checkpoint folder is one stream, and numbers its micro-batches for good.
+    stream = f"{job_id}-{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:12]}"
 
     def load(batch: DataFrame, epoch: int) -> None:
         # At most files_per_trigger names.
@@ -33,7 +37,7 @@ def pick_up_available(
             return
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         try:
-            run_batch(lake, landing, now, paths=paths, job_id=job_id)
+            run_batch(lake, landing, now, paths=paths, batch_id=f"{stream}-{epoch:09d}", job_id=job_id)
         except AllFilesFailed:
             pass  # recorded; the next files still get their turn
 

@@ -1,7 +1,9 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 
 from tallyhouse.operators import quality
 from tallyhouse.operators.ledger import archive_name, batch_rollup, file_states, outcomes, run_states
@@ -131,3 +133,30 @@ def test_results_are_kept_run_by_run(spark, tmp_path):
     assert {(r.check_status, r.checks) for r in checks_by_status(kept).collect()} == {("passed", 2), ("failed", 2)}
     lake.record_quality("freshness", quality.freshness([("s", "t", table["t"])], first))
     assert lake.quality("freshness").first().note == "not checkable: no load time"
+
+
+def test_states_merge_to_what_a_scan_gives(spark):
+    """Any cut of a table into parts gives the results of the whole."""
+    from tallyhouse.operators import states as st
+    from tallyhouse.operators.quality import freshness, has_rows, not_null, row_count_history, run_rules
+
+    start = datetime(2026, 5, 1, 22)
+    rows = spark.createDataFrame(
+        [(None if i % 7 == 0 else f"k{i}", None if i % 3 else "v", start + timedelta(minutes=11 * i), i % 4) for i in range(200)],
+        "k string, v string, _loaded_at timestamp_ntz, part int")
+    parts = [rows.filter(rows.part == p) for p in range(5)]  # the last one is empty
+    kept = reduce(DataFrame.unionByName, [st.states_of(p, "raw.t", ["k", "v"]) for p in parts]
+                  + [st.states_of(parts[0].filter("k is null"), "raw.other", ["k"])])
+    rules = [has_rows("raw.t"), not_null("raw.t", "k"), not_null("raw.t", "v")]
+    as_of = datetime(2026, 5, 5)
+    assert st.rules_from_states(kept, rules, as_of).collect() == run_rules({"raw.t": rows}, rules, as_of).collect()
+    assert st.rules_from_states(kept, [has_rows("raw.nobody")], as_of).first().check_status == "failed"
+    assert st.freshness_from_states(kept, ["raw.t"], as_of).collect() == freshness([("raw", "t", rows)], as_of).collect()
+    none = st.freshness_from_states(kept, ["raw.nobody"], as_of).first()
+    assert (none.row_count, none.max_loaded_at, none.is_fresh) == (0, None, True)
+    days = st.counts_by_day(kept).filter("table_name = 'raw.t'")
+    expected = spark.createDataFrame([("raw.t", 50)], "table_name string, expected_min_rows long")
+    whole = row_count_history(rows, F.lit("raw.t"), F.col("_loaded_at"), expected, as_of).select(*days.columns)
+    assert sorted(days.collect()) == sorted(whole.collect())
+    with pytest.raises(ValueError):
+        st.rules_from_states(kept, [quality.unique("raw.t", "k")], as_of)
