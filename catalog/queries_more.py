@@ -181,12 +181,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_batch(lake, landing, datetime(2024, 2, 1, 7))
     files, runs, batches = lake.source_files(), lake.ingestion_runs(), lake.pipeline_runs()
     twice = files.select(F.col("source_file_id").alias("n")).groupBy("n").count().unionByName(
-        runs.select(F.col("ingestion_run_id").alias("n")).groupBy("n").count()).agg(F.count_if("count > 1").alias("repeated_numbers"))
-    unlike = batches.agg(F.count_if("files_discovered <> files_loaded + files_failed + files_skipped").alias("unlike_counts"),
+        runs.select(F.col("ingestion_run_id").alias("n")).groupBy("n").count()).agg(F.count_if(F.col("count") > 1).alias("repeated_numbers"))
+    sums = F.col("files_loaded") + F.col("files_failed") + F.col("files_skipped")
+    unlike = batches.agg(F.count_if(F.col("files_discovered") != sums).alias("unlike_counts"),
                          F.sum("files_loaded").alias("loaded"), F.sum("files_skipped").alias("skipped"), F.count("*").alias("batches"))
     targets = lake.outcomes().filter("target is not null").groupBy("disposition", "target").count().agg(
-        F.count_if("count > 1").alias("targets_taken_twice"))
-    per_source = runs.groupBy("source_name").agg(F.sum("rows_loaded").alias("rows_loaded"), F.count_if("status <> 'success'").alias("open_runs"))
+        F.count_if(F.col("count") > 1).alias("targets_taken_twice"))
+    per_source = runs.groupBy("source_name").agg(F.sum("rows_loaded").alias("rows_loaded"), F.count_if(F.col("status") != "success").alias("open_runs"))
     # One row each.
     return per_source.join(F.broadcast(twice), F.lit(True)).join(F.broadcast(unlike), F.lit(True)).join(
         F.broadcast(targets), F.lit(True)).select("source_name", "rows_loaded", "open_runs", "repeated_numbers", "unlike_counts",

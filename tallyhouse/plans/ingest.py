@@ -76,7 +76,7 @@ def run_batch(
     attempt = f"{batch_id}.{uuid.uuid4().hex[:8]}"
     folder = f"_batch_id={attempt}"
     work = lake.path("work", folder)
-    lake.append(lake.spark.createDataFrame([(batch_id, attempt, job_id, batch_ts)], STARTS), "metadata", "batch_starts")
+    lake.append_alone(lake.spark.createDataFrame([(batch_id, attempt, job_id, batch_ts)], STARTS), "metadata", "batch_starts")
     files, skipped = _register(lake, landing, batch_ts, paths, on_extra, work)
 
     errors = _load_groups(lake, files, batch_ts, folder)
@@ -266,7 +266,7 @@ def _record(
     lake.append(every.select(*OUTCOMES.names), "metadata", "outcomes", folder)
     lake.append(_states(result), "metadata", "table_states", folder)
     finished = commit | {"committed_at": commit["committed_at"] + timedelta(seconds=seconds)}
-    lake.append(lake.spark.createDataFrame([tuple(finished[c] for c in COMMITS.names)], COMMITS), "metadata", "batches")
+    lake.append_alone(lake.spark.createDataFrame([tuple(finished[c] for c in COMMITS.names)], COMMITS), "metadata", "batches")
 
 
 def _states(result: DataFrame) -> DataFrame:

@@ -56,11 +56,12 @@ class Generations:
         tables = sorted(tables)
         number = 1 + (self._pointers().agg(F.max("number")).first()[0] or 0)
         rows = [(t, generation, number, at) for t in tables]
-        self.spark.createDataFrame(rows, POINTERS).coalesce(1).write.mode("append").parquet(f"{self.root}/pointers")
+        # In a folder of its own, since another build may publish at the same time.
+        self.spark.createDataFrame(rows, POINTERS).coalesce(1).write.parquet(f"{self.root}/pointers/_build={uuid.uuid4().hex}")
 
     def _pointers(self) -> DataFrame:
         try:
-            return self.spark.read.schema(POINTERS).parquet(f"{self.root}/pointers")
+            return self.spark.read.schema(POINTERS).parquet(f"{self.root}/pointers").select(*POINTERS.names)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -6,6 +6,8 @@ committed attempts only, so one that died half-way leaves nothing visible but th
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,7 +69,7 @@ class Lake:
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         """The table, or no rows if nothing has been written to it."""
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return self.spark.read.schema(schema).parquet(path).select(*schema.names)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -76,6 +78,10 @@ class Lake:
     def append(self, df: DataFrame, *parts: str) -> None:
         df.write.mode("append").parquet(self.path(*parts))
 
+    def append_alone(self, df: DataFrame, *parts: str) -> None:
+        """Append to a table that several jobs may write to at once: each into a folder of its own."""
+        self.append(df, *parts, f"_part={uuid.uuid4().hex}")
+
     def commits(self) -> DataFrame:
         """One row per finished batch: of several attempts that finished, the first counts."""
         rows = self._read(self.path("metadata", "batches"), COMMITS)
@@ -146,7 +152,7 @@ class Lake:
     def record_quality(self, table: str, rows: DataFrame) -> None:
         """Append the rows of one run to ``results``, ``freshness`` or ``row_counts``; earlier runs stay."""
         schema = QUALITY[table]
-        self.append(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), "quality", table)
+        self.append_alone(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), "quality", table)
 
     def quality(self, table: str) -> DataFrame:
         """All rows recorded so far."""

@@ -104,7 +104,7 @@ def test_a_dead_attempt_is_not_mixed_with_the_next(place, monkeypatch):
     own = Lake.append
 
     def append(self, df, *parts):
-        if parts == ("metadata", "batches"):
+        if parts[:2] == ("metadata", "batches"):
             raise RuntimeError("lost")
         own(self, df, *parts)
 
