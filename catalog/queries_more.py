@@ -378,8 +378,8 @@ _MART_REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "d3_average_order_value": lambda w: reports.average_order_value(w.fact_orders),
     "d4_revenue_by_day": lambda w: reports.revenue_by_day(w.fact_daily_sales),
     "d5_orders_by_day": lambda w: reports.orders_by_day(w.fact_daily_sales),
-    "d6_revenue_by_category": lambda w: reports.revenue_by_category(w.fact_order_items, w.fact_orders, w.dim_products),
-    "d7_top_products": lambda w: reports.top_products(w.fact_order_items, w.fact_orders, w.dim_products),
+    "d6_revenue_by_category": lambda w: reports.revenue_by_category(w.sold_items, w.order_states, w.dim_products),
+    "d7_top_products": lambda w: reports.top_products(w.sold_items, w.order_states, w.dim_products),
     "d8_total_customers": lambda w: reports.total_customers(w.dim_customers),
     "d9_customers_by_segment": lambda w: reports.customers_by_segment(w.dim_customers),
     "d10_top_customers": lambda w: reports.top_customers(w.fact_customer_revenue),

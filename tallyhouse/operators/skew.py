@@ -64,8 +64,14 @@ def hot_keys_each(columns: Mapping[str, tuple[DataFrame, str]], min_rows: int =
     One scan of each key column without shuffling it: every task fills a
     fixed-size frequency sketch, and the sketches are merged in two steps. At
     most ``MOST_KEYS`` keys per pair reach the driver. The limit is a number of
-    tasks, not of rows, so a task's load does not grow with the table.
+    tasks, not of rows, so a task's load does not grow with the table. A table
+    of fewer than ``min_rows`` rows can't have a key of so many, which a count
+    tells; stored rows are counted by the files' footers.
     """
+    result = dict.fromkeys(columns, COLD)
+    columns = {label: (df, key) for label, (df, key) in columns.items() if df.count() >= min_rows}
+    if not columns:
+        return result
     frames = [df for df, _ in columns.values()]
     tasks = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(1, min(MOST_KEYS, tasks // HOT_TASKS))
@@ -91,7 +97,6 @@ def hot_keys_each(columns: Mapping[str, tuple[DataFrame, str]], min_rows: int =
         )
         .collect()  # one row per pair
     )
-    result = dict.fromkeys(columns, COLD)
     for row in found:
         per_task = max(1, row.rows / max(tasks, 1))
         limit = max(min_rows, min(HOT_TASKS * per_task, row.rows / HOT_TASKS))

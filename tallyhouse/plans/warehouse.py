@@ -11,6 +11,7 @@ from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.skew import HotKeys, hot_keys
 from ..sources.feed import RawTables
@@ -108,6 +109,19 @@ class Warehouse:
             self.staged("orders"), self.staged("payments"), self.staged("shipments"), self.staged("order_items"),
             self.hot_payments, self.hot_shipments))
 
+    @property
+    def sold_items(self) -> DataFrame:
+        """``order_id, product_id, line_total`` of every item line: from the mart where it is stored, else from staging."""
+        items = self.fact_order_items if self.store else self.staged("order_items")
+        return items.select("order_id", "product_id", "line_total")
+
+    @property
+    def order_states(self) -> DataFrame:
+        """``order_id, is_completed``: from the mart where it is stored, else from staging, without what the mart joins."""
+        if self.store:
+            return self.fact_orders.select("order_id", "is_completed")
+        return self.staged("orders").select("order_id", (F.col("order_status") == "completed").alias("is_completed"))
+
     @property
     def fact_order_items(self) -> DataFrame:
         return self._once("fact_order_items", lambda: marts.fact_order_items(

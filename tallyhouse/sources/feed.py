@@ -114,8 +114,8 @@ FEED: dict[str, tuple[str, str | None, dict[str, str]]] = {
 }
 
 
-# Base tables that grow with the business; the others stay small enough for one task.
-_LARGE = ("lineitem", "orders")
+# Base tables that grow with the business, and the columns to deal their rows out by; the others stay small enough for one task.
+_LARGE = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",)}
 
 
 def feed_sql(entity: str) -> str:
@@ -157,11 +157,12 @@ class RawTables(Mapping):
 
     def __getitem__(self, entity: str) -> DataFrame:
         if entity not in self._entities:
-            rows = self.base(FEED[entity][0])
-            self._entities[entity] = from_feed(self._spread(rows) if FEED[entity][0] in _LARGE else rows, entity)
+            table = FEED[entity][0]
+            rows = self.base(table)
+            self._entities[entity] = from_feed(self._spread(rows, _LARGE[table]) if table in _LARGE else rows, entity)
         return self._entities[entity]
 
-    def _spread(self, rows: DataFrame) -> DataFrame:
+    def _spread(self, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
         """Give every core a share of a table that comes in fewer pieces than there are cores.
 
         A small file is one row group, which one task would read, turn into text
@@ -170,7 +171,7 @@ class RawTables(Mapping):
         cores = self.spark.sparkContext.defaultParallelism
         if rows.rdd.getNumPartitions() >= cores:
             return rows
-        return rows.repartition(cores, *rows.columns)
+        return rows.repartition(cores, *by)
 
     def __iter__(self):
         return iter(SOURCES)

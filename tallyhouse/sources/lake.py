@@ -6,6 +6,8 @@ committed attempts only, so one that died half-way leaves nothing visible but th
 
 from __future__ import annotations
 
+import random
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -47,9 +49,6 @@ OUTCOMES = T.StructType([
 ])
 
 
-# What a claim counts for until its length is known.
-_LONG_CLAIM = 1 << 40
-
 # Quality tables: what each check found, run by run.
 QUALITY = {"results": RESULTS, "freshness": FRESHNESS, "row_counts": COUNT_CHECKS}
 
@@ -106,23 +105,28 @@ class Lake:
     def claim(self, n: int) -> int:
         """The first of ``n`` numbers that no other batch has or gets, however many are at work.
 
-        A claim is a file named by its first number, made only if there is none: the store must create files
-        exclusively. A second file adds how many; while that is missing, the claim counts as very long.
+        A claim is a file that says its range in its name. Who has written one looks for others that overlap, and
+        if there is any, leaves the range and tries behind it. Of two claims the later writer sees the earlier
+        one, so never do both stand. The store must list what has been written; nothing more is asked of it.
         """
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         folder = hadoop.Path(self.path("metadata", "claims"))
         store = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
         store.mkdirs(folder)
+
+        def claims() -> dict[str, tuple[int, int]]:
+            names = [status.getPath().getName() for status in store.listStatus(folder)]
+            return {name: (int(name.split(".")[0]), int(name.split(".")[1])) for name in names}
+
+        tries = 0
         while True:
-            lengths: dict[int, int] = {}
-            for status in store.listStatus(folder):
-                first, _, length = status.getPath().getName().partition(".")
-                lengths[int(first)] = max(lengths.get(int(first), 0), int(length or 0))
-            last = max(lengths, default=None)
-            start = 1 if last is None else last + (lengths[last] or _LONG_CLAIM)
-            if store.createNewFile(hadoop.Path(folder, f"{start:019d}")):
-                store.createNewFile(hadoop.Path(folder, f"{start:019d}.{n}"))
+            start = max((first + size for first, size in claims().values()), default=1)
+            own = f"{start:019d}.{n}.{uuid.uuid4().hex}"
+            store.create(hadoop.Path(folder, own)).close()
+            if not any(first < start + n and start < first + size for name, (first, size) in claims().items() if name != own):
                 return start
+            tries += 1
+            time.sleep(random.uniform(0, min(2, 0.02 * 2**tries)))
 
     def _of_commits(self, path: str, schema: T.StructType) -> DataFrame:
         """Rows of finished batches, with ``batch_id`` and the attempt, ``_batch_id``, which is their folder."""
