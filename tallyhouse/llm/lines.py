@@ -2,7 +2,7 @@
 
 A line is the set of its words. With the words in order of rarity, two sets can only be similar enough
 if a word is shared early in both (prefix filter), at places that leave enough words behind (positional
-filter), and if their sizes are close (length filter). Signatures of 64 bits rule out most others.
+filter), and if their sizes are close (length filter). Signatures of 128 bits rule out most others.
 What is left is verified word by word. Only DataFrame functions are used.
 """
 
@@ -95,17 +95,25 @@ def distinct_lines(docs: DataFrame, classes: Column, common: int, percent: int)
     return rows.groupBy("digest").agg(F.min("first").alias("first"), F.first("set").alias("set")).select("first", "set.*")
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines with ``row``, numbers in their order: by doc_id (null last), line number, then the text's hash.
+
+    Ranges of the order are sorted alone, and a partition's numbers are above those of the ones before.
+    """
+    order = [f"first.{c}" for c in ("no_id", "doc_id", "line", "mark")]
+    return lines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("row", F.monotonically_increasing_id())
+
+
 def _entries(lines: DataFrame, percent: int) -> DataFrame:
-    """The index: one row for each word of a line's prefix, with what the filters need. ``doc`` and ``line`` order lines.
+    """The index: one row for each word of a line's prefix, with what the filters need. ``row`` orders lines.
 
     A set too small for one word more or less is similar to no other set; its copies met by their digest.
     """
     # None of the columns is ever null; saying so lets both sides of the join read one exchange.
     zero = F.lit(0)
     paired = lines.filter(100 * F.col("n") >= percent * (F.col("n") + 1))
-    return paired.select(F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.coalesce("first.line", zero).alias("line"), "row",
-                        *[F.coalesce(c, zero.cast("int" if c == "n" else "long")).alias(c) for c in ("n", "s0", "s1")],
-                        F.posexplode("prefix").alias("at", "key"))
+    return paired.select("row", *[F.coalesce(c, zero.cast("int" if c == "n" else "long")).alias(c) for c in ("n", "s0", "s1")],
+                         F.posexplode("prefix").alias("at", "key"))
 
 
 def _passes(percent: int, u: Callable[[str], Column], v: Callable[[str], Column]) -> Column:
@@ -122,14 +130,14 @@ def _passes(percent: int, u: Callable[[str], Column], v: Callable[[str], Column]
 
 
 def _before(u: Callable[[str], Column], v: Callable[[str], Column]) -> Column:
-    return (u("doc") < v("doc")) | ((u("doc") == v("doc")) & (u("line") < v("line")))
+    return u("row") < v("row")
 
 
 def _with(prefix: str) -> Callable[[str], Column]:
     return lambda name: F.col(f"{prefix}{name}")
 
 
-_HELD = ("doc", "line", "row", "n", "at", "s0", "s1")
+_HELD = ("row", "n", "at", "s0", "s1")
 
 
 def _pairs(entries: DataFrame, percent: int, led: bool) -> DataFrame:
@@ -153,8 +161,7 @@ def _pairs(entries: DataFrame, percent: int, led: bool) -> DataFrame:
         own = F.lit(True)
     met = x.join(y, "key").filter(_before(u, v) & own & _passes(percent, u, v))
     if led:
-        return met.groupBy(v("row").alias("v")).agg(F.min(F.struct(u("doc"), u("line"), u("row").alias("row"))).alias("u")).select(
-            F.col("u.row").alias("u"), "v")
+        return met.groupBy(v("row").alias("v")).agg(F.min(u("row")).alias("u")).select("u", "v")
     return met.select(u("row").alias("u"), v("row").alias("v")).distinct()
 
 
@@ -178,8 +185,7 @@ def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame, percent: int)
 
 def repeated(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Distinct lines (row, first, ...) and those of them (row) that match an earlier line."""
-    lines = written(distinct_lines(docs, *rarity_classes(docs), percent)
-                    .withColumn("row", F.monotonically_increasing_id()), "lines")
+    lines = written(numbered(distinct_lines(docs, *rarity_classes(docs), percent)), "lines")
     entries = _entries(lines, percent)
     pairs = written(_pairs(entries, percent, led=True), "pairs")
     gone = written(_verified(docs, lines, pairs, percent), "gone")
@@ -211,7 +217,8 @@ def deduplicate(docs: DataFrame, percent: int = 80, text: str = "text", key: str
     """Every row of ``docs`` with its text less the lines that match an earlier line, ``n_lines`` and ``n_removed``.
 
     Lines are parted by line feeds. Two match if their sets of words (in lower case) have a Jaccard similarity of
-    ``percent`` or more. The earlier is that of the smaller doc_id (null last), then of the smaller line number;
+    ``percent`` or more. The earlier is that of the smaller doc_id (null last), then of the smaller line number, then, of
+    different texts under one doc_id or none, of the smaller hash of the text;
     a line leaves if it matches any earlier line, whether that one stays or not. Lines without a word
     stay and match nothing. Null texts stay null. Rows of equal id and text are treated alike. Input columns named as a result are replaced.
     """

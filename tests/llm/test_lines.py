@@ -89,3 +89,15 @@ def test_hot_line(spark):
     rows = [(i, f"{line}\nown words of {i} a{i} b{i} c{i} d{i}") for i in range(3000)]
     found = got(frame_of(spark, rows))
     assert found[0][1] == 0 and all(found[i][1] == 1 for i in range(1, 3000))
+
+
+def test_near_copies_under_one_id_or_none(spark):
+    """Of different texts under one doc_id, one is before the other, whatever the order of the rows."""
+    a, b = "one two three four five six seven eight nine ten", "one two three four five six seven eight nine eleven"
+    for i in (5, None):
+        for rows in ([(i, a), (i, b)], [(i, b), (i, a)]):
+            found = sorted(r["n_removed"] for r in lines.query(frame_of(spark, rows)).collect())
+            assert found == [0, 1]
+    rows = [(1, f"{a}\nown line of this very text"), (None, b), (None, f"x y z\n{b}"), (1, b)]
+    assert sorted((r["doc_id"] or -1, r["n_removed"]) for r in lines.query(frame_of(spark, rows)).collect()) in (
+        [(-1, 1), (-1, 1), (1, 0), (1, 1)], [(-1, 1), (-1, 1), (1, 1), (1, 0)])
