@@ -31,6 +31,9 @@ MARTS = {
     "dim_products": None,
 }
 
+# Entities that are joined on the order.
+_BY_ORDER = ("orders", "payments", "shipments", "order_items")
+
 
 class Warehouse:
     """With a ``store``, a warehouse is one build: tables are written once, into a generation of their own, and read back.
@@ -51,10 +54,11 @@ class Warehouse:
     def from_tables(cls, spark: SparkSession, sf_dir: str, store: Generations | None = None) -> Warehouse:
         return cls(RawTables(spark, sf_dir), store)
 
-    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _once(self, name: str, build: Callable[[], DataFrame], bucket_by: str | None = None) -> DataFrame:
         if name not in self._tables:
             table = build()
-            self._tables[name] = self.store.write(table, name, self.generation, MARTS.get(name)) if self.store else table
+            self._tables[name] = self.store.write(
+                table, name, self.generation, MARTS.get(name), bucket_by) if self.store else table
         return self._tables[name]
 
     def publish(self, at: datetime) -> None:
@@ -73,7 +77,14 @@ class Warehouse:
         return names
 
     def staged(self, name: str) -> DataFrame:
-        return self._once(f"stg_{name}", lambda: stage(self.raw[name], name))
+        return self._once(f"stg_{name}", lambda: stage(self.raw[name], name), self._bucket(name))
+
+    def _bucket(self, name: str) -> str | None:
+        """Stored tables that meet on the order are in buckets of it, unless an order fills more than a task with its rows."""
+        if not self.store or name not in _BY_ORDER:
+            return None
+        hot = {"payments": "hot_payments", "shipments": "hot_shipments", "order_items": "hot_items"}.get(name)
+        return None if hot and getattr(self, hot) else "order_id"
 
     def __getitem__(self, name: str) -> DataFrame:
         """A table by layer and name: raw.orders, staging.stg_orders, marts.fact_orders."""
@@ -103,6 +114,10 @@ class Warehouse:
     def hot_shipments(self) -> HotKeys:
         return self._hot("shipments")
 
+    @cached_property
+    def hot_items(self) -> HotKeys:
+        return self._hot("order_items")
+
     @property
     def fact_orders(self) -> DataFrame:
         return self._once("fact_orders", lambda: marts.fact_orders(

@@ -40,11 +40,20 @@ class Generations:
     def path(self, generation: str, table: str) -> str:
         return f"{self.root}/generations/{generation}/{table}"
 
-    def write(self, df: DataFrame, table: str, generation: str, sort_by: str | None = None) -> DataFrame:
+    def write(self, df: DataFrame, table: str, generation: str, sort_by: str | None = None, bucket_by: str | None = None) -> DataFrame:
         """Write a table of one build and read it back; nobody else sees it yet.
 
-        With ``sort_by`` the files cover disjoint, sorted ranges of that column.
+        With ``sort_by`` the files cover disjoint, sorted ranges of that column. With ``bucket_by`` they are sorted
+        buckets of it, as many as a shuffle has partitions, so that tables so written join on it without one; the
+        session's catalog then knows the table under a name of this build.
         """
+        if bucket_by:
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            name = f"{table}_{generation}".replace("-", "_")
+            # One file for each bucket.
+            df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by).format("parquet").option(
+                "path", self.path(generation, table)).saveAsTable(name)
+            return self.spark.table(name)
         if sort_by:
             df = df.repartitionByRange(F.col(sort_by)).sortWithinPartitions(sort_by)
         path = self.path(generation, table)

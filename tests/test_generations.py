@@ -111,3 +111,36 @@ def test_staging_as_views(spark):
     assert spark.sql("select count(*) as n from stg_orders").first().n == house.staged("orders").count()
     # A view is no table: it is computed from the raw rows when asked.
     assert "Scan parquet" in spark.sql("select * from stg_payments")._jdf.queryExecution().toString()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_staging_joins_without_a_shuffle(spark, store):
+    """Tables that meet on the order lie in buckets of it."""
+    house = Warehouse.from_tables(spark, SF, store)
+    for name in ("orders", "payments", "shipments", "order_items"):
+        house.staged(name)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # these tables are small enough to be sent about
+    try:
+        from tallyhouse.plans import marts
+
+        joined = marts.fact_orders(*(house.staged(n) for n in ("orders", "payments", "shipments", "order_items")))
+        text = plan(joined)
+        assert text.count("SortMergeJoin") == 3 and "Exchange" not in text
+        lazy = Warehouse.from_tables(spark, SF).fact_orders
+        assert "Exchange" in plan(lazy)
+        assert sorted(map(str, joined.collect())) == sorted(map(str, lazy.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_hot_order_is_not_put_into_one_bucket(spark, store):
+    from tallyhouse.operators.skew import HotKeys
+
+    house = Warehouse.from_tables(spark, SF, store)
+    house.__dict__["hot_payments"] = HotKeys(("ORD000000001",))
+    assert house._bucket("payments") is None and house._bucket("shipments") == "order_id" and house._bucket("customers") is None
+    assert house.fact_orders.count() == Warehouse.from_tables(spark, SF).fact_orders.count()
