@@ -112,7 +112,7 @@ def _entries(lines: DataFrame, percent: int) -> DataFrame:
     # None of the columns is ever null; saying so lets both sides of the join read one exchange.
     zero = F.lit(0)
     paired = lines.filter(100 * F.col("n") >= percent * (F.col("n") + 1))
-    return paired.select("row", *[F.coalesce(c, zero.cast("int" if c == "n" else "long")).alias(c) for c in ("n", "s0", "s1")],
+    return paired.select(*[F.coalesce(c, zero.cast("int" if c == "n" else "long")).alias(c) for c in ("row", "n", "s0", "s1")],
                          F.posexplode("prefix").alias("at", "key"))
 
 
