@@ -1,0 +1,174 @@
+"""Personal data: contexts, patterns and scores against a plain version, secrets, long texts, labels of the tables."""
+
+import math
+import random
+import time
+from collections import Counter, defaultdict
+
+import pytest
+import regex
+from pyspark.sql import functions as F
+from test_pii import SCHEMA, plain
+
+from tallyhouse.llm import pii
+from tallyhouse.llm.tables import table
+
+CANDIDATE = regex.compile(pii.CANDIDATE.replace(r"\s", r"\x09-\x0d\x20"))
+ALL = [*pii.KINDS, "secret"]
+
+
+def words(gap):
+    return [w for w in regex.sub(r"[^\p{L}\p{N}]+", " ", gap.lower()).split(" ") if w]
+
+
+def occurrences(text):
+    """(start, stop, value, kind, contexts) of the candidates, every one held against every base span."""
+    text, base = text or "", plain(text)
+    found = list(CANDIDATE.finditer(text))
+    gaps = [text[a:b] for a, b in zip([0] + [m.end() for m in found], [m.start() for m in found] + [len(text)], strict=True)]
+    before, out = ["^", "^"], []
+    for i, m in enumerate(found):
+        value = regex.sub(r"[^\p{L}\p{N}]*$", "", regex.sub(r"^[^\p{L}\p{N}+]*", "", m[0]))
+        start = m.start() + len(regex.match(r"[^\p{L}\p{N}+]*", m[0])[0])
+        stop = start + len(value)
+        near = words(gaps[i])
+        before += near
+        met = [(b, k) for k, a, b in base if a < stop and b > start]
+        labelled = regex.search(r"""[=:][\x09-\x0d\x20"'`(\[{]*$""", gaps[i]) is not None
+        kind = max(met)[1] if met else None
+        if kind is None and (regex.match(pii.ACCESS_KEY, value) or (
+                labelled and near and near[-1] in pii.SECRET_LABELS and len(value) >= 8 and regex.search("[0-9]", value))):
+            kind = "secret"
+        after = (words(gaps[i + 1]) or ["$" if i + 1 == len(found) else "#"])[0]
+        contexts = [f"{before[-2]} {before[-1]} _", f"{before[-1]} _ {after}"] + [f"{w}=_" for w in near[-1:] if labelled]
+        if value:
+            out.append((start, stop, value.lower(), kind, contexts))
+        before += ["#"]
+    return out
+
+
+def is_identifier(value):
+    return "@" in value or len(regex.findall("[0-9]", value)) >= pii.LEAST_DIGITS
+
+
+def scored(edges, known):
+    """context -> (kind, confidence); ``known`` maps a value to its (score, kind)."""
+    met = defaultdict(list)
+    for context, value in edges:
+        met[context].append(known.get(value))
+    good = {}
+    for context, hits in met.items():
+        of = {k: [h[0] for h in hits if h and h[1] == k] for k in ALL}
+        score, n, kind = max((sum(v), len(v), k) for k, v in of.items())
+        confidence = score / (sum(map(len, of.values())) + pii.UNKNOWN * hits.count(None))
+        if n >= pii.SUPPORT and confidence >= pii.CONFIDENCE:
+            good[context] = (kind, confidence)
+    return good
+
+
+def learned(rows):
+    seen = [o for _, text in rows for o in occurrences(text)]
+    edges = {(c, value) for _, _, value, kind, contexts in seen for c in contexts if kind or is_identifier(value)}
+    best = {}
+    for c, value in edges:
+        kinds = [k for _, _, v, k, contexts in seen if v == value and k and c in contexts]
+        if kinds:
+            best[value] = max(best.get(value, (1.0, "")), (1.0, max(kinds)))
+    known = dict(best)
+    for _ in range(pii.ROUNDS):
+        good = scored(edges, known)
+        doubt = defaultdict(float)
+        for c, value in edges:
+            if c in good and value not in best:
+                doubt[value, good[c][0]] += math.log(max(1 - good[c][1], 1e-9))
+        known = dict(best)
+        for (value, kind), d in doubt.items():
+            if 1 - math.exp(d) >= pii.CONFIDENCE:
+                known[value] = max(known.get(value, (0.0, "")), (1 - math.exp(d), kind))
+    return scored(edges, known)
+
+
+def brute(rows):
+    good, out = learned(rows), {}
+    for i, text in rows:
+        spans = set()
+        for start, stop, value, kind, contexts in occurrences(text):
+            hits = [good[c][::-1] for c in contexts if c in good]
+            if kind == "secret":
+                spans.add((kind, start, stop))
+            elif kind is None and is_identifier(value) and hits:
+                spans.add((max(hits)[1], start, stop))
+        out[i] = spans
+    return out
+
+
+def got(spark, rows):
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    return {r["doc_id"]: {(s["kind"], s["start"], s["stop"]) for s in r["added"]} for r in pii.find(frame).collect()}
+
+
+def random_rows(seed, n=400):
+    rng = random.Random(seed)
+    labels = ["phone:", "call me at", "mail to", "token =", "session=", "key: \"", "password=", "id", "see", "ip is", "", "\n", "("]
+    values = [lambda: f"+1 ({rng.randint(100, 130)}) 555-{rng.randint(1000, 1040)}", lambda: f"({rng.randint(100, 130)}) 555-{rng.randint(1000, 1040)}",
+              lambda: f"u{rng.randint(1, 30)}@x.org", lambda: f"u{rng.randint(1, 30)}@host", lambda: f"10.0.0.{rng.randint(1, 400)}",
+              lambda: f"{rng.getrandbits(48):012x}", lambda: f"AKIA{rng.getrandbits(64) % 10**16:016d}", lambda: str(rng.randint(1, 10**7)),
+              lambda: "plain é words,", lambda: "4111 1111 1111 1111", lambda: "a1" + "🙂"]
+    fit = {"phone:": (0, 1), "mail to": (2, 3), "session=": (5,), "token =": (5,), "key: \"": (6,), "password=": (5,), "ip is": (4,)}
+    rows = []
+    for i in range(n):
+        text = ""
+        for _ in range(rng.randint(0, 5)):
+            label = rng.choice(labels)
+            value = values[rng.choice(fit[label]) if label in fit and rng.random() < 0.95 else rng.randrange(len(values))]
+            text += f"{label}{rng.choice([' ', ' ', '', '  '])}{value()}{rng.choice([' ', '. ', ', now ', ' or '])}"
+        rows.append((i, text if text else rng.choice([None, ""])))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_brute_force(spark, seed):
+    rows = random_rows(seed)
+    want = brute(rows)
+    assert got(spark, rows) == want
+    kinds = {k for spans in want.values() for k, _, _ in spans}
+    assert "secret" in kinds and len(kinds) > 2
+
+
+def test_contexts(spark):
+    rows = random_rows(9, 300) + [(1000, "1 é2 3.4 " * 300), (1001, "= = : 12345"), (1002, "(555) 123-4567 " * 50)]
+    frame = spark.createDataFrame([(i, t or "") for i, t in rows], "doc_id long, text string").withColumn("base", pii.base_spans(F.col("text")))
+    for r in frame.select("text", pii.candidates(F.col("text"), F.col("base")).alias("c")).collect():
+        assert [(c["start"], c["stop"], c["value"], c["kind"], c["contexts"]) for c in r["c"]] == occurrences(r["text"]), r["text"]
+
+
+def test_phone_behind_a_label_is_one_candidate(spark):
+    rows = [(k, f"phone: +1 (555) 010-{1000 + k} now") for k in range(6)] + [(9, "my phone: (555) 123-4567 now")]
+    text = rows[-1][1]
+    assert [(k, text[a:b]) for k, a, b in got(spark, rows)[9]] == [("phone", "555) 123-4567")]
+
+
+def test_unlisted_label_is_learned(spark):
+    rows = [(k, f'token = "{k}1abc{k}2def{k}{k}"') for k in range(8)] + [(20 + k, f'session = "{k}1abc{k}2def{k}{k}" x{k}') for k in range(8)]
+    rows += [(90, 'session = "99fe99fe12" other'), (91, "nothing = of note 12")]
+    added = got(spark, rows)
+    assert {k for k, _, _ in added[90]} == {"secret"} and added[91] == set()
+
+
+def test_tables(spark):
+    """Every labelled secret of the table is found; nothing else is but what patterns tell."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()
+    rows = [(r["doc_id"], r["text"]) for r in docs]
+    added = got(spark, rows)
+    assert added == brute(rows)
+    kinds = Counter(k for spans in added.values() for k, _, _ in spans)
+    labelled = sum(len(regex.findall(r'(?i)token = "[0-9a-f]{40}"', t or "")) for _, t in rows)
+    assert kinds["secret"] >= labelled > 0
+
+
+def test_many_numbers_in_one_text(spark):
+    text = " x ".join(str(10**6 + i) for i in range(40_000))
+    start = time.time()
+    rows = [(1, text), (2, ", ".join(f"ip 10.{i % 200}.{i // 200 % 200}.7" for i in range(10_000)))]
+    assert {i: len(s) for i, s in got(spark, rows).items()} == {1: 0, 2: 0}
+    assert time.time() - start < 60
