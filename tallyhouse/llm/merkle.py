@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyhouse.llm.tables import column_or, text_of
+from tallyhouse.llm.tables import column_or, text_of, written
 
 #: A section ends behind a paragraph whose hash starts with this digit, one of sixteen: the cut depends on
 #: the paragraph alone, so an edit moves no cut elsewhere.
 SECTION_DIGIT = "0"
-#: Documents in a range within which each finds the next, and bins of ids from which ranges are made up.
-RANGE_ROWS, ID_BINS = 2_000, 65_536
+#: Documents in a range within which each finds the next (more, if there were more than so many ranges), and bins of
+#: ids by which a row looks up its range.
+RANGE_ROWS, MOST_RANGES, ID_BINS = 2_000, 65_536, 65_536
 
 
 def _node(kind: str, children: Column) -> Column:
@@ -66,29 +67,38 @@ def beside_next(docs: DataFrame) -> DataFrame:
     """``doc_id, text, next_text`` of every row: the text of the next row by doc_id, after the last that of the first.
 
     Null texts count as empty. Rows of one doc_id follow each other by a hash of their texts; null ids come
-    last. Ids are counted in bins of equal width, bins are made up into ranges of similar counts, and each
-    range also gets the first row of the one behind it. The texts are shuffled once.
+    last. Ranges hold similar numbers of rows whatever the ids are, since Spark cuts them from a sample of
+    the keys (id and hash); only rows of equal id and text are never parted. Each range also gets the first
+    row of the one behind it. The texts are shuffled once.
     """
     rows = docs.select(column_or(docs, "doc_id", "long").alias("doc_id"), text_of(docs).alias("text"))
-    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if low is None:
-        low = high = 0
-    place = (F.col("doc_id").cast("double") - F.lit(float(low))) / F.lit(max(float(high) - float(low), 1.0))
-    rows = rows.withColumn("_bin", F.coalesce(F.floor(place * (ID_BINS - 1)).cast("int"), F.lit(ID_BINS)))
     key = [F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.xxhash64("text").alias("c")]
-    # At most ID_BINS + 1 rows from here on.
-    bins = rows.groupBy("_bin").agg(F.count("*").alias("n"), F.min(F.struct(*key)).alias("least"))
-    upto = F.sum("n").over(Window.orderBy("_bin")) - F.col("n")
-    bins = (bins.withColumn("_g", F.floor(upto / RANGE_ROWS))
-            .withColumn("_range", F.dense_rank().over(Window.orderBy("_g")) - 1))
-    last = F.max("_range").over(Window.partitionBy())
-    first = F.min("least").over(Window.partitionBy("_range"))
-    bins = bins.select("_bin", "_range", first.alias("_first"), last.alias("_last"))
-    placed = rows.join(F.broadcast(bins), "_bin").withColumn("_key", F.struct(*key))
+    # A few outlying ids don't widen the bins: they fall into the outermost two.
+    ends, n = rows.agg(F.percentile_approx("doc_id", [0.001, 0.999]), F.count("*")).first()
+    low, high = map(float, ends or (0, 0))
+
+    def binned(df: DataFrame, doc_id: str) -> DataFrame:
+        place = (F.col(doc_id).cast("double") - F.lit(low)) / F.lit(max(high - low, 1.0))
+        inside = F.greatest(F.lit(0.0), F.least(F.lit(1.0), place))
+        return df.withColumn("_bin", F.when(F.col(doc_id).isNull(), F.lit(ID_BINS)).otherwise(F.floor(inside * (ID_BINS - 1)).cast("int")))
+
+    ranges = min(max(-(-n // RANGE_ROWS), 1), MOST_RANGES)
+    # At most MOST_RANGES rows, the first key of each range, and ID_BINS + 1 bins from here on.
+    firsts = (rows.select(*key).repartitionByRange(ranges, "a", "b", "c").groupBy(F.spark_partition_id().alias("_part"))
+              .agg(F.min(F.struct("a", "b", "c")).alias("first")))
+    firsts = written(firsts.select("first"), "ranges")
+    held = binned(firsts.select("first", F.col("first.b").alias("_id")), "_id").groupBy("_bin").agg(F.collect_list("first").alias("_firsts"))
+    bins = docs.sparkSession.range(ID_BINS + 1).select(F.col("id").cast("int").alias("_bin")).join(held, "_bin", "left")
+    size = F.coalesce(F.size("_firsts"), F.lit(0))
+    bins = bins.select("_bin", F.coalesce("_firsts", F.array().cast("array<struct<a:boolean,b:bigint,c:bigint>>")).alias("_firsts"),
+                       (F.sum(size).over(Window.orderBy("_bin")) - size - 1).alias("_before"),
+                       (F.sum(size).over(Window.partitionBy()) - 1).alias("_last"))
+    placed = binned(rows.withColumn("_key", F.struct(*key)), "doc_id").join(F.broadcast(bins), "_bin")
+    placed = placed.withColumn("_range", F.col("_before") + F.size(F.filter("_firsts", lambda f: f <= F.col("_key")))).withColumn(
+        "_leads", F.array_contains("_firsts", F.col("_key"))).drop("_firsts")
     before = F.when(F.col("_range") == 0, F.col("_last")).otherwise(F.col("_range") - 1)
     own = F.struct(F.col("_range").alias("range"), F.lit(False).alias("guest"))
-    spread = F.when(F.col("_key") == F.col("_first"), F.array(own, F.struct(before.alias("range"), F.lit(True).alias("guest")))
-                    ).otherwise(F.array(own))
+    spread = F.when(F.col("_leads"), F.array(own, F.struct(before.alias("range"), F.lit(True).alias("guest")))).otherwise(F.array(own))
     dealt = placed.select("doc_id", "text", "_key", F.explode(spread).alias("_to")).select(
         "doc_id", "text", "_key", F.col("_to.range").alias("_range"), F.col("_to.guest").alias("_guest"))
     order = Window.partitionBy("_range").orderBy("_guest", "_key")
