@@ -3,8 +3,9 @@
 A node is a slice of the dimensions; its local score of a vector is the inner product over them, and
 the whole score is the sum over the nodes. In phase 1 each node gives its best entries for every
 query; their whole scores give a cutoff t that at least k vectors reach. A vector with a whole score
-of t has a local score of t / nodes somewhere, so in phase 2 each node gives all entries from there on.
-Phase 3 adds them up, drops what its upper bound rules out, and looks up the scores still missing.
+of t has a local score of t / nodes somewhere, so in phase 2 each node gives all entries from there on,
+added up within the task and dropped there if their upper bound rules them out. Phase 3 looks up the scores
+still missing.
 """
 
 from __future__ import annotations
@@ -71,11 +72,14 @@ class _Block:
             yield rows, cutoffs, ids, found
 
 
-def _lists(vectors: DataFrame, queries: pd.DataFrame, node: int, k: int | None) -> DataFrame:
-    """``query, row, score`` of one node: the best k of each task, or all from the query's cutoff on."""
-    block = _Block(queries["row"].to_numpy(), queries["size"].to_numpy(),
-                   [np.asarray(p, np.int64) for p in queries[f"part{node}"]], queries["cutoff"].to_numpy())
-    shipped = vectors.sparkSession.sparkContext.broadcast(block)
+def _block(queries: pd.DataFrame, node: int) -> _Block:
+    return _Block(queries["row"].to_numpy(), queries["size"].to_numpy(),
+                  [np.asarray(p, np.int64) for p in queries[f"part{node}"]], queries["cutoff"].to_numpy())
+
+
+def _lists(vectors: DataFrame, queries: pd.DataFrame, node: int, k: int) -> DataFrame:
+    """``query, row, node, score`` of one node: the best k of each task."""
+    shipped = vectors.sparkSession.sparkContext.broadcast(_block(queries, node))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: dict[bytes, tuple] = {}
@@ -96,15 +100,36 @@ def _lists(vectors: DataFrame, queries: pd.DataFrame, node: int, k: int | None)
                                 "score": score.ravel()})
             yield out[out["score"] > np.iinfo(np.int64).min]
 
-    def above(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for rows, cutoffs, ids, scores in shipped.value.scores(pdf):
-                v, q = np.nonzero((scores >= cutoffs[None, :]) & (ids[:, None] != rows[None, :]))
-                yield pd.DataFrame({"query": rows[q], "row": ids[v], "score": scores[v, q]})
-
     part = vectors.select("row", "size", F.col(f"part{node}").alias("part"))
-    return (part.mapInPandas(best if k else above, "query long, row long, score long")
-            .select("query", "row", F.lit(1 << node).alias("node"), "score"))
+    return part.mapInPandas(best, "query long, row long, score long").select("query", "row", F.lit(1 << node).alias("node"), "score")
+
+
+def _entries(vectors: DataFrame, queries: pd.DataFrame, nodes: int) -> DataFrame:
+    """``query, row, mask, sum``: the local scores from the query's cutoff on, added up, and the nodes they are from.
+
+    A task holds a vector's slices of all nodes, so it drops the pairs that can't reach ``least`` before they
+    leave it: a score that a node doesn't give is below the cutoff.
+    """
+    held = [_block(queries, j) for j in range(nodes)], pd.Series(queries["least"].to_numpy(), index=queries["row"])
+    shipped = vectors.sparkSession.sparkContext.broadcast(held)
+
+    def reaching(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks, least = shipped.value
+        for pdf in batches:
+            parts = [b.scores(pdf[["row", "size"]].assign(part=pdf[f"part{j}"])) for j, b in enumerate(blocks)]
+            for found in zip(*parts, strict=True):
+                rows, cutoffs, ids, _ = found[0]
+                scores = np.stack([scores for *_, scores in found])
+                given = scores >= cutoffs
+                total = np.where(given, scores, 0).sum(axis=0)
+                upper = total + (nodes - given.sum(axis=0)) * cutoffs
+                keep = given.any(axis=0) & (upper >= least.loc[rows].to_numpy()) & (ids[:, None] != rows[None, :])
+                v, q = np.nonzero(keep)
+                mask = np.tensordot(1 << np.arange(nodes), given, 1)
+                yield pd.DataFrame({"query": rows[q], "row": ids[v], "mask": mask[v, q], "sum": total[v, q]})
+
+    wanted = vectors.select("row", "size", *[f"part{j}" for j in range(nodes)])
+    return wanted.mapInPandas(reaching, "query long, row long, mask int, sum long")
 
 
 def _resolved(known: DataFrame, vectors: DataFrame, queries: DataFrame, nodes: int) -> DataFrame:
@@ -160,19 +185,11 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id",
         # Phase 2: all entries from the uniform cutoff on; with fewer than k candidates all of them.
         least = np.iinfo(np.int64).min
         whole = held["row"].map(lambda r: cutoff.get(r))
+        held["least"] = np.array([least if pd.isna(t) else int(t) for t in whole], np.int64)
         held["cutoff"] = np.array([least if pd.isna(t) else -(-int(t) // nodes) for t in whole], np.int64)
-        every = None
-        for j in range(nodes):
-            more = _lists(base, held, j, None)
-            every = more if every is None else every.unionByName(more)
-        bounds = F.broadcast(spark.createDataFrame(
-            pd.DataFrame({"query": held["row"], "least": [least if pd.isna(t) else int(t) for t in whole],
-                          "local": held["cutoff"]}), "query long, least long, local long"))
-        # Phase 3: a score still missing is below the local cutoff.
-        missing = F.lit(nodes) - F.bit_count("mask")
-        upper = F.col("sum") + F.when(missing > 0, missing * F.col("local")).otherwise(F.lit(0).cast("long"))
-        left = _added(every).join(bounds, "query").filter((F.col("local") == least) | (upper >= F.col("least")))
-        results.append(written(_leading(_resolved(left.select("query", "row", "sum", "mask"), base, block, nodes), k)
+        # Phase 3: the scores still missing are looked up.
+        left = _entries(base, held, nodes)
+        results.append(written(_leading(_resolved(left, base, block, nodes), k)
                                .join(F.broadcast(block.select(F.col("row").alias("query"), F.col("id").alias("query_id"))),
                                      "query")
                                .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"),
