@@ -4,8 +4,8 @@ A node is a slice of the dimensions; its local score of a vector is the inner pr
 the whole score is the sum over the nodes. In phase 1 each node gives its best entries for every
 query; their whole scores give a cutoff t that at least k vectors reach. A vector with a whole score
 of t has a local score of t / nodes somewhere, so in phase 2 each node gives all entries from there on,
-added up within the task and dropped there if their upper bound rules them out. Phase 3 looks up the scores
-still missing.
+added up within the task and dropped there if their upper bound rules them out. Phase 3 resolves the scores
+still missing of the others, in the same task, and keeps a batch's best k.
 """
 
 from __future__ import annotations
@@ -104,11 +104,12 @@ def _lists(vectors: DataFrame, queries: pd.DataFrame, node: int, k: int) -> Data
     return part.mapInPandas(best, "query long, row long, score long").select("query", "row", F.lit(1 << node).alias("node"), "score")
 
 
-def _entries(vectors: DataFrame, queries: pd.DataFrame, nodes: int) -> DataFrame:
-    """``query, row, mask, sum``: the local scores from the query's cutoff on, added up, and the nodes they are from.
+def _entries(vectors: DataFrame, queries: pd.DataFrame, nodes: int, k: int) -> DataFrame:
+    """``query, row, id, score``: of each batch of vectors the best k with a whole score of at least the query's ``least``.
 
-    A task holds a vector's slices of all nodes, so it drops the pairs that can't reach ``least`` before they
-    leave it: a score that a node doesn't give is below the cutoff.
+    Every node gives its local scores from the query's cutoff on. Of what they add up to, a task drops what can't
+    reach ``least``, since a score that a node doesn't give is below the cutoff. It holds a vector's slices of all
+    nodes, so the scores still missing are resolved there.
     """
     held = [_block(queries, j) for j in range(nodes)], pd.Series(queries["least"].to_numpy(), index=queries["row"])
     shipped = vectors.sparkSession.sparkContext.broadcast(held)
@@ -116,20 +117,25 @@ def _entries(vectors: DataFrame, queries: pd.DataFrame, nodes: int) -> DataFrame
     def reaching(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks, least = shipped.value
         for pdf in batches:
+            names = pdf.set_index("row")[["no_id", "id"]]
             parts = [b.scores(pdf[["row", "size"]].assign(part=pdf[f"part{j}"])) for j, b in enumerate(blocks)]
             for found in zip(*parts, strict=True):
                 rows, cutoffs, ids, _ = found[0]
+                bound = least.loc[rows].to_numpy()
                 scores = np.stack([scores for *_, scores in found])
                 given = scores >= cutoffs
-                total = np.where(given, scores, 0).sum(axis=0)
-                upper = total + (nodes - given.sum(axis=0)) * cutoffs
-                keep = given.any(axis=0) & (upper >= least.loc[rows].to_numpy()) & (ids[:, None] != rows[None, :])
-                v, q = np.nonzero(keep)
-                mask = np.tensordot(1 << np.arange(nodes), given, 1)
-                yield pd.DataFrame({"query": rows[q], "row": ids[v], "mask": mask[v, q], "sum": total[v, q]})
+                upper = np.where(given, scores, 0).sum(axis=0) + (nodes - given.sum(axis=0)) * cutoffs
+                v, q = np.nonzero(given.any(axis=0) & (upper >= bound) & (ids[:, None] != rows[None, :]))
+                whole = scores[:, v, q].sum(axis=0)
+                v, q, whole = (x[whole >= bound[q]] for x in (v, q, whole))
+                out = pd.DataFrame({"query": rows[q], "row": ids[v], "score": whole}).join(names, on="row")
+                out = out.sort_values(["query", "score", "no_id", "id", "row"], ascending=[True, False, True, True, True])
+                yield out.groupby("query").head(k)[["query", "row", "no_id", "id", "score"]]
 
-    wanted = vectors.select("row", "size", *[f"part{j}" for j in range(nodes)])
-    return wanted.mapInPandas(reaching, "query long, row long, mask int, sum long")
+    wanted = vectors.select("row", F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0).cast("long")).alias("id"), "size",
+                            *[f"part{j}" for j in range(nodes)])
+    return (wanted.mapInPandas(reaching, "query long, row long, no_id boolean, id long, score long")
+            .select("query", "row", F.when(~F.col("no_id"), F.col("id")).alias("id"), "score"))
 
 
 def _resolved(known: DataFrame, vectors: DataFrame, queries: DataFrame, nodes: int) -> DataFrame:
@@ -187,9 +193,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id",
         whole = held["row"].map(lambda r: cutoff.get(r))
         held["least"] = np.array([least if pd.isna(t) else int(t) for t in whole], np.int64)
         held["cutoff"] = np.array([least if pd.isna(t) else -(-int(t) // nodes) for t in whole], np.int64)
-        # Phase 3: the scores still missing are looked up.
-        left = _entries(base, held, nodes)
-        results.append(written(_leading(_resolved(left, base, block, nodes), k)
+        # Phase 3, in the same tasks: the scores still missing are resolved.
+        left = _entries(base, held, nodes, k)
+        results.append(written(_leading(left, k)
                                .join(F.broadcast(block.select(F.col("row").alias("query"), F.col("id").alias("query_id"))),
                                      "query")
                                .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"),
