@@ -52,6 +52,17 @@ def test_hot_keys_are_found(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_fan_out_of_one_small_file_takes_many_tasks(spark, tmp_path, how):
+    """Both sides are small enough to be broadcast, and each comes in one file; what comes out of the join does not."""
+    for name, n in (("x", 2000), ("y", 200)):
+        spark.range(n).selectExpr("cast(id % 20 as string) as k", f"id as {name}").coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    left, right = spark.read.parquet(f"{tmp_path}/x"), spark.read.parquet(f"{tmp_path}/y")
+    out = spread_join(left, right, "k", how, HotKeys(("1", "3"), True, (8, 4), 4), HotKeys(("1",), False, (2,)))
+    per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 2000 * 10 and max(per_task) <= 2000 * 10 / 4
+
+
 def test_one_join_reads_each_side_once(sides, capsys):
     left, right = sides
     spread_join(left, right, "k", "inner", HotKeys(("a",)), HotKeys(("c",))).explain()
