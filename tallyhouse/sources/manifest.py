@@ -19,8 +19,11 @@ from ..functions import file_date, file_extension
 from ..specs import SUPPORTED_EXTENSIONS, lookup
 from .readers import closed, literal_path
 
-# Larger files are hashed as a stream instead of as one value.
-WHOLE_FILE_BYTES = 512 << 20
+# Larger files are hashed as a stream instead of as one value, of which a task holds several copies.
+WHOLE_FILE_BYTES = 32 << 20
+# The same for stores that the stream reader may not know, though Spark does.
+OTHER_STORE_BYTES = 512 << 20
+_STREAMED = ("file", "s3", "s3a", "s3n")
 
 MANIFEST = T.StructType([
     T.StructField("file_path", T.StringType()),
@@ -208,6 +211,12 @@ def _files(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> Dat
     )
 
 
+def _streamed(spark: SparkSession, paths: Sequence[str]) -> bool:
+    """Whether all paths are in stores that the stream reader opens."""
+    usual = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return all((re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", p) or re.match(r"([^:]*):", usual))[1].lower() in _STREAMED for p in paths)
+
+
 def fingerprint(
     spark: SparkSession, paths: str | Sequence[str], whole_file_bytes: int = WHOLE_FILE_BYTES
 ) -> DataFrame:
@@ -217,6 +226,8 @@ def fingerprint(
     read once. The length filters reach the reader, which then skips contents.
     """
     content, size = F.col("content"), F.col("file_size_bytes")
+    if not _streamed(spark, [paths] if isinstance(paths, str) else paths):
+        whole_file_bytes = max(whole_file_bytes, OTHER_STORE_BYTES)
     facts = ["file_path", "load_path", "file_size_bytes"]
     parts = []
     for pattern in ("*.csv", "*.parquet"):

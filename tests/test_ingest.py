@@ -66,6 +66,18 @@ def test_fingerprints(spark, tmp_path, limit):
     assert rows["broken.parquet"].file_columns is None and rows["broken.parquet"].checksum
 
 
+def test_files_of_some_size_are_never_one_value(spark, tmp_path):
+    """Four tasks of an executor at once hold several copies of such a value; stores unknown to the stream reader have no choice."""
+    line = "ORD{},CUST1,note\n"
+    text = "order_id,customer_id,x\n" + "".join(line.format(i) for i in range(2_200_000))
+    assert 33 << 20 < len(text) < 64 << 20
+    file = put(tmp_path, "orders/a.csv", text)
+    row = fingerprint(spark, str(tmp_path)).filter("file_path like '%a.csv'").first()
+    assert row.checksum == hashlib.sha256(file.read_bytes()).hexdigest() and row.file_columns == ["order_id", "customer_id", "x"]
+    assert manifest.WHOLE_FILE_BYTES <= 32 << 20 and manifest._streamed(spark, [str(tmp_path), f"file://{tmp_path}", "s3a://b/x"])
+    assert not manifest._streamed(spark, ["viewfs://c/x"]) and not manifest._streamed(spark, [str(tmp_path), "hdfs://n/x"])
+
+
 @pytest.mark.parametrize("source", list(SOURCES))
 def test_required_columns_defined(source):
     assert SOURCES[source].key in SOURCES[source].required
