@@ -1,0 +1,62 @@
+"""Ranking only the rows of repeated keys gives the rows that ranking all of them gives."""
+
+from datetime import datetime
+
+import pytest
+
+from tallyhouse.operators import latest
+from tallyhouse.plans.staging import stage
+from tallyhouse.plans.warehouse import Warehouse
+from tallyhouse.sources.generations import Generations
+from test_models import customer, item, order, payment, product, raw, shipment
+
+LATER = datetime(2026, 5, 2)
+
+
+def shown(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.fixture(scope="module")
+def shipments(spark):
+    rows = [shipment(f"S{i}", f"O{i % 7}") for i in range(60)]
+    again = [shipment(f"S{i}", f"O{i}", carrier="UPS", _loaded_at=LATER) for i in range(0, 60, 9)]
+    same = [shipment("S3", "O3"), shipment("S4", "O4", carrier="a tie"), shipment(None, "O1"), shipment(None, "O1")]
+    return raw(spark, "shipments", *rows, *again, *same)
+
+
+@pytest.mark.parametrize("most", [latest.MOST_REPEATED, 0])
+def test_only_repeated_keys_are_ranked(spark, shipments, monkeypatch, most):
+    monkeypatch.setattr(latest.repeated_keys, "__defaults__", (1, most))
+    found = latest.repeated_keys(shipments.select("shipment_id").dropna(), "shipment_id")
+    assert (found is None) == (most == 0)
+    if found is not None:
+        assert found.count() == 9
+    whole = stage(shipments, "shipments")
+    assert shown(stage(shipments, "shipments", shipments, 1)) == shown(whole) and whole.count() == 60
+
+
+def test_keys_are_compared_as_staged(spark):
+    rows = raw(spark, "orders", order("O1"), order("O2"), order("O2", amount="7", _loaded_at=LATER), order("O3"))
+    assert shown(stage(rows, "orders", rows, 1)) == shown(stage(rows, "orders"))
+    few = raw(spark, "orders", order("O1"), order("O2"))
+    assert shown(stage(few, "orders", few, 1)) == shown(stage(few, "orders"))
+
+
+def test_rows_alone_with_their_key_are_not_sorted(spark, capsys):
+    few = raw(spark, "shipments", *[shipment(f"S{i}", "O1") for i in range(20)])
+    stage(few, "shipments", few, 1).select("shipment_id").explain()
+    plan = capsys.readouterr().out
+    assert "Window" not in plan and "Sort" not in plan and "Exchange" not in plan
+
+
+def test_one_mart_without_storing_what_leads_to_it(spark, tmp_path):
+    tables = {"orders": raw(spark, "orders", order("O1"), order("O2", day="2026-05-02")),
+              "payments": raw(spark, "payments", payment("P1", "O1"), payment("P2", "O1")),
+              "shipments": raw(spark, "shipments", shipment("S1", "O1")), "order_items": raw(spark, "order_items", item("I1", "O1")),
+              "customers": raw(spark, "customers", customer("C1")), "products": raw(spark, "products", product("P1"))}
+    house = Warehouse(tables, Generations(spark, str(tmp_path / "marts")), only=("fact_daily_sales",))
+    assert shown(house.fact_daily_sales) == shown(Warehouse(tables).fact_daily_sales)
+    assert [p.name for p in (tmp_path / "marts" / "generations" / house.generation).iterdir()] == ["fact_daily_sales"]
+    with pytest.raises(ValueError):
+        house.publish(LATER)
