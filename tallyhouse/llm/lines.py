@@ -18,10 +18,13 @@ from tallyhouse.llm.tables import column_or, text_of, written
 
 # Fixed value: what separates words (space and the controls 9 to 13).
 _GAP = r"[\x20\x09-\x0D]+"
+_SPACES = " \t\n\x0b\x0c\r"
 # What any word has.
 _SAID = r"[^\x20\x09-\x0D]"
 #: Words are counted in so many cells to order them.
 CELL_BITS = 16
+#: Sets of so many words have longer signatures: 128 bits would nearly all be set.
+WIDE = 64
 #: Lines sent to every task to be verified; more are joined by shuffle.
 BROADCAST_LINES = 1_000_000
 #: Lists of kept lines sent to every task, one per document; more are joined by shuffle.
@@ -38,23 +41,28 @@ def _cell(word: Column) -> Column:
     return F.shiftrightunsigned(word, 64 - CELL_BITS).cast("int")
 
 
-def rarity_classes(docs: DataFrame) -> tuple[Column, int]:
-    """An array with the class of every cell of words, and the class from which words are common.
+def rarity_classes(docs: DataFrame) -> Column:
+    """An array with the class of every cell of words: four times the logarithm of the count over all texts.
 
-    The class is four times the logarithm of the count over all texts; a common cell has a thousandth of all
-    words. ``2**CELL_BITS`` numbers, whatever the input.
+    ``2**CELL_BITS`` numbers, whatever the input.
     """
     cells = docs.select(F.explode(F.split(F.lower("text"), _GAP, -1)).alias("w")).select(_cell(F.xxhash64("w")).alias("cell"))
     counts = {r["cell"]: r["count"] for r in cells.groupBy("cell").count().collect()}
     classes = [min(126, 4 * counts.get(c, 0).bit_length()) for c in range(1 << CELL_BITS)]
-    common = 4 * max(2, (sum(counts.values()) // 1000).bit_length())
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>"), common
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")
 
 
-def _ordered(words: Column, classes: Column) -> Column:
-    """The distinct words as numbers in order of rarity: the class in the upper bits, 56 bits of the word below."""
-    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.shiftleft(
-        F.get(classes, _cell(w)).cast("long"), 56).bitwiseOR(w.bitwiseAND((1 << 56) - 1)))))
+def _ordered(line: Column, classes: Column) -> Column:
+    """The distinct words of a line as numbers in order of rarity: the class in the upper bits, 56 bits of the word below.
+
+    No gap may stand at an end. Numbers that are never null are sorted as such, not as objects.
+    """
+    def number(w: Column) -> Column:
+        word = F.xxhash64(w)
+        kind = F.coalesce(F.get(classes, _cell(word)), F.lit(0)).cast("long")
+        return F.shiftleft(kind, 56).bitwiseOR(word.bitwiseAND((1 << 56) - 1))
+
+    return F.sort_array(F.array_distinct(F.transform(F.split(F.lower(line), _GAP, -1), number)))
 
 
 def _need(percent: int, n: Column, m: Column) -> Column:
@@ -67,30 +75,38 @@ def _prefix(percent: int, n: Column) -> Column:
     return n - F.ceil(F.lit(percent) * n / F.lit(100)) + 1
 
 
-def _signature(words: str, half: int) -> Column:
-    """A bit for each word, of 64; words with bit 6 as in ``half`` only."""
-    own = f"filter({words}, x -> x & 64 = {64 * half})"
+def _signature(words: str, part: int, parts: int) -> Column:
+    """A bit for each word, of 64; words with the bits above as in ``part`` only."""
+    own = f"filter({words}, x -> x & {64 * (parts - 1)} = {64 * part})"
     return F.expr(f"aggregate({own}, 0L, (s, x) -> s | shiftleft(1L, cast(x & 63 as int)))")
 
 
+def _signatures(words: str, n: Column) -> list[Column]:
+    """``s0`` to ``s3``: 128 bits in the first two, and 256 in all of them for sets of ``WIDE`` words or more."""
+    wide = n >= WIDE
+    return [*[F.when(wide, _signature(words, i, 4)).otherwise(_signature(words, i, 2)).alias(f"s{i}") for i in (0, 1)],
+            *[F.when(wide, _signature(words, i, 4)).otherwise(F.lit(0).cast("long")).alias(f"s{i}") for i in (2, 3)]]
+
+
 def _exploded(docs: DataFrame) -> DataFrame:
     """``doc_id, mark, line, line_text`` of every line."""
     return docs.select("doc_id", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line", "line_text"))
 
 
-def distinct_lines(docs: DataFrame, classes: Column, common: int, percent: int) -> DataFrame:
-    """One row for each set of words: ``first`` (its first line), ``n``, ``prefix``, and ``s0`` and ``s1``, the signature
-    of all words that are not common.
+def distinct_lines(docs: DataFrame, classes: Column, percent: int) -> DataFrame:
+    """One row for each set of words: ``first`` (its first line), ``n``, ``prefix``, and ``s0`` to ``s3``, the signature
+    of all words.
 
     Copies meet in the tasks before they are shuffled, so a line that fills a third of a table is one row per task.
     """
-    words = _exploded(docs).withColumn("w", _ordered(_words(F.col("line_text")), classes)).filter(F.size("w") > 0)
+    # Said of the trimmed text: a filter on the words would make them twice.
+    said = _exploded(docs).withColumn("line_text", F.trim("line_text", F.lit(_SPACES))).filter(F.length("line_text") > 0)
+    words = said.withColumn("w", _ordered(F.col("line_text"), classes))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "mark")
     words = words.withColumn("p", F.slice("w", F.lit(1), _prefix(percent, F.size("w")).cast("int")))
-    words = words.withColumn("r", F.filter("w", lambda x: x < (common << 56)))
     # Two seeds, 128 bits: equal sets, and only those, have equal digests.
     rows = words.select(F.struct(F.xxhash64("w"), F.xxhash64(F.lit(1), "w")).alias("digest"), place.alias("first"), F.struct(
-        F.size("w").alias("n"), _signature("r", 0).alias("s0"), _signature("r", 1).alias("s1"),
+        F.size("w").alias("n"), *_signatures("w", F.size("w")),
         F.transform("p", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias("prefix")).alias("set"))
     return rows.groupBy("digest").agg(F.min("first").alias("first"), F.first("set").alias("set")).select("first", "set.*")
 
@@ -112,18 +128,24 @@ def _entries(lines: DataFrame, percent: int) -> DataFrame:
     # None of the columns is ever null; saying so lets both sides of the join read one exchange.
     zero = F.lit(0)
     paired = lines.filter(100 * F.col("n") >= percent * (F.col("n") + 1))
-    return paired.select(*[F.coalesce(c, zero.cast("int" if c == "n" else "long")).alias(c) for c in ("row", "n", "s0", "s1")],
+    return paired.select(*[F.coalesce(c, zero.cast("int" if c == "n" else "long")).alias(c) for c in ("row", "n", *_BITS)],
                          F.posexplode("prefix").alias("at", "key"))
 
 
 def _passes(percent: int, u: Callable[[str], Column], v: Callable[[str], Column]) -> Column:
-    """Length, positional and signature filters for two entries (n, at, s0, s1)."""
+    """Length, positional and signature filters for two entries (n, at, s0 to s3)."""
     n, m = u("n"), v("n")
     need = _need(percent, n, m)
 
+    def absent(held: Column, other: Column) -> Column:
+        return F.bit_count(held.bitwiseAND(F.bitwise_not(other)))
+
     def missing(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
-        """Words of a that b can't have, at least."""
-        return F.bit_count(a("s0").bitwiseAND(F.bitwise_not(b("s0")))) + F.bit_count(a("s1").bitwiseAND(F.bitwise_not(b("s1"))))
+        """Words of a that b can't have, at least. A long signature and a short one are compared as short ones."""
+        long = absent(a("s0"), b("s0")) + absent(a("s1"), b("s1")) + absent(a("s2"), b("s2")) + absent(a("s3"), b("s3"))
+        short = (absent(a("s0").bitwiseOR(a("s2")), b("s0").bitwiseOR(b("s2")))
+                 + absent(a("s1").bitwiseOR(a("s3")), b("s1").bitwiseOR(b("s3"))))
+        return F.when((n >= WIDE) == (m >= WIDE), long).otherwise(short)
 
     return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (u("at") <= n - need) & (v("at") <= m - need)
             & (missing(u, v) <= n - need) & (missing(v, u) <= m - need))
@@ -137,32 +159,30 @@ def _with(prefix: str) -> Callable[[str], Column]:
     return lambda name: F.col(f"{prefix}{name}")
 
 
-_HELD = ("row", "n", "at", "s0", "s1")
+_BITS = ("s0", "s1", "s2", "s3")
+_HELD = ("row", "n", "at", *_BITS)
 
 
-def _pairs(entries: DataFrame, percent: int, led: bool) -> DataFrame:
-    """Pairs (u, v) of rows that pass the filters, u the earlier line.
+def _led(entries: DataFrame, percent: int) -> DataFrame:
+    """One pair (u, v) for each row v that passes the filters with the earliest line of a key: u is the earliest such."""
+    # The window holds the rows of one key at a time.
+    first = F.min(F.struct(*_HELD)).over(Window.partitionBy("key"))
+    passes = _before(_with("l."), _with("")) & _passes(percent, _with("l."), _with(""))
+    met = entries.withColumn("l", first).filter(passes)
+    return met.groupBy(F.col("row").alias("v")).agg(F.min("l.row").alias("u")).select("u", "v")
 
-    With ``led`` one pair for each v, with the earliest line that passes; and a line that passes with the
-    earliest of a key is only compared with that one there, not with every copy between.
-    """
+
+def _pairs(lines: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of rows that pass the filters, u the earlier line, for every line v that is ``asked``."""
+    # Whether it is asked goes in the lowest bit of the row, and is read with both rows only: said of one
+    # side, it would part the exchange that both sides read.
+    flagged = _entries(lines.withColumn("row", 2 * F.col("row") + F.col("asked").cast("int")), percent).repartition("key")
+    x, y = (flagged.select("key", *[F.col(c).alias(f"{side}_{c}") for c in _HELD]) for side in "uv")
     u, v = _with("u_"), _with("v_")
-    if led:
-        # The window holds the rows of one key at a time; both sides read the same exchange.
-        first = F.min(F.struct(*_HELD)).over(Window.partitionBy("key"))
-        held = entries.repartition("key").withColumn("l", first)
-        passes = _before(_with("l."), _with("")) & _passes(percent, _with("l."), _with(""))
-        x = held.select("key", *[F.col(c).alias(f"u_{c}") for c in _HELD])
-        y = held.select("key", *[F.col(c).alias(f"v_{c}") for c in _HELD], F.when(passes, F.col("l.row")).alias("leader"))
-        own = F.col("leader").isNull() | (u("row") == F.col("leader"))
-    else:
-        x = entries.select("key", *[F.col(c).alias(f"u_{c}") for c in _HELD])
-        y = entries.filter("asked").select("key", *[F.col(c).alias(f"v_{c}") for c in _HELD])
-        own = F.lit(True)
-    met = x.join(y, "key").filter(_before(u, v) & own & _passes(percent, u, v))
-    if led:
-        return met.groupBy(v("row").alias("v")).agg(F.min(u("row")).alias("u")).select("u", "v")
-    return met.select(u("row").alias("u"), v("row").alias("v")).distinct()
+    asked = F.when(v("row") % 2 == 1, v("row")).otherwise(F.lit(-1)) > u("row")
+    # Equal rows differ in no bit, so the order of the rows is that of the lines.
+    met = x.join(y, "key").filter(asked & _passes(percent, u, v))
+    return met.select(*[F.shiftright(F.col(f"{side}_row"), 1).alias(side) for side in "uv"]).distinct()
 
 
 def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -185,20 +205,22 @@ def _verified(docs: DataFrame, lines: DataFrame, pairs: DataFrame, percent: int)
 
 def repeated(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Distinct lines (row, first, ...) and those of them (row) that match an earlier line."""
-    lines = written(numbered(distinct_lines(docs, *rarity_classes(docs), percent)), "lines")
-    entries = _entries(lines, percent)
-    pairs = written(_pairs(entries, percent, led=True), "pairs")
-    gone = written(_verified(docs, lines, pairs, percent), "gone")
-    # A line that passed the filters with an earlier one, but was not beaten by it, meets all others, too.
-    open_rows = written(pairs.select(F.col("v").alias("row")).join(gone, "row", "left_anti"), "open")
-    n = open_rows.count()
-    if n:
-        asked = entries.join(_small(open_rows.withColumn("asked", F.lit(True)), n), "row", "left").withColumn(
-            "asked", F.coalesce("asked", F.lit(False)))
-        keys = written(asked.filter("asked").select("key").distinct(), "keys")
-        more = _pairs(asked.join(_small(keys, keys.count()), "key"), percent, led=False)
-        more = written(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
-        gone = written(gone.unionByName(_verified(docs, lines, more, percent)).distinct(), "gone")
+    lines = written(numbered(distinct_lines(docs, rarity_classes(docs), percent)), "lines")
+    # Most lines of a large group match the earliest line with one of their words, and ask no further. Similar
+    # sets of one size share one of so many words; of other sizes all of the prefix may be needed.
+    n = F.col("n")
+    led = written(_led(_entries(lines, percent).filter(F.col("at") <= n - _need(percent, n, n)), percent), "led")
+    gone = written(_verified(docs, lines, led, percent), "gone")
+    left = gone.withColumn("_gone", F.lit(True))
+    asked = lines.join(_small(left, gone.count()), "row", "left").withColumn("asked", F.col("_gone").isNull()).drop("_gone")
+    pairs = written(_pairs(asked, percent).join(led, ["u", "v"], "left_anti"), "pairs")
+    # The others meet all earlier lines that pass the filters, the earliest first.
+    first = written(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "firsts")
+    gone = gone.unionByName(written(_verified(docs, lines, first, percent), "gone"))
+    rest = written(pairs.join(gone.withColumnRenamed("row", "v"), "v", "left_anti").join(first, ["u", "v"], "left_anti")
+                   .select("u", "v"), "pairs")
+    if not rest.isEmpty():
+        gone = gone.unionByName(written(_verified(docs, lines, rest, percent), "gone"))
     return lines, gone
 
 
