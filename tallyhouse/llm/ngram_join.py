@@ -169,12 +169,29 @@ def _met(entries: DataFrame, roots: DataFrame, turn: int, most: int, percent: in
             .agg(F.min(F.struct(lot, "row", "n", "at", "met", "root")).alias("l")).select("key", "l"))
     met = (held.join(lead, "key").filter((F.col("root") != F.col("l.root")) & _may_link(percent, _with(""), _with("l.")))
            .groupBy("row", F.col("l.row").alias("leader")).count())
+    return _most_met(met, most)
+
+
+def _most_met(met: DataFrame, most: int) -> DataFrame:
+    """Pairs (u, v) of rows and the ``most`` leaders that they meet most often, of (row, leader, count)."""
     # A row has at most so many leaders for each token of its prefix.
     order = Window.partitionBy("row").orderBy(F.col("count").desc(), F.xxhash64("leader", "row"))
     return (met.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= most)
             .select(F.least("row", "leader").alias("u"), F.greatest("row", "leader").alias("v")).distinct())
 
 
+def _met_among_few(entries: DataFrame, turn: int, most: int, percent: int) -> DataFrame:
+    """As ``_met`` for rooted entries under keys of at most ``FEW`` rows, which are dealt out once."""
+    lot = F.xxhash64("row", "key", F.lit(turn))
+    # The window holds the few rows of one key at a time.
+    leads = [F.min(F.when(F.pmod(lot, F.lit(most)) == i, F.struct(lot.alias("lot"), "row", "n", "at", "met", "root")))
+             .over(Window.partitionBy("key")) for i in range(most)]
+    led = entries.withColumn("_l", F.array(*leads)).select("row", "n", "at", "met", "root", F.explode("_l").alias("l"))
+    met = (led.filter((F.col("root") != F.col("l.root")) & _may_link(percent, _with(""), _with("l.")))
+           .groupBy("row", F.col("l.row").alias("leader")).count())
+    return _most_met(met, most)
+
+
 def _crossing(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) that meet under a key (key, row, n, at, met, root) and have different roots."""
     least = entries.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
@@ -192,6 +209,14 @@ def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
     return entries.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) with further links (u, v): those so far are stars, which need few steps."""
+    if links.isEmpty():
+        return roots
+    stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+    return written(components(stars.unionByName(links)), "roots")
+
+
 def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, mark, n_shingles, component_id, first`` for every row of ``docs`` (doc_id, text).
 
@@ -222,26 +247,27 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     counted = rare_met.unionByName(placed.filter(F.col("at") >= F.col("n_rare")).select(
         "key", "row", "n", "at", (F.col("at") < F.col("n_first")).alias("first"), F.lit(True).alias("often"),
         F.lit(True).alias("many")))
-    met = counted.filter("first").groupBy("row").agg(F.count("*").alias("met"), F.count(F.when(F.col("many"), 1)).alias("lots"))
-    entries = written(counted.join(met, "row", "left").fillna(0, ["met", "lots"]), "entries")
+    # The window holds the prefix of one row at a time.
+    own = Window.partitionBy("row")
+    entries = written(counted.withColumn("met", F.sum(F.col("first").cast("long")).over(own))
+                      .withColumn("lots", F.sum((F.col("first") & F.col("many")).cast("long")).over(own)), "entries")
 
     # First rounds: every row and a few leaders; then all pairs under keys of few rows that still lie apart.
     many, few = entries.filter("many"), entries.filter("not many")
     none = docs.sparkSession.createDataFrame([], "u long, v long")
-    links = tried = none
+    tried = none
     roots = none.select(F.col("u").alias("node"), F.col("v").alias("root"))
     if len(LEADERS) < 2:
         raise ValueError("pairs under keys of few rows take the second round")
     for turn, most in enumerate(LEADERS):
         pairs = _met(many.filter("first"), roots, turn, most, percent)
         if turn < 2:
-            pairs = pairs.unionByName(_among_few(_rooted(few, roots), percent) if turn else _met(few, roots, turn, 2, percent))
+            pairs = pairs.unionByName(_among_few(_rooted(few, roots), percent) if turn else _met_among_few(_rooted(few, roots), turn, 2, percent))
         pairs = written(pairs.distinct().join(tried, ["u", "v"], "left_anti"), "leaders")
         if pairs.isEmpty():
             continue
         tried = tried.unionByName(pairs)
-        links = written(links.unionByName(_links(pairs, texts, every, width, percent)), "links")
-        roots = written(components(links), "roots")
+        roots = _merged(roots, written(_links(pairs, texts, every, width, percent), "links"))
 
     # Last round: what still lies apart.
     apart = _crossing(_rooted(many.filter("not often"), roots), percent)
@@ -254,9 +280,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         F.xxhash64("x.key", "y.key").alias("key"), *own, F.col("x.at").alias("at"))
     pairs = written(apart.unionByName(_crossing(couples, percent)).distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        links = written(links.unionByName(_links(pairs, texts, every, width, percent)), "links")
-        roots = written(components(links), "roots")
-
+        roots = _merged(roots, written(_links(pairs, texts, every, width, percent), "links"))
 
     named = (every.join(same.withColumnRenamed("node", "_set"), "digest", "left")
              .join(roots.select(F.col("node").alias("_set"), "root"), "_set", "left"))
