@@ -2,7 +2,7 @@
 
 A line is the set of its words. With the words in order of rarity, two sets can only be similar enough
 if a word is shared early in both (prefix filter), at places that leave enough words behind (positional
-filter), and if their sizes are close (length filter). Signatures of 128 bits rule out most others.
+filter), and if their sizes are close (length filter). Signatures of 128 bits, or 256 for large sets, rule out most others.
 What is left is verified word by word. Only DataFrame functions are used.
 """
 
@@ -180,7 +180,6 @@ def _pairs(lines: DataFrame, percent: int) -> DataFrame:
     x, y = (flagged.select("key", *[F.col(c).alias(f"{side}_{c}") for c in _HELD]) for side in "uv")
     u, v = _with("u_"), _with("v_")
     asked = F.when(v("row") % 2 == 1, v("row")).otherwise(F.lit(-1)) > u("row")
-    # Equal rows differ in no bit, so the order of the rows is that of the lines.
     met = x.join(y, "key").filter(asked & _passes(percent, u, v))
     return met.select(*[F.shiftright(F.col(f"{side}_row"), 1).alias(side) for side in "uv"]).distinct()
 
